@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import SCHEMA, batches, bitmap, cells_for, hit
-from .common import SPACES, binaries, mix
+from .common import SPACES, binaries, cut, mix, written
 
 #: Bits a Bloom filter sets for each key, and cells it has for each line.
 HASHES, CELLS_EACH = 4, 12
@@ -92,9 +92,10 @@ def suspected_repeats(documents: DataFrame, min_chars: int, id_column: str, text
 
 def dropped_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, dropped): the numbers of the lines that each document loses, where it loses any."""
-    found = suspected_repeats(documents, min_chars, id_column, text_column)
+    found = written(suspected_repeats(documents, min_chars, id_column, text_column), "line-suspects")
+    # checkpointed, so that both sides of the join are plain and a hot line's rows can be split
     groups = found.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
-    lost = found.join(groups, "digest").where("id > first")
+    lost = found.join(cut(groups), "digest").where("id > first")
     return lost.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("dropped"))
 
 
