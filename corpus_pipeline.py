@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import bpe, jaccard, line_dedup, mixing, quality, queries
-from turnloom.llm.common import WORD, table, written
+from turnloom.llm.common import WORD, fresh, table, written
 
 #: No SQL can express the classifier, the Jaccard join and the encoding.
 ORACLE_SQL = None
@@ -21,13 +21,15 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the quality classifier doesn't reject; it learns from labels of documents that aren't held out."""
     labels = table(spark, sf_dir, "labels").where(~queries.held_out(3, 1))
     machine = quality.train(docs, labels)
-    return quality.scored(docs, machine).where("predicted = 1").select(*docs.columns)
+    added = fresh(docs, "_score"), fresh(docs, "_predicted")
+    return quality.scored(docs, machine, added=added).where(F.col(added[1]) == 1).select(*docs.columns)
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that a smaller document has; n_chars follows the text, and documents left empty go."""
-    kept = line_dedup.dedup_lines(docs, min_chars=10).where("text <> '' or n_dropped = 0")
-    return _measured(kept, docs)
+    added = fresh(docs, "_all"), fresh(docs, "_dropped")
+    kept = line_dedup.dedup_lines(docs, min_chars=10, added=added)
+    return _measured(kept.where((F.col("text") != "") | (F.col(added[1]) == 0)), docs)
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +39,11 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix takes; a copy in which its source is cut off ends there."""
-    taken = mixing.mix_sources(docs).where("taken > 0 or (size = 0 and copy = 0)").select(F.col("doc_id").alias("_id"), "size", "taken")
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), F.lit(1), F.col("taken").cast("int")), "")
-    return _measured(rows.withColumn("text", F.when(F.col("taken") < F.col("size"), first).otherwise(F.col("text"))), docs)
+    same, size, taken = (fresh(docs, n) for n in ("_same", "_size", "_taken"))
+    mix = mixing.mix_sources(docs).where("taken > 0 or (size = 0 and copy = 0)").select(F.col("doc_id").alias(same), F.col("size").alias(size), F.col("taken").alias(taken))
+    rows = docs.join(mix, F.col("doc_id").eqNullSafe(F.col(same)))
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), F.lit(1), F.col(taken).cast("int")), "")
+    return _measured(rows.withColumn("text", F.when(F.col(taken) < F.col(size), first).otherwise(F.col("text"))), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

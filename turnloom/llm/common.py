@@ -63,6 +63,14 @@ def keep_ids(df: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_
     return df.join(F.broadcast(ids) if few else ids, column, "left_semi")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def binaries(array: pa.Array) -> list[bytes | None]:
     """An Arrow string array's UTF-8 bytes."""
     return array.cast(pa.binary()).to_pylist()
@@ -110,22 +118,27 @@ class Words(dict):
     def __init__(self, lower: bool = False):
         super().__init__()
         self.lower = lower
-        self.lo = np.empty(1 << 12, np.uint64)
-        self.hi = np.empty(1 << 12, np.uint64)
+        self.hashes = bytearray()
 
     def __missing__(self, word: bytes) -> int:
         i = len(self)
-        if i == len(self.lo):
-            self.lo, self.hi = (np.concatenate([x, np.empty_like(x)]) for x in (self.lo, self.hi))
-        h = xxhash.xxh3_128_intdigest(word)
-        self.lo[i], self.hi[i] = h & MASK64, h >> 64
+        self.hashes += xxhash.xxh3_128_digest(word)
         self[word] = i
         return i
 
+    @property
+    def lo(self) -> np.ndarray:
+        return np.frombuffer(self.hashes, np.uint64)[::2]
+
+    @property
+    def hi(self) -> np.ndarray:
+        return np.frombuffer(self.hashes, np.uint64)[1::2]
+
     def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All words' numbers one text after another, and how many each text has."""
         if len(self) > VOCABULARY:
             self.clear()
+            self.hashes = bytearray()
         parts = [(t.lower() if self.lower else t).split() if t else [] for t in texts]
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         total = int(counts.sum())

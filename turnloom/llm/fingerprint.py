@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, cut
+from .common import cut
 
 #: Lanes of a fingerprint: four of 16 bits from each 64-bit hash.
 LANES = 64
 #: A lane is kept modulo two to this power.
 LANE_BITS = 32
+#: Rows of ids and buckets that are broadcast, at most (about 100 bytes each, so 50 MB); above, a shuffled join is used.
+BROADCAST_ROWS = 500_000
 #: Where a text is cut into paragraphs: at line ends, and after the end of a sentence.
 PARAGRAPH = r"\n|(?<=[.!?]) "
 
@@ -98,7 +100,7 @@ def with_next(documents: DataFrame, id_column: str, text_column: str, bucket_row
     guests = firsts.select(F.col("first.id").alias("id"), target.alias("bucket"), F.lit(True).alias("guest"))
     homes = dealt.unionByName(guests, allowMissingColumns=True).withColumn("guest", F.coalesce("guest", F.lit(False)))
     homes = homes.withColumnRenamed("id", "_id")
-    named = texts.join(F.broadcast(homes) if count <= BROADCAST_IDS else homes, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
+    named = texts.join(F.broadcast(homes) if count <= BROADCAST_ROWS else homes, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
     order = Window.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_first(), "text")
     return named.select(
         "bucket", F.row_number().over(order).alias("nth"), "guest", "id", F.length("text").cast("long").alias("n_chars"), "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text")

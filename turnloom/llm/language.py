@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binaries, chunks, keep_ids
+from .common import binaries, chunks, fresh, keep_ids
 
 #: Learning documents at most; those with the smallest hashes of their ids.
 SAMPLE = 20_000
@@ -91,7 +91,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
     spark = documents.sparkSession
     usable = documents.where(F.col(lang_column).isNotNull() & F.col(id_column).isNotNull() & F.col(text_column).isNotNull())
     ids = usable.select(F.col(id_column).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    ids = spark.createDataFrame(pa.table({"id": pa.array([r.id for r in ids.toLocalIterator()], pa.int64())}))
+    ids = spark.createDataFrame(pa.table({"id": pa.array([r.id for r in ids.collect()], pa.int64())}))
     texts = keep_ids(usable.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")), ids, "id", max(sample, 1))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +126,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
     order = Window.partitionBy("lang", "n").orderBy(F.desc("count"), "item")
     total = F.sum("count").over(Window.partitionBy("lang", "n"))
     kept = counted.withColumn("total", total).withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS))
-    got = list(kept.select("lang", "n", "item", "count", "total").toLocalIterator())
+    got = kept.select("lang", "n", "item", "count", "total").collect()
     languages = sorted({r.lang for r in got})
     at = {lang: i for i, lang in enumerate(languages)}
     counts: dict[int, dict[str, np.ndarray]] = {}
@@ -145,7 +145,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
 def identified(documents: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """documents plus lang_pred and its score (0 to 1).
 
-    Only the text is read. und, with score 0, is for texts that are null or have no
+    Only the text is read. The columns take the place of ones of the same name. und, with score 0, is for texts that are null or have no
     letter, and for all if the model has no language. Ties go to the language
     first by name.
     """
@@ -180,5 +180,6 @@ def identified(documents: DataFrame, model: Model, text_column: str = "text") ->
                 sure.append(float(odds[best] / odds.sum()))
         return pd.DataFrame({"lang_pred": names, "score": np.array(sure, dtype="float64")})
 
-    found = documents.withColumn("_found", predict(F.col(text_column)))
-    return found.withColumn("lang_pred", F.col("_found.lang_pred")).withColumn("score", F.col("_found.score")).drop("_found")
+    both = fresh(documents, "_found")
+    found = documents.withColumn(both, predict(F.col(text_column)))
+    return found.withColumn("lang_pred", F.col(both)["lang_pred"]).withColumn("score", F.col(both)["score"]).drop(both)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import SCHEMA, batches, bitmap, cells_for, hit
-from .common import SPACES, binaries, cut, mix, written
+from .common import SPACES, binaries, cut, fresh, mix, written
 
 #: Bits a Bloom filter sets for each key, and cells it has for each line.
 HASHES, CELLS_EACH = 4, 12
@@ -99,36 +99,37 @@ def dropped_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "d
     return lost.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("dropped"))
 
 
-def dedup_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """documents with repeated lines removed from the text, plus n_lines and n_dropped.
+def dedup_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text", added: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """documents with repeated lines removed from the text, plus the numbers of lines there were and that went.
 
     A line's key is the line without white space at both ends and with A-Z
     lower-cased. A key of at least min_chars code points found in two or more
     documents stays in the one with the smallest id, where all its lines stay;
     it goes from the others. A null or empty text is one empty line and becomes
     the empty text. Rows with a null id keep all their lines. Rows that repeat
-    an id count as one document. Other columns are passed on unchanged.
+    an id count as one document. Other columns are passed on unchanged; an
+    added column whose name documents already has is left out.
     """
-    lost = dropped_lines(documents, min_chars, id_column, text_column).withColumnsRenamed({"id": "_id", "dropped": "_dropped"})
-    both = documents.join(lost, F.col(id_column) == F.col("_id"), "left").drop("_id")
+    mine, gone, lines_of, gone_of = (fresh(documents, n) for n in ("_match", "_gone", "_lines", "_count"))
+    lost = dropped_lines(documents, min_chars, id_column, text_column).withColumnsRenamed({"id": mine, "dropped": gone})
+    both = documents.join(lost, F.col(id_column) == F.col(mine), "left").drop(mine)
     names = [c for c in documents.columns if c != text_column]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name != text_column)
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.schema if f.name != text_column)
 
     def drop(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts, lines, gone = [], [], []
-            for text, dropped in zip(binaries(part.column(text_column)), part.column("_dropped").to_pylist(), strict=True):
+            texts, lines, counts = [], [], []
+            for text, dropped in zip(binaries(part.column(text_column)), part.column(gone).to_pylist(), strict=True):
                 rows = (text or b"").split(b"\n")
                 lines.append(len(rows))
-                gone.append(len(dropped or ()))
+                counts.append(len(dropped or ()))
                 if dropped:
                     out = set(dropped)
                     rows = [r for i, r in enumerate(rows) if i not in out]
                 texts.append(b"\n".join(rows).decode())
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in names), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(gone, pa.int64())], names=[*names, text_column, "n_lines", "n_dropped"]
-            )
+            made = [pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], names=[*names, text_column, lines_of, gone_of])
 
-    kept = both.mapInArrow(drop, f"{fields}{', ' if fields else ''}`{text_column}` string, n_lines long, n_dropped long")
-    extra = [c for c in ("n_lines", "n_dropped") if c not in documents.columns]
+    kept = both.mapInArrow(drop, f"{fields}`{text_column}` string, {lines_of} long, {gone_of} long")
+    extra = [F.col(c).alias(n) for c, n in zip((lines_of, gone_of), added, strict=True) if n not in documents.columns]
     return kept.select(*documents.columns, *extra)

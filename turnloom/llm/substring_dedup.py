@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import MOST_CELLS, SCHEMA, batches, bitmap, cells_for, hit
-from .common import Words, binaries, chunks, mix, rolling, signed
+from .common import Words, binaries, chunks, fresh, mix, rolling, signed
 
 #: Rows of the sketch, and cells of one row for each representative expected.
 ROWS, CELLS_EACH = 2, 3
@@ -189,17 +189,19 @@ def dedup_substrings(documents: DataFrame, window: int = 13, id_column: str = "d
     compared as they are; the kept ones are joined by one space. A null or empty
     text has no words and becomes the empty text; texts shorter than a window
     stay whole. Rows with a null id keep all words; rows that repeat an id count
-    as one document. Other columns are passed on unchanged.
+    as one document. Other columns are passed on unchanged;
+    an added column whose name documents already has is left out.
     """
-    lost = covered(documents, window, id_column, text_column).withColumnsRenamed({"id": "_id", "runs": "_runs"})
-    both = documents.join(lost, F.col(id_column) == F.col("_id"), "left").drop("_id")
+    mine, gone_in, words_of, gone_of, digest_of = (fresh(documents, n) for n in ("_match", "_gone", "_words", "_count", "_digest"))
+    lost = covered(documents, window, id_column, text_column).withColumnsRenamed({"id": mine, "runs": gone_in})
+    both = documents.join(lost, F.col(id_column) == F.col(mine), "left").drop(mine)
     names = [c for c in documents.columns if c != text_column]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.schema if f.name != text_column)
 
     def drop(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts, counts, gone, digests = [], [], [], []
-            for text, runs in zip(binaries(part.column(text_column)), part.column("_runs").to_pylist(), strict=True):
+            for text, runs in zip(binaries(part.column(text_column)), part.column(gone_in).to_pylist(), strict=True):
                 words = text.split() if text else []
                 if runs:
                     stays = keep_mask(len(words), runs, window).tolist()
@@ -212,8 +214,8 @@ def dedup_substrings(documents: DataFrame, window: int = 13, id_column: str = "d
                 gone.append(len(words) - len(kept))
                 digests.append(hashlib.sha256(joined).hexdigest())
             made = [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], names=[*names, text_column, "n_words", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], names=[*names, text_column, words_of, gone_of, digest_of])
 
-    kept = both.mapInArrow(drop, f"{fields}`{text_column}` string, n_words long, n_removed long, kept_sha256 string")
-    extra = [c for c in ("n_words", "n_removed", "kept_sha256") if c not in documents.columns]
-    return kept.select(*documents.columns, *extra)
+    kept = both.mapInArrow(drop, f"{fields}`{text_column}` string, {words_of} long, {gone_of} long, {digest_of} string")
+    added = zip((words_of, gone_of, digest_of), ("n_words", "n_removed", "kept_sha256"), strict=True)
+    return kept.select(*documents.columns, *(F.col(c).alias(n) for c, n in added if n not in documents.columns))
