@@ -22,7 +22,7 @@ BROADCAST_IDS = 2_000_000
 #: Text handled at once inside a task, in bytes.
 CHUNK_BYTES = 1 << 20
 #: Words remembered by a task before its table is started anew.
-VOCABULARY = 1 << 20
+VOCABULARY = 1 << 18
 
 MASK64 = (1 << 64) - 1
 

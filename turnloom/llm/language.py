@@ -160,7 +160,7 @@ def identified(documents: DataFrame, model: Model, text_column: str = "text") ->
         names, sure = [], []
         column = [None if t is None else t.encode() for t in texts]
         for a, b in chunks(column):
-            if len(scores) > 1 << 20:
+            if len(scores) > 1 << 18:
                 scores = Scores(model)
             parts = [t.split() if t else [] for t in column[a:b]]
             ids = np.fromiter(map(scores.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard, language, line_dedup, mixing, nearest, quality, substring_dedup
+from . import bpe, fingerprint, jaccard, language, line_dedup, mixing, nearest, quality, secret_scan, substring_dedup
 from .common import table
 
 
@@ -47,6 +47,12 @@ def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings carry the candidate's length and hash, not the secret."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train(secret_scan.labelled_findings(spark)))
+    return found.select("doc_id", "start", F.length("candidate").cast("long").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "score")
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """Rows that nothing is learnt from."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)) == remainder, F.lit(False))
@@ -71,7 +77,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_nearest_neighbours, op2_source_mixing, op3_ngram_jaccard_join, op4_line_dedup, op5_substring_dedup, op6_bpe_encode_decode, op8_quality_classifier, op9_language_id, op10_document_fingerprints)
+        for f in (op1_nearest_neighbours, op2_source_mixing, op3_ngram_jaccard_join, op4_line_dedup, op5_substring_dedup, op6_bpe_encode_decode, op7_secret_scan, op8_quality_classifier, op9_language_id, op10_document_fingerprints)
     }
 
 
