@@ -143,7 +143,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_colu
     """
     known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     chosen = known.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample)
-    answers = {r.id: r.label for r in chosen.toLocalIterator()}
+    answers = {r.id: r.label for r in chosen.collect()}
     if not answers:
         return None
     texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -154,25 +154,25 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_colu
         words = WordTraits()
         for part in parts:
             made = [features(words, t) for t in binaries(part.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id").cast(pa.int64()), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.float64())), pa.array([m[2] for m in made], pa.list_(pa.float64()))], names=["id", "b", "v", "s"]
-            )
+            packed = [pa.array([m[k].astype(t).tobytes() for m in made], pa.binary()) for k, t in enumerate((np.int32, np.float32, np.float64))]
+            yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), *packed], names=["id", "b", "v", "s"])
 
-    got = sorted(texts.mapInArrow(make, "id long, b array<long>, v array<double>, s array<double>").toLocalIterator(), key=lambda r: (r.id, r.b))
-    if not got:
+    # packed, a sample is some 30 MB
+    got = texts.mapInArrow(make, "id long, b binary, v binary, s binary").toArrow().sort_by([("id", "ascending"), ("b", "ascending")])
+    if not got.num_rows:
         return None
-    rows = [(np.array(r.b, np.int64), np.array(r.v, np.float64), np.array(r.s, np.float64)) for r in got]
-    return fit(rows, np.array([answers[r.id] for r in got], np.float64))
+    rows = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32), np.frombuffer(s, np.float64)) for b, v, s in zip(*(got.column(c).to_pylist() for c in "bvs"), strict=True)]
+    return fit(rows, np.array([answers[i] for i in got.column("id").to_pylist()], np.float64))
 
 
-def scored(documents: DataFrame, machine: Machine | None, text_column: str = "text") -> DataFrame:
+def scored(documents: DataFrame, machine: Machine | None, text_column: str = "text", added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """documents plus score (0 to 1) and predicted (1 where score is at least 0.5).
 
-    Only the text is read. Null and empty texts get a score like any other;
-    without a machine, as no row was labelled, every score is 0.5.
+    Only the text is read. The columns take the place of ones of the same name.
+    Null and empty texts get a score like any other; without a machine, as no row was labelled, every score is 0.5.
     """
     if machine is None:
-        return documents.withColumn("score", F.lit(0.5)).withColumn("predicted", F.lit(1))
+        return documents.withColumns(dict(zip(added, (F.lit(0.5), F.lit(1)), strict=True)))
     shared = documents.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.vectors, machine.bounds))
 
     @F.pandas_udf("double")
@@ -184,9 +184,9 @@ def scored(documents: DataFrame, machine: Machine | None, text_column: str = "te
         column = [None if t is None else t.encode() for t in texts]
         out = []
         for a, b in chunks(column):
-            if len(words) > 1 << 20:
+            if len(words) > 1 << 18:
                 words = WordTraits()
             out += [machine.score(*features(words, t)) for t in column[a:b]]
         return pd.Series(out, dtype="float64")
 
-    return documents.withColumn("score", score(F.col(text_column))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return documents.withColumn(added[0], score(F.col(text_column))).withColumn(added[1], (F.col(added[0]) >= 0.5).cast("int"))
