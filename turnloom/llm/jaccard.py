@@ -8,9 +8,14 @@ with at most one difference, found by one-deletion neighbourhoods. Costs decide,
 band by band, how many segments get which allotment; a few spare segments let a
 set leave out its most crowded ones. Candidates are verified exactly.
 
+Before any key is shuffled, a filter of the keys met twice (built like a Bloom
+filter in every task and merged by segments) drops those of one set only.
+
 A crowded bucket isn't expanded to pairs: its members are compared with the
 smallest id among them, linked ones are merged to components, and only members
-outside the bucket's largest component are then compared with the rest.
+outside the bucket's largest component are then paired with the rest. Of pairs,
+those whose matching segments are too few for their sizes are left out, as
+they can't link.
 """
 
 from __future__ import annotations
@@ -18,7 +23,6 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +30,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cells import batches, bitmap, cells_for, hit
 from .common import BROADCAST_IDS, MASK64, Words, binaries, chunks, cut, keep_ids, mix, powers, rolling, signed, written
 from .components import components
 
 #: A bucket with more rows is left out by sets that have enough other segments.
 CROWDED = 64
+#: What a segment of no or one shingle costs more than another, in keys.
+THIN = 4
+#: Bits of the filter that are set for each key, and cells for each key expected; keys for each byte of text, about.
+HASHES, CELLS_EACH, EACH_BYTE = 2, 6, 0.07
+#: Cells a task gathers before it passes them on.
+FLUSH = 1_000_000
 
 
 def band_starts(top: int, p: int, q: int) -> list[int]:
@@ -41,8 +52,7 @@ def band_starts(top: int, p: int, q: int) -> list[int]:
     return starts
 
 
-@cache
-def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
+def _scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
     """(H, equal, near): for pairs whose smaller set has low to high shingles.
 
     H is the largest symmetric difference of a linked pair; equal segments
@@ -64,13 +74,24 @@ def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
         equal += spare(equal, near)
         each = low / (equal + near)
         thin = math.exp(-each) * (1 + each) if equal + near > 1 else 0
-        return equal + near + near * each + 50 * (equal + near) * thin
+        return equal + near + near * each + THIN * (equal + near) * thin
 
     near = min(range((most + 2) // 2 + 1), key=cost)
     equal = max(0, most + 1 - 2 * near)
     return most, equal + spare(equal, near), near
 
 
+_SCHEMES: dict[tuple[int, int, int, int], tuple[int, int, int]] = {}
+
+
+def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
+    """_scheme, remembered."""
+    key = low, high, p, q
+    if key not in _SCHEMES:
+        _SCHEMES[key] = _scheme(*key)
+    return _SCHEMES[key]
+
+
 def shingle_sets(words: Words, texts: list[bytes | None], n: int) -> list[np.ndarray]:
     """Each text's distinct hashed shingles, sorted; a shorter text is one shingle as a whole."""
     ids, counts = words.numbers(texts)
@@ -89,15 +110,15 @@ def shingle_sets(words: Words, texts: list[bytes | None], n: int) -> list[np.nda
     return out
 
 
-def keys_of(tokens: np.ndarray, p: int, q: int, starts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, kind, spare) of a set's index entries, for its own band and the one below.
+def keys_of(tokens: np.ndarray, p: int, q: int, starts: list[int]) -> tuple[np.ndarray, ...]:
+    """A set's index entries for its own band and the one below: key, kind, allotment, most, spare.
 
-    kind 0 is a segment, 1 a segment less one shingle. spare is how many of the
-    scheme's allotments a set may leave out.
+    kind 0 is a segment, 1 a segment less one shingle. most is the scheme's H;
+    spare is how many of its allotments a set may leave out.
     """
     size = len(tokens)
     own = bisect_right(starts, size) - 1
-    keys, kinds, spares = [], [], []
+    made = [[np.empty(0, np.uint64)], *([np.empty(0, t)] for t in (np.int8, np.int8, np.int32, np.int16))]
     for band in (own, own - 1):
         if band < 0:
             continue
@@ -113,43 +134,76 @@ def keys_of(tokens: np.ndarray, p: int, q: int, starts: list[int]) -> tuple[np.n
         sums = np.zeros(segments, np.uint64)
         np.add.at(sums, place, spread)
         salt = mix(np.arange(segments, dtype=np.uint64) + np.uint64(band << 32 | 1))
-        made = mix(sums + salt)
-        keys.append(made)
-        # marks the scheme and, in the low bit, whether the segment may be left out
-        kinds.append(np.zeros(segments, np.int8))
-        spares.append(np.where(np.arange(segments) < equal, equal + 2 * near - most - 1, 0).astype(np.int16))
+        is_near = np.arange(segments) >= equal
+        parts = [(mix(sums + salt), 0, 1 + is_near, np.where(is_near, 0, equal + 2 * near - most - 1))]
         if near:
             inside = place >= equal
             fewer = mix(sums[place[inside]] - spread[inside] + salt[place[inside]])
-            keys.append(fewer)
-            kinds.append(np.ones(len(fewer), np.int8))
-            spares.append(np.zeros(len(fewer), np.int16))
-    if not keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, np.int16)
-    return tuple(np.concatenate(x) for x in (keys, kinds, spares))
+            parts.append((fewer, 1, np.full(len(fewer), 2), np.zeros(len(fewer))))
+        for key, kind, allotment, spare in parts:
+            for column, value in zip(made, (key, np.full(len(key), kind), allotment, np.full(len(key), most), spare), strict=True):
+                column.append(value.astype(column[0].dtype))
+    return tuple(np.concatenate(x) for x in made)
+
+
+def _cells(keys: np.ndarray, size: int) -> list[np.ndarray]:
+    return [((keys if k == 0 else mix(keys)) % np.uint64(size)).astype(np.int64) for k in range(HASHES)]
 
 
-def _sets(texts: DataFrame, n: int) -> DataFrame:
-    """(id, n_shingles, hi, lo): each text's number of shingles and a 128-bit hash of the set."""
+def _starts_for(tokens: np.ndarray, starts: list[int], p: int, q: int) -> list[int]:
+    return starts if len(tokens) < starts[-1] else band_starts(2 * len(tokens), p, q)
+
+
+def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
+    """Two kinds of rows: (id, n_shingles, hi, lo), each text's number of shingles and a 128-bit hash of its set;
+    and (segment, once, twice), the cells that the keys of a task's different sets hit.
+    """
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
+        starts = band_starts(1 << 20, p, q)
+        held: list[np.ndarray] = []
+        seen: set[bytes] = set()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            cells, count = np.unique(np.concatenate([c for keys in held for c in _cells(keys, size)]), return_counts=True)
+            for batch in batches(cells, cells[count > 1]):
+                empty = [pa.nulls(len(batch), pa.int64())] * 4
+                yield pa.RecordBatch.from_arrays([*empty, *batch.columns], schema=schema)
+
+        kept = 0
         for part in parts:
             column = binaries(part.column("text"))
-            size, hi, lo = [], [], []
+            counts, hi, lo = [], [], []
             for a, b in chunks(column):
                 for tokens in shingle_sets(words, column[a:b], n):
-                    whole = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64)
-                    size.append(len(tokens))
+                    digest = xxhash.xxh3_128_digest(tokens.tobytes())
+                    whole = np.frombuffer(digest, np.int64)
+                    counts.append(len(tokens))
                     hi.append(whole[0])
                     lo.append(whole[1])
-            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, pa.int64()) for c in (size, hi, lo))], names=["id", "n_shingles", "hi", "lo"])
-
-    return texts.mapInArrow(sets, "id long, n_shingles long, hi long, lo long")
-
-
-def _entries(texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
-    """(key, id, kind, spare): the index entries of every text."""
+                    if len(tokens) and digest not in seen:
+                        starts = _starts_for(tokens, starts, p, q)
+                        if len(seen) < 1_000_000:
+                            seen.add(digest)
+                        held.append(keys_of(tokens, p, q, starts)[0])
+                        kept += len(held[-1])
+                if kept * HASHES > FLUSH:
+                    yield from flush()
+                    held, kept = [], 0
+            made = [part.column("id"), *(pa.array(c, pa.int64()) for c in (counts, hi, lo))]
+            yield pa.RecordBatch.from_arrays([*made, *(pa.nulls(len(part), t) for t in schema.types[4:])], schema=schema)
+        if held:
+            yield from flush()
+
+    return texts.mapInArrow(sets, "id long, n_shingles long, hi long, lo long, segment int, once binary, twice binary")
+
+
+def _entries(texts: DataFrame, n: int, p: int, q: int, size: int, whole: np.ndarray) -> DataFrame:
+    """(key, id, size, kind, allotment, most, spare): the index entries of every text whose keys the filter holds twice."""
+    twice = texts.sparkSession.sparkContext.broadcast(whole)
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int64()), ("kind", pa.int8()), ("allotment", pa.int8()), ("most", pa.int32()), ("spare", pa.int16())])
 
     def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
@@ -160,20 +214,35 @@ def _entries(texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
             for a, b in chunks(column):
                 made = []
                 for doc, tokens in zip(ids[a:b], shingle_sets(words, column[a:b], n), strict=True):
-                    while len(tokens) >= starts[-1]:
-                        starts = band_starts(2 * starts[-1], p, q)
                     if len(tokens):
-                        key, kind, spare = keys_of(tokens, p, q, starts)
-                        made.append((key, np.full(len(key), doc), kind, spare))
+                        starts = _starts_for(tokens, starts, p, q)
+                        key, *rest = keys_of(tokens, p, q, starts)
+                        made.append((key, np.full(len(key), doc), np.full(len(key), len(tokens)), *rest))
                 if made:
-                    key, doc, kind, spare = (np.concatenate(c) for c in zip(*made, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(doc, pa.int64()), pa.array(kind, pa.int8()), pa.array(spare, pa.int16())], names=["key", "id", "kind", "spare"])
+                    key, *rest = (np.concatenate(c) for c in zip(*made, strict=True))
+                    met = np.logical_and.reduce([hit(twice.value, c) for c in _cells(key, size)])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[met], t) for c, t in zip((signed(key), *rest), schema.types, strict=True)], schema=schema)
 
-    return texts.mapInArrow(entries, "key long, id long, kind byte, spare short")
+    return texts.mapInArrow(entries, "key long, id long, size long, kind byte, allotment byte, most int, spare short")
+
+
+def _may_link(pairs: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs (a, b, size, size2, most, allotment) added up, as (a, b, shared), without those that can't link.
+
+    Segments that don't match differ by their allotments at least, so what
+    matches is over the scheme's H less the most that this pair may differ in.
+    """
+    # in whole numbers: the least intersection of a linked pair is p * total / (p + q), rounded up
+    differ = F.expr(f"size + size2 - 2 * (({p} * (size + size2) + {p + q - 1}) div {p + q})")
+    sized = pairs.where(F.least("size", "size2") * q >= F.greatest("size", "size2") * p)
+    added = sized.groupBy("a", "b", "size", "size2", "most").agg(F.sum("allotment").alias("shared"))
+    return added.where(F.col("shared") > F.col("most") - differ).groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose texts link: q * intersection >= p * union."""
+    involved = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = written(keep_ids(texts, involved, "id").dropDuplicates(["id"]), "jaccard-texts")
     both = (
         pairs.join(texts.withColumnsRenamed({"id": "b", "text": "right"}), "b")
         .join(texts.withColumnsRenamed({"id": "a", "text": "left"}), "a")
@@ -214,7 +283,10 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
     """
     p, q = threshold
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    sets = cut(_sets(texts, n))
+    size = cells_for((texts.select(F.sum(F.octet_length("text"))).first()[0] or 0) * EACH_BYTE, CELLS_EACH)
+    first_pass = written(_sets(texts, n, p, q, size), "jaccard-sets")
+    sets = first_pass.where("segment is null").select("id", "n_shingles", "hi", "lo")
+    twice = bitmap(first_pass.where("segment is not null").select("segment", "once", "twice"), size)
     filled = sets.where("n_shingles > 0 and id is not null")
     equal = cut(filled.groupBy("hi", "lo").agg(F.min("id").alias("first")))
     firsts = cut(equal.select(F.col("first").alias("id")).distinct())
@@ -222,31 +294,41 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
 
     # the index: entries that meet others
     bucket = Window.partitionBy("key")
-    entries = _entries(chosen, n, p, q).withColumn("rows", F.count("*").over(bucket)).withColumn("center", F.min(F.when(F.col("kind") == 0, F.col("id"))).over(bucket)).withColumn("two", F.min("id").over(bucket) < F.max("id").over(bucket))
-    met = written(entries.where("two and center is not null").drop("two"), "jaccard-entries")
-    # a set leaves out crowded segments as far as its scheme's spare allotments go; the spare is the same in a scheme
-    crowded = met.where(F.col("rows") > CROWDED).where("kind = 0 and spare > 0")
-    enough = crowded.groupBy("id", "spare").agg(F.count("*").alias("_left")).where(F.col("_left") <= F.col("spare")).select("id", "spare", F.lit(True).alias("_out"))
-    slim = met.join(enough, ["id", "spare"], "left").where(~((F.col("rows") > CROWDED) & (F.col("kind") == 0) & (F.col("spare") > 0) & F.coalesce("_out", F.lit(False)))).drop("_out")
-
-    # first each text with the smallest center that it meets
-    first = cut(slim.where("center <> id").groupBy("id").agg(F.min("center").alias("a")).select("a", F.col("id").alias("b")))
-    involved = cut(met.select("id").distinct())
-    needed = written(keep_ids(chosen, involved, "id").dropDuplicates(["id"]), "jaccard-texts")
-    links = cut(_verified(first, needed, n, p, q))
-    known = cut(components(links))
-
-    # then, in buckets that still hold several components, whoever is outside the largest
-    placed = slim.select("key", "id", "kind").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    placed = written(placed.join(open_keys, "key", "left_semi"), "jaccard-open")
-    most = placed.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    few = placed.join(most, "key").where("component <> largest").drop("largest")
-    others = placed.withColumnsRenamed({"id": "id2", "kind": "kind2", "component": "component2"})
-    pairs = few.join(others, "key").where("component <> component2 and kind + kind2 < 2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-    pairs = cut(pairs.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(pairs, needed, n, p, q))
-    found = components(links)
+    entries = _entries(chosen, n, p, q, size, twice).withColumns(
+        {"rows": F.count("*").over(bucket), "whole": F.count_if(F.col("kind") == 0).over(bucket), "two": F.min("id").over(bucket) < F.max("id").over(bucket)}
+    )
+    met = written(entries.where("two and whole > 0").drop("two", "whole"), "jaccard-entries")
+    # a set leaves out crowded segments as far as its scheme's spare allotments go
+    crowded = (F.col("rows") > CROWDED) & (F.col("kind") == 0) & (F.col("spare") > 0)
+    enough = met.where(crowded).groupBy("id", "spare").agg(F.count("*").alias("_left")).where(F.col("_left") <= F.col("spare")).select("id", "spare", F.lit(True).alias("_out"))
+    hubs = met.groupBy("id").agg(F.sum("rows").alias("hub"))
+    slim = met.join(enough, ["id", "spare"], "left").where(~(crowded & F.coalesce("_out", F.lit(False)))).drop("_out", "rows", "spare")
+    slim = written(slim.join(hubs, "id"), "jaccard-slim")
+
+    # first each text with the center that it meets most; a bucket's center is the text that meets most others anywhere
+    centers = slim.where("kind = 0").groupBy("key").agg(F.max(F.struct("hub", -F.col("id"), "id", "size")).alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.size").alias("size2"))
+    meets = slim.join(centers, "key").where(F.col("a") != F.col("id")).where(F.least("size", "size2") * q >= F.greatest("size", "size2") * p)
+    best = meets.groupBy("id", "a", "size2").agg(F.sum("allotment").alias("n")).groupBy("id").agg(F.max_by(F.struct("a", "size2"), F.struct("n", -F.col("a"))).alias("c"))
+    best = cut(best.select(F.col("c.a").alias("a"), F.col("id").alias("b"), F.col("c.size2").alias("size2")))
+    own = slim.select(F.col("id").alias("b"), "key", "size", "most", "allotment", "kind").join(best, "b")
+    theirs = slim.select(F.col("id").alias("a"), "key", F.col("kind").alias("kind2"))
+    first = cut(_may_link(own.join(theirs, ["a", "key"]).where("kind + kind2 < 2"), p, q).select("a", "b"))
+    links = cut(_verified(first, chosen, n, p, q))
+    known = components(links)
+
+    # then, in buckets that still hold several components, whoever is outside the largest with all others
+    placed = slim.drop("hub").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = written(placed, "jaccard-placed")
+    parts = placed.groupBy("key", "component").count().groupBy("key").agg(F.count("*").alias("n"), F.max_by("component", F.struct("count", "component")).alias("largest")).where("n > 1")
+    few = placed.join(parts.select("key", "largest"), "key").where("component <> largest")
+    others = placed.select("key", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("kind").alias("kind2"), F.col("component").alias("component2"))
+    # a pair outside the largest on both sides comes twice
+    pairs = few.join(others, "key").where("component <> component2 and kind + kind2 < 2 and (component2 = largest or id < id2)")
+    swap = F.col("id") > F.col("id2")
+    ordered = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(swap, F.col("size2")).otherwise(F.col("size")).alias("size"), F.when(swap, F.col("size")).otherwise(F.col("size2")).alias("size2"), "most", "allotment")
+    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = cut(_may_link(ordered, p, q).select("a", "b").join(done, ["a", "b"], "left_anti"))
+    found = components(links.unionByName(_verified(pairs, chosen, n, p, q)))
 
     reached = equal.join(found, F.col("first") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "first").alias("component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id"))
