@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut
 
-#: Documents, about, in one range of a queue.
-RANGE_ROWS = 50_000
+#: Documents, about, in one range of a queue, and ranges at most: their sums are added up in one task.
+RANGE_ROWS, MOST_RANGES = 2_000, 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -91,7 +91,7 @@ def mix_sources(
         )
     )
     count = rows.count()
-    ranges = max(1, -(-count // RANGE_ROWS))
+    ranges = min(MOST_RANGES, max(1, -(-count // RANGE_ROWS)))
     targets = cut(source_targets(rows, weights, share, repeats))
     # the shuffle key is a hash, so equal parts of its values are ranges of even size
     queues = rows.withColumn("part", F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * ranges).cast("int"))
