@@ -61,6 +61,7 @@ class Config:
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }

@@ -139,6 +139,7 @@ class SqliteReader(DataSourceReader):
 
 def read_table(spark: SparkSession, path: str, table: str, columns: tuple[str, ...] = ()) -> DataFrame:
     spark.dataSource.register(SqliteSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("sqlite_ro").option("path", path).option("table", table).option("columns", ",".join(columns)).load()
 
 
