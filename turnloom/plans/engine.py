@@ -6,6 +6,7 @@ A session's faults are columns of its row, so one bad session does not stop the
 from __future__ import annotations
 
 import json
+import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -33,6 +34,14 @@ class Plan(NamedTuple):
     warnings: DataFrame
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def only(source: Source, ids: DataFrame) -> Source:
     """The source's rows of these sessions; ids are filtered first, so the big tables are read for them only."""
     keep = lambda df: df.join(ids.select("session_id"), "session_id", "left_semi")
@@ -41,9 +50,9 @@ def only(source: Source, ids: DataFrame) -> Source:
 
 def plan(source: Source, format_version: int = 0, variant: str = "") -> Plan:
     """The source's sessions as event logs, with what is to be said about them."""
-    planned = events.planned_messages(source.sessions, source.messages, source.parts)
-    log = events.event_log(planned, source.sessions, format_version)
-    stats = events.plan_stats(planned, log)
+    planned = cut(events.planned_messages(source.sessions, source.messages, source.parts))
+    log = cut(events.event_log(planned, source.sessions, format_version))
+    stats = cut(events.plan_stats(planned, log))
     return Plan(planned, log, events.log_headers(source.sessions, format_version, variant), stats, validate.violations(log), source.warnings.unionByName(W.plan_warnings(source.sessions, planned, stats)))
 
 
@@ -69,15 +78,15 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
         ids = source.sessions.join(live.select("session_id"), "session_id", "left_anti").select("session_id")
         source = only(source, ids)
     made = plan(source, config.format_version, force_variant)
-    log = made.events.cache()
+    log = made.events
     counts = source.messages.groupBy("session_id").agg(F.count("*").alias("message_count"))
-    invalid = made.violations.select("session_id").distinct()
+    invalid = cut(made.violations.select("session_id").distinct())
     blank = source.sessions.join(counts, "session_id", "left_anti").select("session_id")
     sound = made.headers.join(invalid, "session_id", "left_anti").join(blank, "session_id", "left_anti")
     stored_headers, stored = sink.headers(), sink.events()
     if force_variant:
         stored_headers, stored = stored_headers.limit(0), stored.limit(0)
-    decided = reconcile.decisions(log, sound, stored, stored_headers).cache()
+    decided = cut(reconcile.decisions(log, sound, stored, stored_headers))
     if not config.dry_run:
         written = reconcile.increments(log, decided).select(sink.events().columns)
         fresh = decided.where("mode = 'create'").select("session_id")
@@ -93,7 +102,7 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts.join(source.messages.where("role = 'assistant'").select("session_id", "msg_pos"), ["session_id", "msg_pos"], "left_semi")), fidelity.stored_reasoning(read_back.join(decided.where("mode <> 'conflict'"), "session_id", "left_semi")))
     status = F.when(F.col("_invalid"), "failed").when(F.col("_blank"), "skipped").otherwise(F.element_at(F.create_map(*(F.lit(x) for x in ("create", "imported", "append", "appended", "skip", "skipped", "conflict", "conflict"))), F.col("mode")))
     flag = lambda df, name: df.withColumn(name, F.lit(True))
-    results = (
+    results = cut(
         source.sessions.select("session_id", "title")
         .join(flag(invalid, "_invalid"), "session_id", "left")
         .join(flag(blank, "_blank"), "session_id", "left")
@@ -105,7 +114,7 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
         .withColumn("fidelity_ok", F.when(F.col("status").isin("imported", "appended"), F.coalesce("_ok", F.lit(True))) if not config.dry_run else F.lit(None).cast("boolean"))
         .withColumn("reason", F.when(F.col("_invalid"), "event-log-invalid").when(F.col("_blank"), "source-session-empty").otherwise(F.col("reason")))
         .drop("_invalid", "_blank", "_ok")
-    ).cache()
+    )
     said = made.warnings.unionByName(W.rows_of(invalid, "event-log-invalid", "error")).unionByName(W.rows_of(blank, "source-session-empty")).unionByName(W.rows_of(decided.where("mode = 'conflict'"), "conflict", "error", F.create_map(F.lit("reason"), F.col("reason")))).unionByName(W.rows_of(results.where("not fidelity_ok"), "fidelity-mismatch", "error"))
     if registry is not None and not config.dry_run:
         slices = digests.turn_digests(digests.turn_slices(log))
@@ -152,7 +161,7 @@ def audit(spark: SparkSession, config: Config) -> DataFrame:
     """One row of corpus totals from planning every session and comparing its reasoning; nothing is written."""
     source = open_source(spark, config)
     made = plan(source, config.format_version)
-    log = made.events.cache()
+    log = made.events
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts), fidelity.stored_reasoning(log))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
     sums = made.stats.agg(F.count("*").alias("sessions"), *(total(c) for c in ("turns", "steps", "events", "reasoning_blocks", "reasoning_chars", "tool_calls", "file_placeholders")))
