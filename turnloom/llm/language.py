@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,20 +46,33 @@ class Model:
     """Log frequencies by language of words and n-grams; scores a word by the first that knows it."""
 
     def __init__(self, languages: list[str], prior: np.ndarray, logs: dict[int, dict[str, np.ndarray]]):
-        self.languages, self.prior, self.logs = languages, prior, logs
-        self.none = np.zeros(len(languages))
+        self.languages, self.prior = languages, prior
+        # each table's items numbered, with their logs in rows; table 0 is the words' own, n that of n-grams
+        self.numbers = {n: {item: i for i, item in enumerate(by)} for n, by in logs.items() if by}
+        self.logs = {n: np.array(list(by.values())) for n, by in logs.items() if by}
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each word, at most 0; all are 0 for one that no table knows, or without letters."""
+        scores = np.zeros((len(words), len(self.languages)))
+        left = [i for i, word in enumerate(words) if word]
+        for n in (0, *range(LONGEST, 0, -1)):
+            if not left or n not in self.numbers:
+                continue
+            number = self.numbers[n].get
+            items = [grams(words[i], n) if n else [words[i]] for i in left]
+            owner = np.repeat(np.arange(len(left)), np.fromiter(map(len, items), np.int64, len(items)))
+            found = np.fromiter(map(number, chain.from_iterable(items), repeat(-1)), np.int64, len(owner))
+            owner, found = owner[found >= 0], found[found >= 0]
+            if len(found):
+                have, first, count = np.unique(owner, return_index=True, return_counts=True)
+                mean = np.add.reduceat(self.logs[n][found], first, axis=0) / count[:, None]
+                places = np.array(left)
+                scores[places[have]] = mean - mean.max(axis=1, keepdims=True)
+                left = np.delete(places, have).tolist()
+        return scores
 
     def word(self, word: str) -> np.ndarray:
-        """0 in the logs is the words' own table, n that of n-grams."""
-        if (known := self.logs.get(0, {}).get(word)) is not None:
-            return known - known.max()
-        for n in range(LONGEST, 0, -1):
-            by = self.logs.get(n, {})
-            found = [x for g in grams(word, n) if (x := by.get(g)) is not None]
-            if found:
-                total = np.mean(found, axis=0)
-                return total - total.max()
-        return self.none
+        return self.score([word])[0]
 
 
 class Scores(dict):
@@ -67,20 +81,29 @@ class Scores(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.rows = np.empty((1 << 12, len(model.languages)))
-        self.letters = np.empty(1 << 12, bool)
+        self.rows = np.empty((0, len(model.languages)))
+        self.letters = np.empty(0, bool)
+        self.new: list[bytes] = []
 
     def __missing__(self, raw: bytes) -> int:
-        i = len(self)
-        if i == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-            self.letters = np.concatenate([self.letters, np.empty_like(self.letters)])
-        word = bare(raw.decode("utf-8", "replace"))
-        self.rows[i] = self.model.word(word) if word else 0.0
-        self.letters[i] = bool(word)
-        self[raw] = i
+        self[raw] = i = len(self)
+        self.new.append(raw)
         return i
 
+    def numbers(self, parts: list[list[bytes]]) -> np.ndarray:
+        """The numbers of all words, one part after another; new ones are scored together."""
+        ids = np.fromiter(map(self.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        words = [bare(raw.decode("utf-8", "replace")) for raw in self.new]
+        self.new = []
+        if words:
+            if len(self) > len(self.rows):
+                room = max(1 << 12, len(self), 2 * len(self.rows))
+                self.rows = np.concatenate([self.rows, np.empty((room - len(self.rows), self.rows.shape[1]))])
+                self.letters = np.concatenate([self.letters, np.empty(room - len(self.letters), bool)])
+            self.rows[len(self) - len(words) : len(self)] = self.model.score(words)
+            self.letters[len(self) - len(words) : len(self)] = [bool(word) for word in words]
+        return ids
+
 
 def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
     """A model from at most `sample` documents with a language, those with the smallest hashes of their ids.
@@ -149,36 +172,35 @@ def identified(documents: DataFrame, model: Model, text_column: str = "text") ->
     letter, and for all if the model has no language. Ties go to the language
     first by name.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.logs))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts):
-        import pandas as pd
-
-        model = Model(*shared.value)
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = shared.value
         scores = Scores(model)
-        names, sure = [], []
-        column = [None if t is None else t.encode() for t in texts]
-        for a, b in chunks(column):
-            if len(scores) > 1 << 18:
-                scores = Scores(model)
-            parts = [t.split() if t else [] for t in column[a:b]]
-            ids = np.fromiter(map(scores.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
-            start = 0
-            for words in parts:
-                own = ids[start : start + len(words)]
-                start += len(words)
-                if not model.languages or not scores.letters[own].any():
-                    names.append(UNDETERMINED)
-                    sure.append(0.0)
-                    continue
-                # evidence beyond twenty words is taken in proportion, so that scores stay apart
-                total = scores.rows[own].sum(0) / max(1.0, len(own) / 20) + model.prior / max(1, len(own))
-                odds = np.exp(total - total.max())
-                best = int(odds.argmax())
-                names.append(model.languages[best])
-                sure.append(float(odds[best] / odds.sum()))
-        return pd.DataFrame({"lang_pred": names, "score": np.array(sure, dtype="float64")})
+        for texts in batches:
+            names, sure = [], []
+            column = [None if t is None else t.encode() for t in texts]
+            for a, b in chunks(column):
+                if len(scores) > 1 << 18:
+                    scores = Scores(model)
+                parts = [t.split() if t else [] for t in column[a:b]]
+                ids = scores.numbers(parts)
+                start = 0
+                for words in parts:
+                    own = ids[start : start + len(words)]
+                    start += len(words)
+                    if not model.languages or not scores.letters[own].any():
+                        names.append(UNDETERMINED)
+                        sure.append(0.0)
+                        continue
+                    # evidence beyond twenty words is taken in proportion, so that scores stay apart
+                    total = scores.rows[own].sum(0) / max(1.0, len(own) / 20) + model.prior / max(1, len(own))
+                    odds = np.exp(total - total.max())
+                    best = int(odds.argmax())
+                    names.append(model.languages[best])
+                    sure.append(float(odds[best] / odds.sum()))
+            yield pd.DataFrame({"lang_pred": names, "score": np.array(sure, dtype="float64")})
 
     both = fresh(documents, "_found")
     found = documents.withColumn(both, predict(F.col(text_column)))
