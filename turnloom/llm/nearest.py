@@ -113,11 +113,15 @@ def _searched(vectors: DataFrame, queries: DataFrame, k: int, tables: int, probe
             dim = asked.column("dim")[0].as_py()
             q, x = (np.asarray(t.column("v").combine_chunks().flatten(), np.float64).reshape(-1, dim) for t in (asked, there))
             ids = np.asarray(there.column("id"))
+            repeated = len(np.unique(ids)) < len(ids)
             for query, vector in zip(asked.column("id").to_pylist(), q, strict=True):
                 with np.errstate(over="ignore"):
                     away = np.sqrt(((x - vector) ** 2).sum(1))
                 away[ids == query] = np.nan
-                best = np.lexsort((ids, away))[: k + 1]
+                best = np.lexsort((ids, away))
+                if repeated:  # an id with several vectors counts once, by the nearest of them
+                    best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+                best = best[: k + 1]
                 best = best[~np.isnan(away[best])][:k]
                 out[0].append(np.full(len(best), query))
                 out[1].append(ids[best])
@@ -150,7 +154,7 @@ def nearest(
     """
 
     def clean(df: DataFrame) -> DataFrame:
-        return df.where(F.col(id_column).isNotNull() & usable(F.col(vector_column))).select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
+        return df.where(F.col(id_column).isNotNull() & usable(F.col(vector_column))).select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v")).dropDuplicates(["id", "v"])
 
     same = Window.partitionBy("v").orderBy("id")
     index = clean(vectors).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("id", "v")
