@@ -286,11 +286,11 @@ z AS (SELECT session_id, record, count(*) AS size FROM w GROUP BY session_id, re
 SELECT w.session_id, w.idx::BIGINT AS idx, min(w.record)::BIGINT AS record, bool_or(w.pos = z.size - 1) AS terminal FROM w JOIN z USING (session_id, record) GROUP BY w.session_id, w.idx"""
 )
 def window_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of up to five messages, three apart, so that neighbours overlap by two."""
+    """Windows of up to five messages, three apart, so that neighbours overlap by two; the SQL has the first 40 of a session."""
     rows = talk(spark, sf_dir)
     records = rows.select("session_id", "msg_pos", "text", F.explode(F.array(F.floor(F.col("msg_pos") / 3), F.floor((F.col("msg_pos") + 2) / 3))).alias("record")).distinct()
     longest = rows.groupBy("session_id").agg(F.count("*").alias("n"))
-    records = records.join(longest, "session_id").where("record * 3 < n and record < 40").drop("n")
+    records = records.join(longest, "session_id").where("record * 3 < n").drop("n")
     records = records.withColumn("idx", F.col("msg_pos")).withColumn("pos", F.col("msg_pos") - F.greatest(F.col("record") * 3 - 2, F.lit(0)))
     sized = records.withColumn("size", F.count("*").over(Window.partitionBy("session_id", "record")))
     return merged_windows(sized).select("session_id", "idx", "record", "terminal")
