@@ -697,3 +697,9 @@ def utf16_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UTF-16 lengths of ASCII texts, where SQL has the same; others are tested on fixtures."""
     rows = _table(spark, sf_dir, "conversations").where(F.octet_length("text") == F.length("text"))
     return rows.select("conv_id", "turn", I.utf16_length(F.col("text")).alias("utf16"))
+
+
+@query()
+def utf16_lengths_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTF-16 lengths of all texts; no SQL, tested by Python's encoder."""
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", I.utf16_length(F.col("text")).alias("utf16"))
