@@ -613,6 +613,12 @@ def validate_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.violations(faulty_log(spark, sf_dir).where("substring(session_id, 2) % 10 in (2, 8)"))
 
 
+@query()
+def validate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations in the whole faulty log; no SQL, tested by that of `validate_fields` and the loop of `validate_brackets`."""
+    return validate.violations(faulty_log(spark, sf_dir))
+
+
 @query(f"WITH {_ACTIVITY_LOG} SELECT NULL::VARCHAR AS session_id, NULL::BIGINT AS seq, NULL::VARCHAR AS rule FROM log WHERE false")
 def validate_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.violations(activity_log(spark, sf_dir)[1])
@@ -658,6 +664,13 @@ def degradation_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("session_id", "code", "severity", F.col("detail")["count"].alias("n"))
 
 
+@query()
+def degradation_warnings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degradations of every code; no SQL, tested by counting."""
+    planned, log, _ = activity_log(spark, sf_dir)
+    return W.degradations(events.plan_stats(planned, log)).select("session_id", "code", "severity", F.col("detail")["count"].alias("n"))
+
+
 @query(f"WITH {_TALK}, s AS (SELECT DISTINCT conv_id FROM talk) SELECT 'title-missing' AS code, 'warning' AS severity, count(*)::BIGINT AS n FROM s WHERE conv_id % 10 = 0 HAVING count(*) > 0")
 def warning_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = talk_source(spark, sf_dir)[0]
