@@ -106,8 +106,8 @@ def _parts(df: DataFrame) -> DataFrame:
     return df.withColumns(absent)
 
 
-def talk_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, messages and parts of conversations; every fourth answer begins with a reasoning part."""
+def talk_source(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, messages and parts of conversations; every fourth answer begins with a reasoning part of 20 characters, or if whole, every answer with one of its whole text."""
     rows = talk(spark, sf_dir)
     created = F.col("conv_id") * 1000
     sessions = rows.groupBy("session_id", "conv_id").agg(F.max("turn0").alias("_last")).select(
@@ -121,8 +121,9 @@ def talk_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     )
     time = created + F.col("turn0")
     messages = _messages(rows.select("session_id", "msg_pos", F.concat(F.lit("m"), F.col("turn0").cast("string")).alias("id"), "role", time.alias("time"), F.lit(None).cast("long").alias("completed_time"), F.when(F.col("turn0") == 1, "compact").alias("origin")))
-    thought = (F.col("role") == "assistant") & (F.col("turn0") % 4 == 0)
-    pieces = F.concat(F.when(thought, F.array(F.struct(F.lit("reasoning").alias("kind"), F.substring("text", 1, 20).alias("text")))).otherwise(F.filter(F.array(F.struct(F.lit("x").alias("kind"), F.lit("").alias("text"))), lambda p: F.lit(False))), F.array(F.struct(F.lit("text").alias("kind"), F.col("text"))))
+    thought = (F.col("role") == "assistant") & (F.lit(whole) | (F.col("turn0") % 4 == 0))
+    said = F.col("text") if whole else F.substring("text", 1, 20)
+    pieces = F.concat(F.when(thought, F.array(F.struct(F.lit("reasoning").alias("kind"), said.alias("text")))).otherwise(F.filter(F.array(F.struct(F.lit("x").alias("kind"), F.lit("").alias("text"))), lambda p: F.lit(False))), F.array(F.struct(F.lit("text").alias("kind"), F.col("text"))))
     flat = rows.select("session_id", "msg_pos", "turn0", time.alias("time"), F.posexplode(pieces).alias("part_pos", "p"))
     parts = _parts(flat.select("session_id", "msg_pos", F.col("part_pos").cast("long").alias("part_pos"), F.concat(F.lit("m"), F.col("turn0").cast("string"), F.lit("-p"), F.col("part_pos").cast("string")).alias("id"), "p.kind", "time", "p.text"))
     return sessions, messages, parts
@@ -149,9 +150,9 @@ def activity_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return sessions, messages, parts
 
 
-def talk_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def talk_log(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(planned, log, sessions) of conversations."""
-    sessions, messages, parts = talk_source(spark, sf_dir)
+    sessions, messages, parts = talk_source(spark, sf_dir, whole)
     planned = events.planned_messages(sessions, messages, parts, anchored=False)
     return planned, events.event_log(planned, sessions), sessions
 
@@ -421,6 +422,12 @@ def turn_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.turn_slices(talk_log(spark, sf_dir)[1]).drop("slice")
 
 
+@query()
+def turn_digests_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of turns whose answers all have their whole text as reasoning; no SQL is registered."""
+    return digests.turn_slices(talk_log(spark, sf_dir, whole=True)[1]).drop("slice")
+
+
 @query()
 def log_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of a log; no SQL, as its JSON is Spark's. Tested by changing one field."""
@@ -442,7 +449,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     rewritten, % 11 = 0 it has the whole plan and one turn more, % 13 = 0 there is
     none, % 17 = 0 its header's time differs, % 5 = 0 its title is another.
     """
-    _, plan, sessions = talk_log(spark, sf_dir)
+    _, plan, sessions = talk_log(spark, sf_dir, whole=True)
     conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
     plan = plan.withColumn("conv_id", conv)
     sliced = digests.sliced(plan)
@@ -559,6 +566,15 @@ def fidelity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fidelity.fidelity(fidelity.source_reasoning(parts), fidelity.source_reasoning(changed)).drop("source_head", "stored_head")
 
 
+@query()
+def fidelity_check_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `fidelity_check`, over the whole text of every answer; the other text differs only after the end. No SQL is registered."""
+    parts = talk_source(spark, sf_dir, whole=True)[2]
+    conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
+    changed = parts.where(~((conv % 5 == 0) & F.col("id").startswith("m8-"))).withColumn("text", F.when((conv % 7 == 0) & F.col("id").startswith("m4-"), F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    return fidelity.fidelity(fidelity.source_reasoning(parts), fidelity.source_reasoning(changed)).drop("source_head", "stored_head")
+
+
 @query(
     f"""{_RECONCILE}, v AS (SELECT session_id, conv_id, turns, stored, answered FROM d)
 SELECT session_id, CASE WHEN conv_id % 13 = 0 THEN false ELSE NOT (conv_id % 7 = 0 AND answered) AND stored = least(turns, 2) END AS ok, stored::BIGINT AS stored_turns, least(turns, 2)::BIGINT AS recorded_turns, (turns - least(turns, 2))::BIGINT AS drift, true AS prefix_intact FROM v"""
@@ -654,6 +670,13 @@ def reasoning_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.plan_stats(planned, log).select("session_id", "reasoning_blocks", "reasoning_chars", "injected_messages")
 
 
+@query()
+def reasoning_stats_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `reasoning_stats`, over the whole text of every answer; no SQL is registered."""
+    planned, log, _ = talk_log(spark, sf_dir, whole=True)
+    return events.plan_stats(planned, log).select("session_id", "reasoning_blocks", "reasoning_chars", "injected_messages")
+
+
 @query(
     f"""{_STATS}, u AS (SELECT session_id, 'tool-result-synthesized' AS code, 'warning' AS severity, open AS n FROM t UNION ALL SELECT session_id, 'tool-output-empty', 'info', blank FROM t)
 SELECT session_id, code, severity, n::VARCHAR AS n FROM u WHERE n > 0"""
