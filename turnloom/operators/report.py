@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,14 @@ def by_status(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("n")).orderBy("status")
 
 
-def markdown(total: dict, statuses: list[dict], warnings: list[dict], stamp: str, most: int = 30) -> str:
-    """The report's text from the totals row, the sessions' rows and the warnings' counts."""
-    head = [f"# Import report {stamp}", "", "| figure | value |", "| --- | ---: |", *(f"| {k} | {v:,} |" for k, v in total.items())]
-    rows = ["", "| session | status | reason |", "| --- | --- | --- |", *(f"| {r['session_id']} | {r['status']} | {r.get('reason') or ''} |" for r in statuses[:most])]
-    more = [f"", f"{len(statuses) - most} more sessions"] if len(statuses) > most else []
-    codes = ["", "| warning | severity | count |", "| --- | --- | ---: |", *(f"| {w['code']} | {w['severity']} | {w['n']:,} |" for w in warnings)] if warnings else []
-    return "\n".join([*head, *rows, *more, *codes, ""])
+def markdown(total: dict, statuses: Iterable[dict], counts: list[dict], warnings: Iterable[dict], stamp: str) -> Iterator[str]:
+    """The report's lines from the totals row, every session's row, the warnings' counts and every warning."""
+    yield from (f"# Import report {stamp}", "", "| figure | value |", "| --- | ---: |", *(f"| {k} | {v:,} |" for k, v in total.items()))
+    yield from ("", "| session | status | reason |", "| --- | --- | --- |")
+    for r in statuses:
+        yield f"| {r['session_id']} | {r['status']} | {r.get('reason') or ''} |"
+    if counts:
+        yield from ("", "| warning | severity | count |", "| --- | --- | ---: |", *(f"| {w['code']} | {w['severity']} | {w['n']:,} |" for w in counts))
+        yield from ("", "| session | warning | severity | where | detail |", "| --- | --- | --- | --- | --- |")
+        for w in warnings:
+            yield f"| {w['session_id']} | {w['code']} | {w['severity']} | {w['where'] or ''} | {', '.join(f'{k}: {v}' for k, v in (w['detail'] or {}).items())} |"

@@ -6,7 +6,7 @@ A session's faults are columns of its row, so one bad session does not stop the
 from __future__ import annotations
 
 import json
-import tempfile
+import shutil
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -21,7 +21,7 @@ from ..operators import digests, events, fidelity, reconcile, report, validate
 from ..operators import pending as P
 from ..operators import warnings as W
 from ..sinks.lock import import_lock
-from ..sinks.store import ParquetSink, Registry, Sink, merged_registry, records
+from ..sinks.store import ParquetSink, Registry, Sink, cut, merged_registry, records
 from ..sources.resolve import Source, open_source
 
 
@@ -34,14 +34,6 @@ class Plan(NamedTuple):
     warnings: DataFrame
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
 def only(source: Source, ids: DataFrame) -> Source:
     """The source's rows of these sessions; ids are filtered first, so the big tables are read for them only."""
     keep = lambda df: df.join(ids.select("session_id"), "session_id", "left_semi")
@@ -176,19 +168,35 @@ def workspaces(sessions: DataFrame) -> DataFrame:
     return sessions.where("directory <> ''").groupBy(F.col("directory").alias("cwd")).agg(F.array_sort(F.collect_set("session_id")).alias("sessions"))
 
 
+def workspace_sessions(sessions: DataFrame) -> DataFrame:
+    """(cwd, session_id): the same as rows, so that no folder has to fit in one."""
+    return sessions.where("directory <> ''").select(F.col("directory").alias("cwd"), "session_id").distinct()
+
+
 def mount(groups: DataFrame, attach: Callable[[str, str], str]) -> list[tuple[str, str, str]]:
     """Attaches every session to its folder's workspace by a callback that says attached, already, skipped or failed."""
     return [(r.cwd, s, attach(r.cwd, s)) for r in groups.toLocalIterator() for s in r.sessions]
 
 
 def write_report(run: Run, folder: str, stamp: str) -> None:
-    """<stamp>.json and .md, and the same as latest."""
+    """<stamp>.json and .md with every session and warning, a partition at a time, and the same as latest."""
     out = Path(folder)
     out.mkdir(parents=True, exist_ok=True)
     total = run.totals.first().asDict()
-    shown = [r.asDict() for r in run.results.select("session_id", "status", "reason").orderBy("status", "session_id").limit(1000).collect()]
-    said = [r.asDict() for r in W.counts(run.warnings).collect()]
-    text = json.dumps({"stamp": stamp, "totals": total, "sessions": shown, "warnings": said}, ensure_ascii=False, indent=1)
-    for name in (stamp, "latest"):
-        (out / f"{name}.json").write_text(text)
-        (out / f"{name}.md").write_text(report.markdown(total, shown, said, stamp))
+    sessions = cut(run.results.select("session_id", "status", "reason").orderBy("status", "session_id"))
+    said = cut(run.warnings.select("session_id", "code", "severity", "where", "detail").orderBy("session_id", "code"))
+    counts = [r.asDict() for r in W.counts(said).collect()]
+    rows = lambda df: (r.asDict(recursive=True) for r in df.toLocalIterator())
+    show = lambda x: json.dumps(x, ensure_ascii=False)
+    with (out / f"{stamp}.json").open("w", encoding="utf-8") as to:
+        to.write(f'{{"stamp": {show(stamp)},\n"totals": {show(total)},\n"warnings": {show(counts)}')
+        for name, df in (("sessions", sessions), ("warning_details", said)):
+            to.write(f',\n"{name}": [')
+            for i, row in enumerate(rows(df)):
+                to.write(f"{',' if i else ''}\n {show(row)}")
+            to.write("]")
+        to.write("}\n")
+    with (out / f"{stamp}.md").open("w", encoding="utf-8") as to:
+        to.writelines(f"{line}\n" for line in report.markdown(total, rows(sessions), counts, rows(said), stamp))
+    for kind in ("json", "md"):
+        shutil.copyfile(out / f"{stamp}.{kind}", out / f"latest.{kind}")

@@ -721,6 +721,14 @@ def workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped(talk_source(spark, sf_dir)[0])
 
 
+@query()
+def workspace_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of `workspaces`, one a session; no SQL, tested by that of `workspaces`."""
+    from .plans.engine import workspace_sessions as rows
+
+    return rows(talk_source(spark, sf_dir)[0])
+
+
 @query("SELECT event_id, '[attachment: ' || event_type || CASE WHEN event_id % 2 = 0 THEN ', ' || event_id || ' B' ELSE '' END || ']' || CASE WHEN event_id % 3 = 0 THEN ' file:' || event_id ELSE '' END || ' (content not migrated)' AS text FROM events")
 def file_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_ = F.col("event_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,14 @@ BUCKETS = 64
 EVENTS = "session_id string, seq bigint, " + ", ".join(f"{n} {t}" for n, t in FIELDS.items()) + ", source_event_seqs array<bigint>"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 class Sink(Protocol):
     kind: str
 
@@ -77,9 +86,9 @@ class MemorySink:
             raise ValueError("an append must start where the stored log ends")
         if not headers.join(self._headers, "session_id", "left_semi").isEmpty():
             raise ValueError("the log is there already")
-        rows = lambda a, b, layout: self.spark.createDataFrame([*a.select(b.columns).collect(), *b.collect()], layout)
-        self._headers = rows(headers, self._headers, schema.HEADERS)
-        self._events = rows(events, self._events, EVENTS)
+        rows = lambda a, b: b.unionByName(cut(a.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in b.schema])))
+        # both are cut before either is kept, as they can be read from what is stored
+        self._headers, self._events = rows(headers, self._headers), rows(events, self._events)
 
 
 def merged_registry(old: DataFrame, new: DataFrame) -> DataFrame:
