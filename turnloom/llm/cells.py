@@ -1,7 +1,8 @@
 """Distributed sketches of cells that were hit once, and more than once.
 
-Each task turns the cells that its rows hit into compressed bitmaps, one pair
-(hit at all, hit at least twice) for each segment of the sketch. Merging is by
+Each task turns the cells that its rows hit into gaps between them, or into
+compressed bitmaps where these are smaller, one pair (hit at all, hit at least
+twice) for each segment of the sketch. Merging is by
 segment: a cell counts as hit twice if one task says so or two tasks hit it.
 Only the merged map of cells hit twice is kept; a Bloom filter of twice-seen
 keys and a count-min sketch with the threshold two both read it.
@@ -35,10 +36,25 @@ def cells_for(keys: float, each: float) -> int:
     return int(min(MOST_CELLS, max(SEGMENT, 1 << int(np.ceil(np.log2(wanted))))))
 
 
+#: First byte of packed cells: gaps of two bytes, or a compressed bitmap.
+_GAPS, _BITS = b"g", b"b"
+
+
 def _packed(cells: np.ndarray) -> bytes:
+    """Sorted cells of one segment, at least one."""
+    gaps = np.diff(cells, prepend=0)
+    if len(cells) * 16 <= SEGMENT and int(gaps.max()) < 1 << 16:
+        return _GAPS + gaps.astype("<u2").tobytes()
     dense = np.zeros(SEGMENT, np.uint8)
     dense[cells] = 1
-    return zlib.compress(np.packbits(dense).tobytes(), 1)
+    return _BITS + zlib.compress(np.packbits(dense).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    """The cells that _packed was given."""
+    if packed[:1] == _GAPS:
+        return np.cumsum(np.frombuffer(packed, "<u2", offset=1), dtype=np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(packed[1:]), np.uint8)))
 
 
 def batches(once: np.ndarray, twice: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -57,16 +73,16 @@ def merged(df: DataFrame) -> DataFrame:
     """(segment, bitmap) of the cells hit at least twice; one row for each segment."""
 
     def merge(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = np.zeros(SEGMENT // 8, np.uint8)
-        twice = np.zeros(SEGMENT // 8, np.uint8)
+        once = np.zeros(SEGMENT, bool)
+        twice = np.zeros(SEGMENT, bool)
         for part in parts:
-            for a, b in zip(part.column("once").to_pylist(), part.column("twice").to_pylist(), strict=True):
-                bits = np.frombuffer(zlib.decompress(a), np.uint8)
-                twice |= once & bits
-                once |= bits
-                if b is not None:
-                    twice |= np.frombuffer(zlib.decompress(b), np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())], names=["segment", "bitmap"])
+            for a, b in zip(part.column("once"), part.column("twice"), strict=True):
+                cells = _unpacked(a.as_py())
+                twice[cells[once[cells]]] = True
+                once[cells] = True
+                if b.is_valid:
+                    twice[_unpacked(b.as_py())] = True
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(np.packbits(twice).tobytes(), 1)], pa.binary())], names=["segment", "bitmap"])
 
     return df.groupBy("segment").applyInArrow(merge, "segment int, bitmap binary")
 

@@ -9,6 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,17 @@ def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tupl
         yield start, len(texts)
 
 
+def pieces(array: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list[bytes | None]]:
+    """An Arrow string array's UTF-8 bytes, about limit bytes at a time; a longer text comes alone."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(array), 0), np.int64))
+    start = 0
+    while start < len(array):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield binaries(array.slice(start, stop - start))
+        start = stop
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer, so that sums of word hashes become evenly spread."""
     h = h ^ (h >> np.uint64(30))

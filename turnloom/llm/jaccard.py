@@ -5,23 +5,24 @@ into segments; two linked sets differ in at most H shingles, so of segments
 whose allotments sum to more than H, one has fewer differences than its
 allotment. An allotment of one asks for equal segments, one of two for segments
 with at most one difference, found by one-deletion neighbourhoods. Costs decide,
-band by band, how many segments get which allotment; a few spare segments let a
-set leave out its most crowded ones. Candidates are verified exactly.
+band by band, how many segments get which allotment, and each set leaves out the
+most crowded of its segments as far as a few spare ones allow. Candidates are
+verified exactly.
 
 Before any key is shuffled, a filter of the keys met twice (built like a Bloom
 filter in every task and merged by segments) drops those of one set only.
 
-A crowded bucket isn't expanded to pairs: its members are compared with the
-smallest id among them, linked ones are merged to components, and only members
-outside the bucket's largest component are then paired with the rest. Of pairs,
-those whose matching segments are too few for their sizes are left out, as
-they can't link.
+Small buckets are expanded to pairs. A crowded one is not: all its members are
+compared with one hub, a set that most of them meet. Whatever two members share
+inside the hub is no more than either shares with it; so either they also share
+shingles outside the hub, a known number at least, and meet again in a bucket
+of the hub and such a shingle, or both are close enough to the hub for their
+sizes, which few are that don't link with it (they are paired by size). Links
+are merged to components, and only pairs of different components go on.
 """
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,17 +32,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import batches, bitmap, cells_for, hit
-from .common import BROADCAST_IDS, MASK64, Words, binaries, chunks, cut, keep_ids, mix, powers, rolling, signed, written
+from .common import BROADCAST_IDS, MASK64, Words, cut, keep_ids, mix, pieces, powers, rolling, signed, written
 from .components import components
 
-#: A bucket with more rows is left out by sets that have enough other segments.
-CROWDED = 64
+#: A set leaves out segments whose buckets have more rows than this, as far as its spare allotments go.
+CROWDED = 16
+#: Rows of a bucket that is expanded to pairs: at first, and among buckets of a hub and a shingle. Larger ones get a hub.
+PAIRED, PAIRED_LATER = 8, 64
+#: Rounds of hubs; what is still crowded then is expanded.
+HUB_ROUNDS = 3
+#: Members compared with a copy of a hub in one task.
+HUB_ROWS = 500
 #: What a segment of no or one shingle costs more than another, in keys.
 THIN = 4
 #: Bits of the filter that are set for each key, and cells for each key expected; keys for each byte of text, about.
 HASHES, CELLS_EACH, EACH_BYTE = 2, 6, 0.07
-#: Cells a task gathers before it passes them on.
-FLUSH = 1_000_000
+#: Cells a task gathers before it passes them on, and digests of sets it remembers so as to count copies once.
+FLUSH, REMEMBERED = 2_000_000, 200_000
 
 
 def band_starts(top: int, p: int, q: int) -> list[int]:
@@ -52,108 +59,123 @@ def band_starts(top: int, p: int, q: int) -> list[int]:
     return starts
 
 
-def _scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
+def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
     """(H, equal, near): for pairs whose smaller set has low to high shingles.
 
     H is the largest symmetric difference of a linked pair; equal segments
     have allotment one, near segments two, and equal + 2 * near > H. The cost of a choice is
     its keys for each set, plus what segments of no or one shingle cost as their
-    buckets are crowded.
+    buckets are crowded. Equal segments include the spare ones, for those without any shingle.
     """
     larger = high * q // p
     most = (high + larger) * (q - p) // (q + p)
-
-    def spare(equal: int, near: int) -> int:
-        if not equal:
-            return 0
-        bare = equal * math.exp(-low / (equal + near))
-        return math.ceil(bare + 3 * math.sqrt(bare))
-
-    def cost(near: int) -> float:
-        equal = max(0, most + 1 - 2 * near)
-        equal += spare(equal, near)
-        each = low / (equal + near)
-        thin = math.exp(-each) * (1 + each) if equal + near > 1 else 0
-        return equal + near + near * each + THIN * (equal + near) * thin
-
-    near = min(range((most + 2) // 2 + 1), key=cost)
-    equal = max(0, most + 1 - 2 * near)
-    return most, equal + spare(equal, near), near
-
-
-_SCHEMES: dict[tuple[int, int, int, int], tuple[int, int, int]] = {}
-
-
-def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
-    """_scheme, remembered."""
-    key = low, high, p, q
-    if key not in _SCHEMES:
-        _SCHEMES[key] = _scheme(*key)
-    return _SCHEMES[key]
-
-
-def shingle_sets(words: Words, texts: list[bytes | None], n: int) -> list[np.ndarray]:
-    """Each text's distinct hashed shingles, sorted; a shorter text is one shingle as a whole."""
+    near = np.arange((most + 2) // 2 + 1)
+    equal = np.maximum(0, most + 1 - 2 * near)
+    bare = np.where(equal > 0, equal * np.exp(-low / np.maximum(equal + near, 1)), 0.0)
+    equal = equal + np.ceil(bare + 3 * np.sqrt(bare)).astype(np.int64)
+    each = low / (equal + near)
+    thin = np.where(equal + near > 1, np.exp(-each) * (1 + each), 0.0)
+    best = int(np.argmin(equal + near + near * each + THIN * (equal + near) * thin))
+    return most, int(equal[best]), int(near[best])
+
+
+class Bands:
+    """The schemes of all bands up to the largest size that was asked for."""
+
+    def __init__(self, p: int, q: int):
+        self.p, self.q = p, q
+        self.start = self.high = self.most = self.equal = self.near = np.empty(0, np.int64)
+
+    def of(self, sizes: np.ndarray) -> np.ndarray:
+        """The band of each size; -1 for 0."""
+        top = int(sizes.max(initial=0))
+        if not len(self.high) or self.high[-1] < top:
+            starts = band_starts(max(2 * top, 1000), self.p, self.q)
+            made = [scheme(a, b - 1, self.p, self.q) for a, b in zip(starts, starts[1:], strict=False)]
+            self.start = np.array(starts[:-1], np.int64)
+            self.high = np.array(starts[1:], np.int64) - 1
+            self.most, self.equal, self.near = np.array(made, np.int64).T
+        return np.searchsorted(self.start, sizes, "right") - 1
+
+    @property
+    def spare(self) -> np.ndarray:
+        """How many of its allotments a set may leave out."""
+        return self.equal + 2 * self.near - self.most - 1
+
+
+def shingle_sets(words: Words, texts: list[bytes | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' distinct hashed shingles, sorted within each text, and how many each text has.
+
+    A text with fewer than n words is one shingle as a whole.
+    """
     ids, counts = words.numbers(texts)
     lo = words.lo[ids]
     runs = rolling(lo, n)
-    out, at = [], 0
-    for count in counts.tolist():
+    sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
+    ends = np.cumsum(sizes)
+    out = np.empty(int(sizes.sum()), np.uint64)
+    at = 0
+    for count, end, size in zip(counts.tolist(), ends.tolist(), sizes.tolist(), strict=True):
         if count >= n:
-            out.append(np.unique(runs[at : at + count - n + 1]))
+            own = out[end - size : end]
+            own[:] = runs[at : at + size]
+            own.sort()
         elif count:
-            whole = int((lo[at : at + count] * powers(count, 0xD6E8FEB86659FD93)).sum())
-            out.append(np.array([(whole + count) & MASK64], np.uint64))
-        else:
-            out.append(np.empty(0, np.uint64))
+            out[end - 1] = (int((lo[at : at + count] * powers(count, 0xD6E8FEB86659FD93)).sum()) + count) & MASK64
         at += count
-    return out
+    text = np.repeat(np.arange(len(counts)), sizes)
+    new = np.ones(len(out), bool)
+    new[1:] = (out[1:] != out[:-1]) | (text[1:] != text[:-1])
+    return out[new], np.bincount(text[new], minlength=len(counts))
 
 
-def keys_of(tokens: np.ndarray, p: int, q: int, starts: list[int]) -> tuple[np.ndarray, ...]:
-    """A set's index entries for its own band and the one below: key, kind, allotment, most, spare.
+def index_keys(tokens: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
+    """Index entries of sets that lie one after another, for each set's own band and the one below.
 
-    kind 0 is a segment, 1 a segment less one shingle. most is the scheme's H;
-    spare is how many of its allotments a set may leave out.
+    Returns (key, set, kind, allotment, band, most, spare): kind 0 is a segment, 1 a
+    segment less one shingle; most is the scheme's H; spare is how many segments the set may leave out.
     """
-    size = len(tokens)
-    own = bisect_right(starts, size) - 1
-    made = [[np.empty(0, np.uint64)], *([np.empty(0, t)] for t in (np.int8, np.int8, np.int32, np.int16))]
+    own = bands.of(sizes)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    spread = mix(tokens ^ np.uint64(0xA0761D6478BD642F))
+    made = []
     for band in (own, own - 1):
-        if band < 0:
+        known = np.maximum(band, 0)
+        # sets of the band above take part as the larger of a pair; without differences, only equal sets can link
+        use = (band >= 0) & (bands.most[known] > 0) & (bands.high[known] * bands.q // bands.p >= sizes)
+        rows = np.flatnonzero(use)
+        if not len(rows):
             continue
-        low, high = starts[band], starts[band + 1] - 1
-        if band < own and high * q // p < size:
-            continue
-        most, equal, near = scheme(low, high, p, q)
-        if not most:
-            continue  # only equal sets can link
-        segments = equal + near
-        spread = mix(tokens ^ np.uint64(0xA0761D6478BD642F))
-        place = (spread % np.uint64(segments)).astype(np.int64)
-        sums = np.zeros(segments, np.uint64)
-        np.add.at(sums, place, spread)
-        salt = mix(np.arange(segments, dtype=np.uint64) + np.uint64(band << 32 | 1))
-        is_near = np.arange(segments) >= equal
-        parts = [(mix(sums + salt), 0, 1 + is_near, np.where(is_near, 0, equal + 2 * near - most - 1))]
-        if near:
-            inside = place >= equal
-            fewer = mix(sums[place[inside]] - spread[inside] + salt[place[inside]])
-            parts.append((fewer, 1, np.full(len(fewer), 2), np.zeros(len(fewer))))
-        for key, kind, allotment, spare in parts:
-            for column, value in zip(made, (key, np.full(len(key), kind), allotment, np.full(len(key), most), spare), strict=True):
-                column.append(value.astype(column[0].dtype))
-    return tuple(np.concatenate(x) for x in made)
+        inside = use[of]
+        hashes = spread[inside]
+        at = np.repeat(np.arange(len(rows)), sizes[rows])
+        band = band[rows]
+        equal, segments = bands.equal[band], bands.equal[band] + bands.near[band]
+        begin = np.cumsum(segments) - segments
+        place = (hashes % segments[at].astype(np.uint64)).astype(np.int64)
+        slot = begin[at] + place
+        whose = np.repeat(np.arange(len(rows)), segments)
+        number = np.arange(len(whose)) - begin[whose]
+        sums = np.zeros(len(whose), np.uint64)
+        np.add.at(sums, slot, hashes)
+        salt = mix(number.astype(np.uint64) + ((band[whose] << 32) | 1).astype(np.uint64))
+        near = number >= equal[whose]
+        made.append((mix(sums + salt), rows[whose], np.zeros(len(whose)), 1 + near, band[whose], bands.most[band][whose], np.where(near, 0, bands.spare[band][whose])))
+        less = np.flatnonzero(place >= equal[at])
+        if len(less):
+            slot, at = slot[less], at[less]
+            ones = np.ones(len(less))
+            made.append((mix(sums[slot] - hashes[less] + salt[slot]), rows[at], ones, 2 * ones, band[at], bands.most[band][at], 0 * ones))
+    types = (np.uint64, np.int64, np.int8, np.int8, np.int16, np.int32, np.int32)
+    if not made:
+        return tuple(np.empty(0, t) for t in types)
+    return tuple(np.concatenate(c).astype(t) for c, t in zip(zip(*made, strict=True), types, strict=True))
 
 
 def _cells(keys: np.ndarray, size: int) -> list[np.ndarray]:
     return [((keys if k == 0 else mix(keys)) % np.uint64(size)).astype(np.int64) for k in range(HASHES)]
 
 
-def _starts_for(tokens: np.ndarray, starts: list[int], p: int, q: int) -> list[int]:
-    return starts if len(tokens) < starts[-1] else band_starts(2 * len(tokens), p, q)
-
-
 def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
     """Two kinds of rows: (id, n_shingles, hi, lo), each text's number of shingles and a 128-bit hash of its set;
     and (segment, once, twice), the cells that the keys of a task's different sets hit.
@@ -161,8 +183,7 @@ def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lower=True)
-        starts = band_starts(1 << 20, p, q)
+        words, bands = Words(lower=True), Bands(p, q)
         held: list[np.ndarray] = []
         seen: set[bytes] = set()
 
@@ -174,100 +195,212 @@ def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
 
         kept = 0
         for part in parts:
-            column = binaries(part.column("text"))
-            counts, hi, lo = [], [], []
-            for a, b in chunks(column):
-                for tokens in shingle_sets(words, column[a:b], n):
-                    digest = xxhash.xxh3_128_digest(tokens.tobytes())
-                    whole = np.frombuffer(digest, np.int64)
-                    counts.append(len(tokens))
-                    hi.append(whole[0])
-                    lo.append(whole[1])
-                    if len(tokens) and digest not in seen:
-                        starts = _starts_for(tokens, starts, p, q)
-                        if len(seen) < 1_000_000:
+            if not len(part):
+                continue
+            counts, whole = [], []
+            for some in pieces(part.column("text")):
+                tokens, sizes = shingle_sets(words, some, n)
+                ends = np.cumsum(sizes)
+                digests = [xxhash.xxh3_128_digest(tokens[b - s : b].tobytes()) for b, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                new = np.zeros(len(sizes), bool)
+                for i, digest in enumerate(digests):
+                    if sizes[i] and digest not in seen:
+                        new[i] = True
+                        if len(seen) < REMEMBERED:
                             seen.add(digest)
-                        held.append(keys_of(tokens, p, q, starts)[0])
-                        kept += len(held[-1])
+                counts.append(sizes)
+                whole += digests
+                held.append(index_keys(tokens[np.repeat(new, sizes)], sizes[new], bands)[0])
+                kept += len(held[-1])
                 if kept * HASHES > FLUSH:
                     yield from flush()
                     held, kept = [], 0
-            made = [part.column("id"), *(pa.array(c, pa.int64()) for c in (counts, hi, lo))]
+            halves = np.frombuffer(b"".join(whole), np.int64).reshape(-1, 2)
+            made = [part.column("id"), *(pa.array(c, pa.int64()) for c in (np.concatenate(counts), halves[:, 0], halves[:, 1]))]
             yield pa.RecordBatch.from_arrays([*made, *(pa.nulls(len(part), t) for t in schema.types[4:])], schema=schema)
-        if held:
+        if kept:
             yield from flush()
 
     return texts.mapInArrow(sets, "id long, n_shingles long, hi long, lo long, segment int, once binary, twice binary")
 
 
 def _entries(texts: DataFrame, n: int, p: int, q: int, size: int, whole: np.ndarray) -> DataFrame:
-    """(key, id, size, kind, allotment, most, spare): the index entries of every text whose keys the filter holds twice."""
+    """(key, id, size, kind, allotment, band, most, spare): the index entries of every text whose keys the filter holds twice."""
     twice = texts.sparkSession.sparkContext.broadcast(whole)
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int64()), ("kind", pa.int8()), ("allotment", pa.int8()), ("most", pa.int32()), ("spare", pa.int16())])
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("kind", pa.int8()), ("allotment", pa.int8()), ("band", pa.int16()), ("most", pa.int32()), ("spare", pa.int32())])
 
     def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lower=True)
-        starts = band_starts(1 << 20, p, q)
+        words, bands, there = Words(lower=True), Bands(p, q), twice.value
         for part in parts:
-            ids = part.column("id").to_pylist()
-            column = binaries(part.column("text"))
-            for a, b in chunks(column):
-                made = []
-                for doc, tokens in zip(ids[a:b], shingle_sets(words, column[a:b], n), strict=True):
-                    if len(tokens):
-                        starts = _starts_for(tokens, starts, p, q)
-                        key, *rest = keys_of(tokens, p, q, starts)
-                        made.append((key, np.full(len(key), doc), np.full(len(key), len(tokens)), *rest))
-                if made:
-                    key, *rest = (np.concatenate(c) for c in zip(*made, strict=True))
-                    met = np.logical_and.reduce([hit(twice.value, c) for c in _cells(key, size)])
-                    yield pa.RecordBatch.from_arrays([pa.array(c[met], t) for c, t in zip((signed(key), *rest), schema.types, strict=True)], schema=schema)
-
-    return texts.mapInArrow(entries, "key long, id long, size long, kind byte, allotment byte, most int, spare short")
-
-
-def _may_link(pairs: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs (a, b, size, size2, most, allotment) added up, as (a, b, shared), without those that can't link.
+            ids = np.asarray(part.column("id"))
+            for some in pieces(part.column("text")):
+                tokens, sizes = shingle_sets(words, some, n)
+                own, ids = ids[: len(sizes)], ids[len(sizes) :]
+                key, row, *rest = index_keys(tokens, sizes, bands)
+                met = np.flatnonzero(hit(there, _cells(key, size)[0]))
+                for cells in _cells(key[met], size)[1:]:
+                    kept = hit(there, cells)
+                    met = met[kept]
+                row = row[met]
+                made = (signed(key[met]), own[row], sizes[row], *(c[met] for c in rest))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, schema.types, strict=True)], schema=schema)
+
+    return texts.mapInArrow(entries, "key long, id long, size int, kind byte, allotment byte, band short, most int, spare int")
+
+
+def _fits(one: str, two: str, p: int, q: int) -> str:
+    """SQL: sizes that a linked pair can have."""
+    return f"least({one}, {two}) * {q} >= greatest({one}, {two}) * {p}"
+
+
+def _pairs(small: DataFrame, crowded: DataFrame | None, p: int, q: int) -> DataFrame:
+    """(a, b): pairs of different components in one bucket of small, a < b, without those that can't link by count.
 
     Segments that don't match differ by their allotments at least, so what
-    matches is over the scheme's H less the most that this pair may differ in.
+    matches is over the scheme's H less the most that a pair of these sizes may
+    differ in. In crowded buckets a pair may match as far as either has entries there.
     """
+    names = ("id", "size", "kind", "component")
+    pairs = small.join(small.select("key", *(F.col(c).alias(f"{c}2") for c in names), F.col("band").alias("band2")), "key")
+    pairs = pairs.where("id < id2 and band = band2 and kind + kind2 < 2 and component <> component2").where(_fits("size", "size2", p, q))
+    if crowded is None:
+        return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+    added = pairs.groupBy("id", "id2", "band").agg(F.sum("allotment").alias("shared"), *(F.first(c).alias(c) for c in ("size", "size2", "most")))
+    there = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
+    both = added.join(there, ["id", "band"], "left").join(there.select(F.col("id").alias("id2"), "band", F.col("there").alias("there2")), ["id2", "band"], "left")
     # in whole numbers: the least intersection of a linked pair is p * total / (p + q), rounded up
-    differ = F.expr(f"size + size2 - 2 * (({p} * (size + size2) + {p + q - 1}) div {p + q})")
-    sized = pairs.where(F.least("size", "size2") * q >= F.greatest("size", "size2") * p)
-    added = sized.groupBy("a", "b", "size", "size2", "most").agg(F.sum("allotment").alias("shared"))
-    return added.where(F.col("shared") > F.col("most") - differ).groupBy("a", "b").agg(F.max("shared").alias("shared"))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose texts link: q * intersection >= p * union."""
-    involved = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = written(keep_ids(texts, involved, "id").dropDuplicates(["id"]), "jaccard-texts")
-    both = (
-        pairs.join(texts.withColumnsRenamed({"id": "b", "text": "right"}), "b")
-        .join(texts.withColumnsRenamed({"id": "a", "text": "left"}), "a")
-        .select("a", "b", F.col("left"), F.col("right"))
-    )
+    differ = f"size + size2 - 2 * (({p} * (size + size2) + {p + q - 1}) div {p + q})"
+    can = both.where(f"shared + least(coalesce(there, 0), coalesce(there2, 0)) > most - ({differ})")
+    return can.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+
+
+def _hubs(crowded: DataFrame) -> DataFrame:
+    """(a, b, least): every member b of a crowded bucket with the bucket's hub a, and the size of the hub's smallest member.
 
-    def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A set's weight is the rows that it meets. A bucket's heaviest set is what its
+    members may choose; each chooses the heaviest it is offered in any bucket,
+    and the bucket takes what most of its members chose.
+    """
+    weight = crowded.groupBy("id").agg(F.sum("rows").alias("weight"))
+    heaviest = crowded.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("heaviest"))
+    offered = crowded.select("key", "id", "size").join(heaviest, "key")
+    chosen = offered.groupBy("id").agg(F.max("heaviest").alias("heaviest")).select("id", (-F.col("heaviest")["col2"]).alias("choice"))
+    votes = crowded.select("key", "id").join(chosen, "id").groupBy("key", "choice").count()
+    hub = votes.groupBy("key").agg(F.max(F.struct("count", -F.col("choice"))).alias("most")).select("key", (-F.col("most")["col2"]).alias("a"))
+    pairs = crowded.select("key", F.col("id").alias("b"), "size").join(hub, "key").groupBy("a", "b").agg(F.first("size").alias("size"))
+    least = pairs.groupBy("a").agg(F.min("size").alias("least"))
+    return pairs.where("a <> b").join(least, "a").select("a", "b", "least")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """pairs(a, b, least) plus size, the number of b's shingles, size_a, common, linked, and keys.
+
+    least is null for plain pairs. For those with a hub a, keys are the buckets
+    of the hub with shingles of b outside it: of these, b must share some with
+    whatever links with b but not by closeness to the hub, so a prefix of them is enough.
+    """
+    sides = cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("parts")))
+    involved = cut(pairs.select(F.col("b").alias("id")).unionByName(sides.select(F.col("a").alias("id"))).distinct())
+    texts = written(keep_ids(texts, involved, "id"), "jaccard-texts")
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    right = pairs.join(sides, "a").select("a", part, "b", "least").join(texts.withColumnRenamed("id", "b"), "b")
+    left = sides.join(texts.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("int").alias("least"), "text")
+    # a's text comes first, once for each part of its pairs
+    rows = right.select("a", "part", "b", "least", "text").unionByName(left).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("least", pa.int32()), ("size", pa.int32()), ("size_a", pa.int32()), ("common", pa.int32()), ("linked", pa.bool_()), ("keys", pa.list_(pa.int64()))])
+
+    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
-        last: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
+        one = np.empty(0, np.uint64)
         for part in parts:
-            good = []
-            ids, lefts, rights = part.column("a").to_pylist(), binaries(part.column("left")), binaries(part.column("right"))
-            for a, left, right in zip(ids, lefts, rights, strict=True):
-                if a != last[0]:
-                    last = a, shingle_sets(words, [left], n)[0]
-                other = shingle_sets(words, [right], n)[0]
-                one, two = sorted((last[1], other), key=len)
-                common = 0
-                if len(one) * q >= len(two) * p:
-                    at = np.searchsorted(two, one)
-                    common = int((two[np.minimum(at, len(two) - 1)] == one).sum()) if len(two) else 0
-                good.append(common > 0 and q * common >= p * (len(one) + len(two) - common))
-            yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(verify, "a long, b long")
+            columns = [part.column(c).to_pylist() for c in ("a", "b", "least")]
+            rows = list(zip(*columns, strict=True))
+            for some in pieces(part.column("text")):
+                tokens, sizes = shingle_sets(words, some, n)
+                out: list[tuple] = []
+                end = 0
+                for (a, b, least), size in zip(rows[: len(sizes)], sizes.tolist(), strict=True):
+                    two = tokens[end : end + size]
+                    end += size
+                    if b is None:
+                        one = two.copy()
+                        continue
+                    there = one[np.minimum(np.searchsorted(one, two), len(one) - 1)] == two
+                    common = int(there.sum())
+                    keys = None
+                    if least is not None:
+                        smallest = max(-(-p * size // q), least)
+                        need = -(-p * (size + smallest) // (p + q)) - common
+                        outside = two[~there]
+                        keys = signed(mix(outside[: max(0, len(outside) - max(1, need) + 1)] ^ mix(np.array([a], np.int64).view(np.uint64))))
+                    out.append((a, b, least, size, len(one), common, q * common >= p * (len(one) + size - common), keys))
+                rows = rows[len(sizes) :]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+
+    return written(rows.mapInArrow(compare, "a long, b long, least int, size int, size_a int, common int, linked boolean, keys array<long>"), "jaccard-compared")
+
+
+def _close(compared: DataFrame, p: int, q: int) -> DataFrame:
+    """(a, b): members of one hub that may link without sharing a shingle outside it, not both linked with it.
+
+    Both must have p * (size + size2) <= (p + q) * common. One is smaller than the
+    hub then; members are met by bands of size, up to the largest each allows.
+    """
+    width = "(size_a div 64 + 1)"
+    members = compared.where("least is not null").withColumn("limit", F.expr(f"({p + q} * common) div {p} - size")).where("limit >= least")
+    ask = members.where("not linked").select(F.col("a").alias("hub"), "b", "size", "limit", F.explode(F.expr(f"sequence(least div {width}, limit div {width})")).alias("step"))
+    there = members.select(F.col("a").alias("hub"), F.col("b").alias("b2"), F.col("size").alias("size2"), F.col("limit").alias("limit2"), F.expr(f"size div {width}").alias("step"))
+    met = ask.join(there, ["hub", "step"]).where("b <> b2 and size2 <= limit and size <= limit2").where(_fits("size", "size2", p, q))
+    return met.select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")).distinct()
+
+
+def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """(id, component) of the texts firsts(id, text) that link with others, from their index entries."""
+    spark = firsts.sparkSession
+    bucket = Window.partitionBy("key")
+    # a set leaves out crowded segments as far as its scheme's spare allotments go, the most crowded first. Of the
+    # segments that a linked pair shares, both leave out the first few in the same order, so one that counts stays
+    leaves = (F.col("rows") > CROWDED) & (F.col("spare") > 0)
+    ranked = F.row_number().over(Window.partitionBy("id", "band", leaves).orderBy(F.col("rows").desc(), "key"))
+    slim = entries.withColumn("_rank", ranked).where(~leaves | (F.col("_rank") > F.col("spare"))).drop("_rank", "spare", "rows")
+    now = slim.withColumn("component", F.col("id"))
+    seen: DataFrame | None = None
+    links = spark.createDataFrame([], "a long, b long")
+    close: DataFrame | None = None
+    known: DataFrame | None = None
+    for turn in range(HUB_ROUNDS + 1):
+        paired = PAIRED if turn == 0 else PAIRED_LATER
+        several = F.min("component").over(bucket) < F.max("component").over(bucket)
+        now = written(now.withColumns({"rows": F.count("*").over(bucket), "several": several}).where("several").drop("several"), "jaccard-slim")
+        if turn == HUB_ROUNDS:
+            small, crowded = now, None
+        else:
+            small, crowded = now.where(F.col("rows") <= paired), now.where(F.col("rows") > paired)
+        pairs = _pairs(small, crowded if turn == 0 else None, p, q)
+        if close is not None:
+            linked = known.withColumnsRenamed({"id": "b", "component": "right"})
+            pairs = pairs.unionByName(close.join(known.withColumnsRenamed({"id": "a", "component": "left"}), "a", "left").join(linked, "b", "left").where("coalesce(left, a) <> coalesce(right, b)").select("a", "b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = pairs.withColumn("least", F.lit(None).cast("int"))
+        pairs = cut(pairs if crowded is None else pairs.unionByName(_hubs(crowded)))
+        if pairs.isEmpty():
+            break
+        compared = _compared(pairs, firsts, n, p, q)
+        found = cut(compared.where("linked").select("a", "b"))
+        if known is None or not found.isEmpty():
+            links = links.unionByName(found)
+            known = components(links)
+        if crowded is None or crowded.isEmpty():
+            break
+        done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        seen = done if seen is None else seen.unionByName(done)
+        close = _close(compared, p, q)
+        outside = compared.where("least is not null").select(F.explode("keys").alias("key"), F.col("b").alias("id"), "size").distinct()
+        plain = {"kind": F.lit(0).cast("byte"), "allotment": F.lit(1).cast("byte"), "band": F.lit(0).cast("short"), "most": F.lit(0)}
+        now = outside.join(known, "id", "left").withColumns(plain | {"component": F.coalesce("component", "id")})
+    return known if known is not None else components(links)
 
 
 def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int] = (4, 5), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -279,57 +412,32 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
     intersection >= threshold[0] * union; component_id is the smallest id
     reachable by links, itself included. Shingles are compared by 64-bit hashes.
     A row with a null id links with nothing and has a null component. Rows that
-    repeat an id count as one document, of the text that Spark meets first.
+    repeat an id count as one document, that of the greatest text among them.
     """
     p, q = threshold
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    size = cells_for((texts.select(F.sum(F.octet_length("text"))).first()[0] or 0) * EACH_BYTE, CELLS_EACH)
+    each = texts.groupBy("id").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    measured = each.agg(F.sum("bytes").alias("bytes"), F.max(F.when(F.col("id").isNotNull(), F.col("rows"))).alias("rows")).first()
+    if (measured.rows or 0) > 1:
+        one = texts.where("id is not null").groupBy("id").agg(F.max("text").alias("text"))
+        found = near_duplicates(written(one.unionByName(texts.where("id is null")), "jaccard-documents"), n, threshold, "id", "text")
+        again = texts.select("id").where("id is not null").join(found, "id")
+        return again.unionByName(found.where("id is null"))
+    size = cells_for((measured.bytes or 0) * EACH_BYTE, CELLS_EACH)
     first_pass = written(_sets(texts, n, p, q, size), "jaccard-sets")
     sets = first_pass.where("segment is null").select("id", "n_shingles", "hi", "lo")
     twice = bitmap(first_pass.where("segment is not null").select("segment", "once", "twice"), size)
     filled = sets.where("n_shingles > 0 and id is not null")
     equal = cut(filled.groupBy("hi", "lo").agg(F.min("id").alias("first")))
-    firsts = cut(equal.select(F.col("first").alias("id")).distinct())
-    chosen = keep_ids(texts, firsts, "id")
+    firsts = keep_ids(texts, equal.select(F.col("first").alias("id")), "id")
 
     # the index: entries that meet others
     bucket = Window.partitionBy("key")
-    entries = _entries(chosen, n, p, q, size, twice).withColumns(
+    entries = _entries(firsts, n, p, q, size, twice).withColumns(
         {"rows": F.count("*").over(bucket), "whole": F.count_if(F.col("kind") == 0).over(bucket), "two": F.min("id").over(bucket) < F.max("id").over(bucket)}
     )
     met = written(entries.where("two and whole > 0").drop("two", "whole"), "jaccard-entries")
-    # a set leaves out crowded segments as far as its scheme's spare allotments go
-    crowded = (F.col("rows") > CROWDED) & (F.col("kind") == 0) & (F.col("spare") > 0)
-    enough = met.where(crowded).groupBy("id", "spare").agg(F.count("*").alias("_left")).where(F.col("_left") <= F.col("spare")).select("id", "spare", F.lit(True).alias("_out"))
-    hubs = met.groupBy("id").agg(F.sum("rows").alias("hub"))
-    slim = met.join(enough, ["id", "spare"], "left").where(~(crowded & F.coalesce("_out", F.lit(False)))).drop("_out", "rows", "spare")
-    slim = written(slim.join(hubs, "id"), "jaccard-slim")
-
-    # first each text with the center that it meets most; a bucket's center is the text that meets most others anywhere
-    centers = slim.where("kind = 0").groupBy("key").agg(F.max(F.struct("hub", -F.col("id"), "id", "size")).alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.size").alias("size2"))
-    meets = slim.join(centers, "key").where(F.col("a") != F.col("id")).where(F.least("size", "size2") * q >= F.greatest("size", "size2") * p)
-    best = meets.groupBy("id", "a", "size2").agg(F.sum("allotment").alias("n")).groupBy("id").agg(F.max_by(F.struct("a", "size2"), F.struct("n", -F.col("a"))).alias("c"))
-    best = cut(best.select(F.col("c.a").alias("a"), F.col("id").alias("b"), F.col("c.size2").alias("size2")))
-    own = slim.select(F.col("id").alias("b"), "key", "size", "most", "allotment", "kind").join(best, "b")
-    theirs = slim.select(F.col("id").alias("a"), "key", F.col("kind").alias("kind2"))
-    first = cut(_may_link(own.join(theirs, ["a", "key"]).where("kind + kind2 < 2"), p, q).select("a", "b"))
-    links = cut(_verified(first, chosen, n, p, q))
-    known = components(links)
-
-    # then, in buckets that still hold several components, whoever is outside the largest with all others
-    placed = slim.drop("hub").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = written(placed, "jaccard-placed")
-    parts = placed.groupBy("key", "component").count().groupBy("key").agg(F.count("*").alias("n"), F.max_by("component", F.struct("count", "component")).alias("largest")).where("n > 1")
-    few = placed.join(parts.select("key", "largest"), "key").where("component <> largest")
-    others = placed.select("key", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("kind").alias("kind2"), F.col("component").alias("component2"))
-    # a pair outside the largest on both sides comes twice
-    pairs = few.join(others, "key").where("component <> component2 and kind + kind2 < 2 and (component2 = largest or id < id2)")
-    swap = F.col("id") > F.col("id2")
-    ordered = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(swap, F.col("size2")).otherwise(F.col("size")).alias("size"), F.when(swap, F.col("size")).otherwise(F.col("size2")).alias("size2"), "most", "allotment")
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = cut(_may_link(ordered, p, q).select("a", "b").join(done, ["a", "b"], "left_anti"))
-    found = components(links.unionByName(_verified(pairs, chosen, n, p, q)))
-
+    found = _links(firsts, met, n, p, q)
     reached = equal.join(found, F.col("first") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "first").alias("component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     return sets.join(reached, ["hi", "lo"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce(own, F.col("id"))).alias("component_id"))
