@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +21,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_IDS = 2_000_000
 #: Text handled at once inside a task, in bytes.
 CHUNK_BYTES = 1 << 20
-#: Words remembered by a task before its table is started anew.
-VOCABULARY = 1 << 18
 
 MASK64 = (1 << 64) - 1
 
@@ -124,37 +121,41 @@ def rolling(h: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
-class Words(dict):
-    """Numbers words as they come and keeps a 128-bit hash (lo, hi) of each."""
-
-    def __init__(self, lower: bool = False):
-        super().__init__()
-        self.lower = lower
-        self.hashes = bytearray()
-
-    def __missing__(self, word: bytes) -> int:
-        i = len(self)
-        self.hashes += xxhash.xxh3_128_digest(word)
-        self[word] = i
-        return i
-
-    @property
-    def lo(self) -> np.ndarray:
-        return np.frombuffer(self.hashes, np.uint64)[::2]
-
-    @property
-    def hi(self) -> np.ndarray:
-        return np.frombuffer(self.hashes, np.uint64)[1::2]
-
-    def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All words' numbers one text after another, and how many each text has."""
-        if len(self) > VOCABULARY:
-            self.clear()
-            self.hashes = bytearray()
-        parts = [(t.lower() if self.lower else t).split() if t else [] for t in texts]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        total = int(counts.sum())
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(parts)), np.int64, total), counts
+_IN_WORD = np.array([chr(c) not in SPACES.decode() for c in range(256)])
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer words, in bytes, are hashed one by one.
+_LONG = 64
+
+
+class WordHashes:
+    """The words of several texts, one text after another: how many each text has, and 64-bit hashes of all."""
+
+    def __init__(self, texts: list[bytes | None], lower: bool = False):
+        """lower: A-Z count as a-z."""
+        whole = b" ".join([t or b"" for t in texts])
+        self.whole = (whole.lower() if lower else whole) + b" " * 9
+        inside = np.take(_IN_WORD, np.frombuffer(self.whole, np.uint8))
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        edges = np.concatenate([np.zeros(int(inside[0]), np.int64), edges])
+        self.starts, ends = edges[0::2], edges[1::2]
+        self.lengths = ends - self.starts
+        begins = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
+        self.counts = np.diff(np.searchsorted(self.starts, begins))
+
+    def of(self, seed: int = 0) -> np.ndarray:
+        """Every word's hash: its bytes are taken in by eights; words of up to eight bytes and of one length never collide."""
+        eights = np.ndarray((len(self.whole) - 7,), "<u8", self.whole, 0, (1,))
+        h = mix(self.lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03 + seed))
+        active = np.arange(len(h))
+        for at in range(0, _LONG, 8):
+            taken = eights[self.starts[active] + at] & _FIRST_BYTES[np.minimum(self.lengths[active] - at, 8)]
+            h[active] = mix((h[active] + np.uint64(at)) ^ taken)
+            active = active[self.lengths[active] > at + 8]
+            if not len(active):
+                break
+        for i in active.tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.whole[self.starts[i] : self.starts[i] + self.lengths[i]], seed)
+        return h
 
 
 def signed(h: np.ndarray) -> np.ndarray:

@@ -32,17 +32,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import batches, bitmap, cells_for, hit
-from .common import BROADCAST_IDS, MASK64, Words, cut, keep_ids, mix, pieces, powers, rolling, signed, written
+from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, rolling, signed, written
 from .components import components
 
 #: A set leaves out segments whose buckets have more rows than this, as far as its spare allotments go.
 CROWDED = 16
 #: Rows of a bucket that is expanded to pairs: at first, and among buckets of a hub and a shingle. Larger ones get a hub.
-PAIRED, PAIRED_LATER = 8, 64
+PAIRED, PAIRED_LATER = 16, 64
 #: Rounds of hubs; what is still crowded then is expanded.
 HUB_ROUNDS = 3
 #: Members compared with a copy of a hub in one task.
 HUB_ROWS = 500
+#: Spare segments of every scheme that has equal ones: so many, and one in so many.
+SPARE, SPARE_EACH = 2, 10
 #: What a segment of no or one shingle costs more than another, in keys.
 THIN = 4
 #: Bits of the filter that are set for each key, and cells for each key expected; keys for each byte of text, about.
@@ -65,14 +67,15 @@ def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
     H is the largest symmetric difference of a linked pair; equal segments
     have allotment one, near segments two, and equal + 2 * near > H. The cost of a choice is
     its keys for each set, plus what segments of no or one shingle cost as their
-    buckets are crowded. Equal segments include the spare ones, for those without any shingle.
+    buckets are crowded. Equal segments include the spare ones: for those without any
+    shingle, and some more, as a pair must then share more than one.
     """
     larger = high * q // p
     most = (high + larger) * (q - p) // (q + p)
     near = np.arange((most + 2) // 2 + 1)
     equal = np.maximum(0, most + 1 - 2 * near)
     bare = np.where(equal > 0, equal * np.exp(-low / np.maximum(equal + near, 1)), 0.0)
-    equal = equal + np.ceil(bare + 3 * np.sqrt(bare)).astype(np.int64)
+    equal = equal + np.ceil(bare + 3 * np.sqrt(bare)).astype(np.int64) + np.where(equal > 1, SPARE + equal // SPARE_EACH, 0)
     each = low / (equal + near)
     thin = np.where(equal + near > 1, np.exp(-each) * (1 + each), 0.0)
     best = int(np.argmin(equal + near + near * each + THIN * (equal + near) * thin))
@@ -103,13 +106,13 @@ class Bands:
         return self.equal + 2 * self.near - self.most - 1
 
 
-def shingle_sets(words: Words, texts: list[bytes | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' distinct hashed shingles, sorted within each text, and how many each text has.
 
     A text with fewer than n words is one shingle as a whole.
     """
-    ids, counts = words.numbers(texts)
-    lo = words.lo[ids]
+    words = WordHashes(texts, lower=True)
+    counts, lo = words.counts, words.of()
     runs = rolling(lo, n)
     sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     ends = np.cumsum(sizes)
@@ -183,7 +186,7 @@ def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bands = Words(lower=True), Bands(p, q)
+        bands = Bands(p, q)
         held: list[np.ndarray] = []
         seen: set[bytes] = set()
 
@@ -199,7 +202,7 @@ def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
                 continue
             counts, whole = [], []
             for some in pieces(part.column("text")):
-                tokens, sizes = shingle_sets(words, some, n)
+                tokens, sizes = shingle_sets(some, n)
                 ends = np.cumsum(sizes)
                 digests = [xxhash.xxh3_128_digest(tokens[b - s : b].tobytes()) for b, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 new = np.zeros(len(sizes), bool)
@@ -230,11 +233,11 @@ def _entries(texts: DataFrame, n: int, p: int, q: int, size: int, whole: np.ndar
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("kind", pa.int8()), ("allotment", pa.int8()), ("band", pa.int16()), ("most", pa.int32()), ("spare", pa.int32())])
 
     def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bands, there = Words(lower=True), Bands(p, q), twice.value
+        bands, there = Bands(p, q), twice.value
         for part in parts:
             ids = np.asarray(part.column("id"))
             for some in pieces(part.column("text")):
-                tokens, sizes = shingle_sets(words, some, n)
+                tokens, sizes = shingle_sets(some, n)
                 own, ids = ids[: len(sizes)], ids[len(sizes) :]
                 key, row, *rest = index_keys(tokens, sizes, bands)
                 met = np.flatnonzero(hit(there, _cells(key, size)[0]))
@@ -253,24 +256,26 @@ def _fits(one: str, two: str, p: int, q: int) -> str:
     return f"least({one}, {two}) * {q} >= greatest({one}, {two}) * {p}"
 
 
-def _pairs(small: DataFrame, crowded: DataFrame | None, p: int, q: int) -> DataFrame:
+def _pairs(small: DataFrame, apart: DataFrame | None, p: int, q: int) -> DataFrame:
     """(a, b): pairs of different components in one bucket of small, a < b, without those that can't link by count.
 
     Segments that don't match differ by their allotments at least, so what
     matches is over the scheme's H less the most that a pair of these sizes may
-    differ in. In crowded buckets a pair may match as far as either has entries there.
+    differ in, and by all spare segments but those left out. apart(id, band, there, left)
+    has what a set may match in elsewhere, and how many segments it has left out.
     """
     names = ("id", "size", "kind", "component")
     pairs = small.join(small.select("key", *(F.col(c).alias(f"{c}2") for c in names), F.col("band").alias("band2")), "key")
     pairs = pairs.where("id < id2 and band = band2 and kind + kind2 < 2 and component <> component2").where(_fits("size", "size2", p, q))
-    if crowded is None:
+    if apart is None:
         return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    added = pairs.groupBy("id", "id2", "band").agg(F.sum("allotment").alias("shared"), *(F.first(c).alias(c) for c in ("size", "size2", "most")))
-    there = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
-    both = added.join(there, ["id", "band"], "left").join(there.select(F.col("id").alias("id2"), "band", F.col("there").alias("there2")), ["id2", "band"], "left")
+    added = pairs.groupBy("id", "id2", "band").agg(F.sum("allotment").alias("shared"), *(F.first(c).alias(c) for c in ("size", "size2", "most", "spare")))
     # in whole numbers: the least intersection of a linked pair is p * total / (p + q), rounded up
     differ = f"size + size2 - 2 * (({p} * (size + size2) + {p + q - 1}) div {p + q})"
-    can = both.where(f"shared + least(coalesce(there, 0), coalesce(there2, 0)) > most - ({differ})")
+    asked = added.withColumn("over", F.expr(f"most - ({differ}) - shared"))
+    two = apart.withColumnsRenamed({"id": "id2", "there": "there2", "left": "left2"})
+    both = asked.join(apart, ["id", "band"], "left").join(two, ["id2", "band"], "left")
+    can = both.where("least(coalesce(there, 0), coalesce(there2, 0)) > over + spare - greatest(coalesce(left, 0), coalesce(left2, 0))")
     return can.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
 
 
@@ -310,13 +315,12 @@ def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> Dat
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("least", pa.int32()), ("size", pa.int32()), ("size_a", pa.int32()), ("common", pa.int32()), ("linked", pa.bool_()), ("keys", pa.list_(pa.int64()))])
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lower=True)
         one = np.empty(0, np.uint64)
         for part in parts:
             columns = [part.column(c).to_pylist() for c in ("a", "b", "least")]
             rows = list(zip(*columns, strict=True))
             for some in pieces(part.column("text")):
-                tokens, sizes = shingle_sets(words, some, n)
+                tokens, sizes = shingle_sets(some, n)
                 out: list[tuple] = []
                 end = 0
                 for (a, b, least), size in zip(rows[: len(sizes)], sizes.tolist(), strict=True):
@@ -363,8 +367,9 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
     # segments that a linked pair shares, both leave out the first few in the same order, so one that counts stays
     leaves = (F.col("rows") > CROWDED) & (F.col("spare") > 0)
     ranked = F.row_number().over(Window.partitionBy("id", "band", leaves).orderBy(F.col("rows").desc(), "key"))
-    slim = entries.withColumn("_rank", ranked).where(~leaves | (F.col("_rank") > F.col("spare"))).drop("_rank", "spare", "rows")
-    now = slim.withColumn("component", F.col("id"))
+    stays = ~leaves | (F.col("_rank") > F.col("spare"))
+    sifted = written(entries.withColumn("_rank", ranked).withColumn("stays", stays).drop("_rank", "rows"), "jaccard-sifted")
+    now = sifted.where("stays").drop("stays").withColumn("component", F.col("id"))
     seen: DataFrame | None = None
     links = spark.createDataFrame([], "a long, b long")
     close: DataFrame | None = None
@@ -373,18 +378,20 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         paired = PAIRED if turn == 0 else PAIRED_LATER
         several = F.min("component").over(bucket) < F.max("component").over(bucket)
         now = written(now.withColumns({"rows": F.count("*").over(bucket), "several": several}).where("several").drop("several"), "jaccard-slim")
-        if turn == HUB_ROUNDS:
-            small, crowded = now, None
-        else:
-            small, crowded = now.where(F.col("rows") <= paired), now.where(F.col("rows") > paired)
-        pairs = _pairs(small, crowded if turn == 0 else None, p, q)
+        crowded = now.where(F.col("rows") > paired)
+        small = now if turn == HUB_ROUNDS else now.where(F.col("rows") <= paired)
+        apart = None
+        if turn == 0:
+            elsewhere = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
+            apart = elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.count("*").alias("left")), ["id", "band"], "full")
+        pairs = _pairs(small, apart, p, q)
         if close is not None:
             linked = known.withColumnsRenamed({"id": "b", "component": "right"})
             pairs = pairs.unionByName(close.join(known.withColumnsRenamed({"id": "a", "component": "left"}), "a", "left").join(linked, "b", "left").where("coalesce(left, a) <> coalesce(right, b)").select("a", "b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = pairs.withColumn("least", F.lit(None).cast("int"))
-        pairs = cut(pairs if crowded is None else pairs.unionByName(_hubs(crowded)))
+        pairs = cut(pairs if turn == HUB_ROUNDS else pairs.unionByName(_hubs(crowded)))
         if pairs.isEmpty():
             break
         compared = _compared(pairs, firsts, n, p, q)
@@ -392,13 +399,13 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         if known is None or not found.isEmpty():
             links = links.unionByName(found)
             known = components(links)
-        if crowded is None or crowded.isEmpty():
+        if turn == HUB_ROUNDS or crowded.isEmpty():
             break
         done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         seen = done if seen is None else seen.unionByName(done)
         close = _close(compared, p, q)
         outside = compared.where("least is not null").select(F.explode("keys").alias("key"), F.col("b").alias("id"), "size").distinct()
-        plain = {"kind": F.lit(0).cast("byte"), "allotment": F.lit(1).cast("byte"), "band": F.lit(0).cast("short"), "most": F.lit(0)}
+        plain = {"kind": F.lit(0).cast("byte"), "allotment": F.lit(1).cast("byte"), "band": F.lit(0).cast("short"), "most": F.lit(0), "spare": F.lit(0)}
         now = outside.join(known, "id", "left").withColumns(plain | {"component": F.coalesce("component", "id")})
     return known if known is not None else components(links)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import MOST_CELLS, SCHEMA, batches, bitmap, cells_for, hit
-from .common import Words, binaries, chunks, fresh, mix, rolling, signed
+from .common import WordHashes, binaries, fresh, mix, pieces, rolling, signed
 
 #: Rows of the sketch, and cells of one row for each representative expected.
 ROWS, CELLS_EACH = 2, 3
@@ -76,7 +76,6 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
     width = min(width, MOST_CELLS // ROWS)
 
     def sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -87,11 +86,10 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
 
         kept = 0
         for part in parts:
-            column = binaries(part.column("text"))
-            for a, b in chunks(column):
-                ids, counts = words.numbers(column[a:b])
-                reps = representatives(words.lo[ids], window)
-                one, text, _ = _within(counts, window)
+            for some in pieces(part.column("text")):
+                words = WordHashes(some)
+                reps = representatives(words.of(), window)
+                one, text, _ = _within(words.counts, window)
                 reps, text = reps[one], text[one]
                 if len(reps):
                     order = np.lexsort((reps, text))
@@ -111,7 +109,6 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
 
     def likely(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = repeated.value
-        words = Words()
         held: list[tuple[np.ndarray, ...]] = []
         kept = 0
 
@@ -141,12 +138,12 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
 
         for part in parts:
             docs = np.asarray(part.column("id"))
-            column = binaries(part.column("text"))
-            for a, b in chunks(column):
-                ids, counts = words.numbers(column[a:b])
-                lo = words.lo[ids]
+            for some in pieces(part.column("text")):
+                own, docs = docs[: len(some)], docs[len(some) :]
+                words = WordHashes(some)
+                lo = words.of()
                 reps = representatives(lo, window)
-                one, text, place = _within(counts, window)
+                one, text, place = _within(words.counts, window)
                 if not len(reps):
                     continue
                 for cells in _places(reps, width):
@@ -154,8 +151,8 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
                 at = np.flatnonzero(one)
                 if len(at):
                     h = rolling(lo, window)[at]
-                    g = rolling(words.hi[ids], window)[at].astype(np.uint32)
-                    held.append((h, g, docs[a:b][text[at]], place[at]))
+                    g = rolling(words.of(seed=1), window)[at].astype(np.uint32)
+                    held.append((h, g, own[text[at]], place[at]))
                     kept += len(at)
                 if kept > FLUSH // 4:
                     yield from flush()
