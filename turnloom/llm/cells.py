@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import written
+
 #: Cells of one segment; its bitmap has an eighth of that in bytes.
 SEGMENT = 1 << 22
 #: Largest sketch, in cells: its bitmap, which is broadcast, has 256 MB.
@@ -90,7 +92,8 @@ def merged(df: DataFrame) -> DataFrame:
 def bitmap(df: DataFrame, cells: int) -> np.ndarray:
     """The whole merged map; bounded by MOST_CELLS, whatever the input."""
     whole = np.zeros(cells // 8, np.uint8)
-    for row in merged(df).toLocalIterator():
+    # written first, so that segments are merged in parallel and not one after another
+    for row in written(merged(df), "cells").toLocalIterator():
         low = row.segment * (SEGMENT // 8)
         whole[low : low + SEGMENT // 8] = np.frombuffer(zlib.decompress(row.bitmap), np.uint8)
     return whole

@@ -3,9 +3,9 @@
 Every source is a queue of its documents in a shuffled order that reruns
 repeat; the queue is gone through once for each allowed repeat. A copy's
 virtual finish time is the source's cumulative words up to its end, divided by
-the source's target. All copies are range-sorted by that time; when the total
-budget is spent, time one is reached, and each source is cut off there within
-the copy that it was then sending.
+the source's target. All copies are range-sorted by that time and the order is
+cut where the total budget is spent. A copy that reaches over its source's
+target is queued in two pieces, so that this cut gives every source its target.
 
 Cumulative sums run within ranges of the sort key and add the sums of the
 ranges before, so no source and no sort has to fit in one task.
@@ -73,37 +73,38 @@ def mix_sources(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
+    key_column: str | None = None,
 ) -> DataFrame:
-    """The mix: doc_id, source, size, source_size, target, copy, finish, position, taken.
-
-    A row for each document and copy (0 .. repeats - 1): finish is its virtual
-    finish time, position the number of words before it in the order by finish,
-    taken the words of it that the mix holds: size up to time one, 0 after it,
-    and what was sent by then of the copy that a source is cut off in. A
-    source's taken words are its target, rounded down, so together they are the
-    budget within one word for each source. A document without words has finish 0 and
-    taken 0. The null source is a source of its own. Rows that repeat an id are
-    documents of their own; ties in the shuffle go by id, then size.
+    """The mix: key, doc_id, source, size, source_size, target, copy, piece, words, finish, position, taken.
+
+    A row for each document, copy (0 .. repeats - 1) and piece. A copy in which its source reaches
+    its target is queued in two pieces, so that the cut can fall there; others are one piece. finish
+    is a piece's virtual finish time, position the number of words before it in the
+    order by finish, and taken the words of it before the total budget is spent, which
+    is the sum of the rounded-down targets. So a source's taken words are its target, rounded down. A
+    document without words has one piece a copy, with finish 0 and taken 0. The null source is a source of its own.
+    key tells rows apart: it is key_column, whose values must differ, or made here. Rows that repeat an id,
+    or have a null one, are documents of their own; ties in the shuffle go by id, then size.
     """
-    rows = cut(
-        documents.select(
-            F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"), F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(f"/{seed}"))).alias("shuffle")
-        )
-    )
-    count = rows.count()
-    ranges = min(MOST_RANGES, max(1, -(-count // RANGE_ROWS)))
+    key = F.monotonically_increasing_id() if key_column is None else F.col(key_column)
+    id_ = F.col(id_column)
+    shuffle = F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(f"/{seed}")))
+    rows = cut(documents.select(key.alias("key"), id_.alias("doc_id"), F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"), shuffle.alias("shuffle")))
+    ranges = min(MOST_RANGES, max(1, -(-rows.count() // RANGE_ROWS)))
     targets = cut(source_targets(rows, weights, share, repeats))
     # the shuffle key is a hash, so equal parts of its values are ranges of even size
     queues = rows.withColumn("part", F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * ranges).cast("int"))
-    queues = _before(queues, ["source", "part"], [F.col("shuffle"), F.col("doc_id"), F.col("size")], "size", "before")
+    queues = _before(queues, ["source", "part"], [F.col("shuffle"), F.col("doc_id"), F.col("size"), F.col("key")], "size", "before")
     known = targets.withColumnRenamed("source", "_source")
     queues = queues.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "part")
-    copies = queues.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    start = F.col("before") + F.col("copy") * F.col("source_size")
-    left = F.floor(F.col("target")).cast("long") - start
-    copies = copies.withColumn("finish", F.when(F.col("target") > 0, (start + F.col("size")) / F.col("target")).otherwise(F.lit(0.0)))
-    copies = copies.withColumn("taken", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left)))
+    copies = queues.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("start", F.col("before") + F.col("copy") * F.col("source_size"))
+    early = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.floor("target").cast("long") - F.col("start")))
+    both = F.array(F.struct(F.lit(0).alias("piece"), early.alias("words"), (F.col("start") + early).alias("end")), F.struct(F.lit(1).alias("piece"), (F.col("size") - early).alias("words"), (F.col("start") + F.col("size")).alias("end")))
+    pieces = copies.withColumn("_", F.explode(F.filter(both, lambda x: (x["words"] > 0) | ((F.col("size") == 0) & (x["piece"] == 0))))).select("*", "_.*").drop("_")
+    pieces = pieces.withColumn("finish", F.when((F.col("target") > 0) & (F.col("size") > 0), F.col("end") / F.col("target")).otherwise(F.lit(0.0)))
     # at any time the words sent grow evenly, so equal steps of time are ranges of even size, up to time one
-    copies = copies.withColumn("part", F.least(F.floor(F.col("finish") * ranges), F.lit(4 * ranges)).cast("int"))
-    placed = _before(copies, ["part"], [F.col("finish"), F.col("shuffle"), F.col("doc_id"), F.col("copy"), F.col("size")], "size", "position")
-    return placed.select("doc_id", "source", "size", "source_size", "target", "copy", "finish", "position", "taken")
+    pieces = pieces.withColumn("part", F.least(F.floor(F.col("finish") * ranges), F.lit(4 * ranges)).cast("int"))
+    placed = _before(pieces, ["part"], [F.col(c) for c in ("finish", "piece", "shuffle", "doc_id", "copy", "size", "key")], "words", "position")
+    budget = targets.agg(F.coalesce(F.sum(F.floor("target").cast("long")), F.lit(0)).alias("n")).first().n
+    taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.lit(budget) - F.col("position")))
+    return placed.withColumn("taken", taken).select("key", "doc_id", "source", "size", "source_size", "target", "copy", "piece", "words", "finish", "position", "taken")

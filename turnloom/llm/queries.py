@@ -18,8 +18,8 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, repeats=2)
-    first = lambda c: F.max(c).alias(c)
-    return mix.groupBy("doc_id").agg(first("size"), first("source_size"), first("target"), F.sum("taken").alias("taken"))
+    same = ("doc_id", "size", "source_size", "target")
+    return mix.groupBy("key").agg(*(F.first(c).alias(c) for c in same), F.sum("taken").alias("taken")).select(*same, "taken")
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,18 +85,23 @@ _SPACES = r"\x20\x09-\x0D"
 
 _OP2 = rf"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^{_SPACES}]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || '/0') AS shuffle FROM documents),
+  SELECT row_number() OVER () AS key, doc_id, source, coalesce(len(regexp_extract_all(text, '[^{_SPACES}]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || '/0') AS shuffle FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, (2 * source_size)::DOUBLE AS cap FROM s),
 r AS (SELECT *, cap / weight AS ratio, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget FROM w),
-o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS filled,
+n AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS filled,
              sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM r),
-l AS (SELECT *, (budget - filled) / open AS own FROM o),
+l AS (SELECT *, (budget - filled) / open AS own FROM n),
 t AS (SELECT source, source_size, least(cap, coalesce(weight * (SELECT arg_min(own, ratio) FROM l WHERE own < ratio), cap)) AS target FROM l),
-q AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, floor(target)::BIGINT - before)) + greatest(0, least(size, floor(target)::BIGINT - before - source_size)))::BIGINT AS taken
-FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source
+q AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d),
+c AS (SELECT q.*, source_size, target, copy, before + copy * source_size AS start, greatest(0, least(size, floor(target)::BIGINT - (before + copy * source_size)))::BIGINT AS early
+      FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source CROSS JOIN range(0, 2) r(copy)),
+p AS (SELECT *, 0 AS piece, early AS words, start + early AS ends FROM c WHERE early > 0 OR size = 0 UNION ALL SELECT *, 1, size - early, start + size FROM c WHERE size > early),
+f AS (SELECT *, CASE WHEN target > 0 AND size > 0 THEN ends::DOUBLE / target ELSE 0 END AS finish FROM p),
+o AS (SELECT *, coalesce(sum(words) OVER (ORDER BY finish, piece, shuffle, doc_id, copy, size, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS position FROM f)
+SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+       sum(greatest(0, least(words, (SELECT sum(floor(target)::BIGINT) FROM t) - position)))::BIGINT AS taken
+FROM o GROUP BY key
 """
 
 _OP4 = rf"""
