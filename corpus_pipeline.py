@@ -38,12 +38,17 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each copy of a document that the mix takes; a copy in which its source is cut off ends there."""
-    same, size, taken = (fresh(docs, n) for n in ("_same", "_size", "_taken"))
-    mix = mixing.mix_sources(docs).where("taken > 0 or (size = 0 and copy = 0)").select(F.col("doc_id").alias(same), F.col("size").alias(size), F.col("taken").alias(taken))
-    rows = docs.join(mix, F.col("doc_id").eqNullSafe(F.col(same)))
+    """A row for each copy of a document that the mix takes; a copy in which its source is cut off ends there.
+
+    Rows that repeat an id or have a null one are documents of their own. Null and empty texts stay once.
+    """
+    key, size, taken = (fresh(docs, n) for n in ("_key", "_size", "_taken"))
+    # written with the key, so that both sides of the join have the same one
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed")
+    mix = mixing.mix_sources(keyed, key_column=key).groupBy("key", "copy").agg(F.first("size").alias(size), F.sum("taken").alias(taken))
+    mix = mix.where((F.col(taken) > 0) | ((F.col(size) == 0) & (F.col("copy") == 0))).select(F.col("key").alias(key), size, taken)
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), F.lit(1), F.col(taken).cast("int")), "")
-    return _measured(rows.withColumn("text", F.when(F.col(taken) < F.col(size), first).otherwise(F.col("text"))), docs)
+    return _measured(keyed.join(mix, key).withColumn("text", F.when(F.col(taken) < F.col(size), first).otherwise(F.col("text"))), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
