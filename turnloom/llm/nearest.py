@@ -2,8 +2,10 @@
 
 A fast Hadamard pseudo-rotation (three rounds of random signs and a Hadamard
 transform) turns each unit vector; its hash is the nearest signed axis. Every
-table has its own rotation. A query looks into the buckets of the axes nearest
-to it, and the vectors found there are ranked by their exact distance.
+table has its own rotations. As the vectors grow in number, further hashes are
+joined to the first, so that a table's buckets grow with their square root. A query looks into
+the buckets that are nearest to it over all hashes of a table, and the vectors
+found there are ranked by their exact distance.
 """
 
 from __future__ import annotations
@@ -16,16 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, written
 
 #: Vectors, and queries, of a bucket that are compared in one block.
 BLOCK = 4096
 
 
-def rotations(dim: int, tables: int, seed: int) -> np.ndarray:
-    """Random signs, (tables, 3, padded dimension)."""
+def rotations(dim: int, tables: int, hashes: int, seed: int) -> np.ndarray:
+    """Random signs, (tables, hashes, 3, padded dimension)."""
     size = 1 << max(0, math.ceil(math.log2(dim)))
-    return np.random.default_rng([seed, dim]).choice(np.array([-1.0, 1.0]), (tables, 3, size))
+    return np.random.default_rng([seed, dim]).choice(np.array([-1.0, 1.0]), (tables, hashes, 3, size))
 
 
 def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -42,11 +44,37 @@ def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return x
 
 
-def nearest_axes(x: np.ndarray, signs: np.ndarray, count: int) -> np.ndarray:
-    """The count nearest signed axes of each row, nearest first: 2 * axis, plus 1 for the positive side."""
-    turned = rotated(x, signs)
-    sides = np.stack([-turned, turned], axis=2).reshape(len(x), -1)
-    return np.argsort(-sides, axis=1, kind="stable")[:, :count]
+def hash_sides(size: int, count: int) -> list[int]:
+    """How many signed axes each of a table's hashes has, for count vectors.
+
+    The first has all 2 * size; the others, powers of two, bring the
+    buckets to about 2 * sqrt(count).
+    """
+    sides, more = [2 * size], round(math.log2(max(1.0, math.sqrt(count) / size)))
+    while more > 0:
+        step = min(more, int(math.log2(2 * size)))
+        sides.append(1 << step)
+        more -= step
+    return sides
+
+
+def nearest_buckets(x: np.ndarray, signs: np.ndarray, sides: list[int], wanted: int) -> np.ndarray:
+    """The numbers of the wanted buckets nearest to each row of x, nearest first.
+
+    signs are one table's, (hashes, 3, size). A hash misses by the square of the gap
+    between its side and the largest; a bucket misses by the sum over its hashes.
+    """
+    n = len(x)
+    missed, bucket = np.zeros((n, 1)), np.zeros((n, 1), np.int64)
+    for number, own in zip(sides, signs, strict=False):
+        turned = rotated(x, own)[:, : (number + 1) // 2]
+        here = np.stack([-turned, turned], axis=2).reshape(n, -1)[:, :number]
+        gaps = (here.max(1, keepdims=True) - here) ** 2
+        missed = (missed[:, :, None] + gaps[:, None, :]).reshape(n, -1)
+        bucket = (bucket[:, :, None] * number + np.arange(number)).reshape(n, -1)
+        order = np.argsort(missed, axis=1, kind="stable")[:, :wanted]
+        missed, bucket = np.take_along_axis(missed, order, 1), np.take_along_axis(bucket, order, 1)
+    return bucket
 
 
 def usable(vector: Column) -> Column:
@@ -57,32 +85,32 @@ def usable(vector: Column) -> Column:
 
 
 def _buckets(vectors: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
-    """(id, v, dim, tbl, bucket): a row for each table and each of the probes nearest axes."""
+    """(id, v, dim, tbl, bucket) of vectors(id, v, n): a row for each table and each of the probes nearest buckets, for n vectors of that dimension."""
 
-    def axes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             lists = part.column("v")
-            dims = np.asarray(lists.value_lengths())
-            for dim in np.unique(dims):
-                rows = np.flatnonzero(dims == dim)
+            dims, counts = np.asarray(lists.value_lengths()), np.asarray(part.column("n"))
+            for dim, count in np.unique(np.stack([dims, counts]), axis=1).T.tolist():
+                rows = np.flatnonzero((dims == dim) & (counts == count))
                 own = part.take(pa.array(rows))
                 x = np.asarray(own.column("v").flatten(), np.float64).reshape(len(rows), dim)
-                signs = rotations(int(dim), tables, seed)
-                unit = np.zeros((len(rows), signs.shape[2]))
+                sides = hash_sides(1 << max(0, math.ceil(math.log2(dim))), count)
+                signs = rotations(dim, tables, len(sides), seed)
+                unit = np.zeros((len(rows), signs.shape[3]))
                 # scaled first by the largest component, so that squares stay finite
                 scaled = x / np.abs(x).max(1, keepdims=True)
                 unit[:, :dim] = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
-                wanted = min(probes, 2 * signs.shape[2])
                 for t in range(tables):
-                    axis = nearest_axes(unit, signs[t], wanted)
-                    again = own.take(pa.array(np.repeat(np.arange(len(rows)), wanted)))
+                    bucket = nearest_buckets(unit, signs[t], sides, probes)
+                    again = own.take(pa.array(np.repeat(np.arange(len(rows)), bucket.shape[1])))
                     n = len(again)
                     yield pa.RecordBatch.from_arrays(
-                        [again.column("id"), again.column("v"), pa.array(np.full(n, dim), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(axis.ravel(), pa.int32())],
+                        [again.column("id"), again.column("v"), pa.array(np.full(n, dim), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(bucket.ravel(), pa.int64())],
                         names=["id", "v", "dim", "tbl", "bucket"],
                     )
 
-    return vectors.mapInArrow(axes, "id long, v array<double>, dim int, tbl int, bucket int")
+    return vectors.mapInArrow(find, f"id long, v {vectors.schema['v'].dataType.simpleString()}, dim int, tbl int, bucket long")
 
 
 def _searched(vectors: DataFrame, queries: DataFrame, k: int, tables: int, probes: int, seed: int) -> DataFrame:
@@ -140,7 +168,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = 12, probes: int = 12, seed: int = 7, id_column: str = "vec_id", vector_column: str = "embedding"
+    vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = 12, probes: int = 16, seed: int = 7, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors found for each query, by Euclidean distance.
 
@@ -153,16 +181,22 @@ def nearest(
     than k looks into all buckets of one table, which is exhaustive.
     """
 
+    kept = ("array<float>", "array<double>")
+
     def clean(df: DataFrame) -> DataFrame:
-        return df.where(F.col(id_column).isNotNull() & usable(F.col(vector_column))).select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v")).dropDuplicates(["id", "v"])
+        v = F.col(vector_column)
+        v = v if df.schema[vector_column].dataType.simpleString() in kept and vectors.schema[vector_column].dataType == df.schema[vector_column].dataType else v.cast("array<double>")
+        return df.where(F.col(id_column).isNotNull() & usable(F.col(vector_column))).select(F.col(id_column).cast("long").alias("id"), v.alias("v")).dropDuplicates(["id", "v"])
 
     same = Window.partitionBy("v").orderBy("id")
-    index = clean(vectors).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("id", "v")
+    index = written(clean(vectors).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("id", "v"), "nearest-index")
     asked = clean(queries)
-    first = cut(_best(_searched(index, asked, k, tables, probes, seed), k))
+    counts = cut(index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")))
+    counted = lambda df: df.join(counts, F.size("v") == F.col("dim")).select("id", "v", "n")
+    first = cut(_best(_searched(counted(index), counted(asked), k, tables, probes, seed), k))
     full = first.groupBy("query_id").count().where(F.col("count") >= k)
-    short = cut(asked.join(full, F.col("id") == F.col("query_id"), "left_anti"))
+    short = cut(asked.join(full, F.col("id") == F.col("query_id"), "left_anti").withColumn("n", F.lit(0).cast("long")))
     if short.isEmpty():
         return first
-    rest = _best(_searched(index, short, k, 1, 1 << 30, seed), k)
+    rest = _best(_searched(index.withColumn("n", F.lit(0).cast("long")), short, k, 1, 1 << 30, seed), k)
     return first.join(full, "query_id", "left_semi").unionByName(rest)
