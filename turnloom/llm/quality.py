@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
@@ -176,17 +177,16 @@ def scored(documents: DataFrame, machine: Machine | None, text_column: str = "te
     shared = documents.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.vectors, machine.bounds))
 
     @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         machine = Machine(*shared.value)
         words = WordTraits()
-        column = [None if t is None else t.encode() for t in texts]
-        out = []
-        for a, b in chunks(column):
-            if len(words) > 1 << 18:
-                words = WordTraits()
-            out += [machine.score(*features(words, t)) for t in column[a:b]]
-        return pd.Series(out, dtype="float64")
+        for texts in batches:
+            column = [None if t is None else t.encode() for t in texts]
+            out = []
+            for a, b in chunks(column):
+                if len(words) > 1 << 17:
+                    words = WordTraits()
+                out += [machine.score(*features(words, t)) for t in column[a:b]]
+            yield pd.Series(out, dtype="float64")
 
     return documents.withColumn(added[0], score(F.col(text_column))).withColumn(added[1], (F.col(added[0]) >= 0.5).cast("int"))
