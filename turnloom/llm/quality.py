@@ -20,13 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, binaries, chunks, keep_ids
+from .common import BROADCAST_IDS, chunks, cut, pieces
 
 #: Hash buckets for words, intervals for each statistic, length of the vectors.
 BUCKETS, INTERVALS, RANK = 1 << 16, 16, 8
 STATISTICS = 14
 #: Labelled rows that a model is fitted on, at most; those with the smallest hashes of their ids.
 SAMPLE = 12_000
+LEARNT = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("b", pa.binary()), ("v", pa.binary()), ("s", pa.binary())])
 
 _RUN = regex.compile(rb"[^\w\s\x80-\xff]{2,}")
 _DIGIT = regex.compile(rb"\d")
@@ -139,31 +140,34 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_colu
     """A machine for label 1, fitted on at most `sample` labelled rows; None where there are none.
 
     Those with the smallest hashes of their ids are taken. Labels other than 0
-    and 1, and null ids, are left out. Features are made in tasks; the sample's
-    come to the driver, where the machine is fitted.
+    and 1, and null ids, are left out; an id with both counts as 0. Features are made in
+    tasks, and one task fits the machine on the sample's.
     """
-    known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
-    chosen = known.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample)
-    answers = {r.id: r.label for r in chosen.collect()}
-    if not answers:
-        return None
-    texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    ids = documents.sparkSession.createDataFrame(pa.table({"id": pa.array(sorted(answers), pa.int64())})).select(F.col("id").cast(documents.schema[id_column].dataType))
-    texts = keep_ids(texts, ids, "id", max(BROADCAST_IDS, sample))
+    known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("label"))
+    chosen = cut(known.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample))
+    texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    texts = texts.join(F.broadcast(chosen) if sample <= BROADCAST_IDS else chosen, "id")
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTraits()
         for part in parts:
-            made = [features(words, t) for t in binaries(part.column("text"))]
+            made = [features(words, t) for some in pieces(part.column("text")) for t in some]
             packed = [pa.array([m[k].astype(t).tobytes() for m in made], pa.binary()) for k, t in enumerate((np.int32, np.float32, np.float64))]
-            yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), *packed], names=["id", "b", "v", "s"])
-
-    # packed, a sample is some 30 MB
-    got = texts.mapInArrow(make, "id long, b binary, v binary, s binary").toArrow().sort_by([("id", "ascending"), ("b", "ascending")])
-    if not got.num_rows:
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), *packed], names=["id", "label", "b", "v", "s"])
+
+    def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(parts, LEARNT).sort_by([("id", "ascending"), ("b", "ascending")])
+        if got.num_rows:
+            rows = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32), np.frombuffer(s, np.float64)) for b, v, s in zip(*(got.column(c).to_pylist() for c in "bvs"), strict=True)]
+            machine = fit(rows, np.asarray(got.column("label"), np.float64))
+            yield pa.RecordBatch.from_pylist([{"bias": machine.bias} | {c: getattr(machine, c).tobytes() for c in ("weights", "vectors", "bounds")}])
+
+    # packed, a sample is some 30 MB; one task fits the machine, and only that comes to the driver
+    packed = texts.mapInArrow(make, "id long, label int, b binary, v binary, s binary")
+    got = packed.repartition(1).mapInArrow(learn, "bias double, weights binary, vectors binary, bounds binary").first()
+    if got is None:
         return None
-    rows = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32), np.frombuffer(s, np.float64)) for b, v, s in zip(*(got.column(c).to_pylist() for c in "bvs"), strict=True)]
-    return fit(rows, np.array([answers[i] for i in got.column("id").to_pylist()], np.float64))
+    return Machine(got.bias, np.frombuffer(got.weights), np.frombuffer(got.vectors).reshape(-1, RANK), np.frombuffer(got.bounds).reshape(STATISTICS, -1))
 
 
 def scored(documents: DataFrame, machine: Machine | None, text_column: str = "text", added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
