@@ -35,7 +35,7 @@ from .cells import batches, bitmap, cells_for, hit
 from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, rolling, signed, written
 from .components import components
 
-#: A set leaves out segments whose buckets have more rows than this, as far as its spare allotments go.
+#: A set leaves out keys whose buckets have more rows than this, as far as its spare allotments go.
 CROWDED = 16
 #: Rows of a bucket that is expanded to pairs: at first, and among buckets of a hub and a shingle. Larger ones get a hub.
 PAIRED, PAIRED_LATER = 16, 64
@@ -47,8 +47,9 @@ HUB_ROWS = 500
 SPARE, SPARE_EACH = 2, 10
 #: What a segment of no or one shingle costs more than another, in keys.
 THIN = 4
-#: Bits of the filter that are set for each key, and cells for each key expected; keys for each byte of text, about.
-HASHES, CELLS_EACH, EACH_BYTE = 2, 6, 0.07
+#: Bits of the filter that are set for each key, and cells for each key expected. Keys for each byte of text and
+#: each difference that a shingle is allowed, about: two bands, with spare segments, over words of six bytes.
+HASHES, CELLS_EACH, EACH_BYTE = 2, 6, 2.8 / 6
 #: Cells a task gathers before it passes them on, and digests of sets it remembers so as to count copies once.
 FLUSH, REMEMBERED = 2_000_000, 200_000
 
@@ -67,15 +68,17 @@ def scheme(low: int, high: int, p: int, q: int) -> tuple[int, int, int]:
     H is the largest symmetric difference of a linked pair; equal segments
     have allotment one, near segments two, and equal + 2 * near > H. The cost of a choice is
     its keys for each set, plus what segments of no or one shingle cost as their
-    buckets are crowded. Equal segments include the spare ones: for those without any
-    shingle, and some more, as a pair must then share more than one.
+    buckets are crowded. Equal segments include the spare ones: for those of few
+    shingles, and some more, as a pair must then share more than one.
     """
     larger = high * q // p
     most = (high + larger) * (q - p) // (q + p)
     near = np.arange((most + 2) // 2 + 1)
     equal = np.maximum(0, most + 1 - 2 * near)
-    bare = np.where(equal > 0, equal * np.exp(-low / np.maximum(equal + near, 1)), 0.0)
-    equal = equal + np.ceil(bare + 3 * np.sqrt(bare)).astype(np.int64) + np.where(equal > 1, SPARE + equal // SPARE_EACH, 0)
+    # segments without any shingle, and near ones with at most one, whose buckets are crowded
+    each = low / np.maximum(equal + near, 1)
+    bare, thin = equal * np.exp(-each), near * np.exp(-each) * (1 + each)
+    equal = equal + np.ceil(bare + 3 * np.sqrt(bare)).astype(np.int64) + 2 * np.ceil(thin + 3 * np.sqrt(thin)).astype(np.int64) + np.where(equal > 1, SPARE + equal // SPARE_EACH, 0)
     each = low / (equal + near)
     thin = np.where(equal + near > 1, np.exp(-each) * (1 + each), 0.0)
     best = int(np.argmin(equal + near + near * each + THIN * (equal + near) * thin))
@@ -102,7 +105,7 @@ class Bands:
 
     @property
     def spare(self) -> np.ndarray:
-        """How many of its allotments a set may leave out."""
+        """How many allotments a set may leave out."""
         return self.equal + 2 * self.near - self.most - 1
 
 
@@ -136,7 +139,7 @@ def index_keys(tokens: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
     """Index entries of sets that lie one after another, for each set's own band and the one below.
 
     Returns (key, set, kind, allotment, band, most, spare): kind 0 is a segment, 1 a
-    segment less one shingle; most is the scheme's H; spare is how many segments the set may leave out.
+    segment less one shingle; most is the scheme's H; spare is how many allotments the set may leave out.
     """
     own = bands.of(sizes)
     of = np.repeat(np.arange(len(sizes)), sizes)
@@ -163,12 +166,12 @@ def index_keys(tokens: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
         np.add.at(sums, slot, hashes)
         salt = mix(number.astype(np.uint64) + ((band[whose] << 32) | 1).astype(np.uint64))
         near = number >= equal[whose]
-        made.append((mix(sums + salt), rows[whose], np.zeros(len(whose)), 1 + near, band[whose], bands.most[band][whose], np.where(near, 0, bands.spare[band][whose])))
+        made.append((mix(sums + salt), rows[whose], np.zeros(len(whose)), 1 + near, band[whose], bands.most[band][whose], bands.spare[band][whose]))
         less = np.flatnonzero(place >= equal[at])
         if len(less):
             slot, at = slot[less], at[less]
             ones = np.ones(len(less))
-            made.append((mix(sums[slot] - hashes[less] + salt[slot]), rows[at], ones, 2 * ones, band[at], bands.most[band][at], 0 * ones))
+            made.append((mix(sums[slot] - hashes[less] + salt[slot]), rows[at], ones, 2 * ones, band[at], bands.most[band][at], bands.spare[band][at]))
     types = (np.uint64, np.int64, np.int8, np.int8, np.int16, np.int32, np.int32)
     if not made:
         return tuple(np.empty(0, t) for t in types)
@@ -261,8 +264,8 @@ def _pairs(small: DataFrame, apart: DataFrame | None, p: int, q: int) -> DataFra
 
     Segments that don't match differ by their allotments at least, so what
     matches is over the scheme's H less the most that a pair of these sizes may
-    differ in, and by all spare segments but those left out. apart(id, band, there, left)
-    has what a set may match in elsewhere, and how many segments it has left out.
+    differ in, and by all spare allotments but those left out. apart(id, band, there, left)
+    has what a set may match in elsewhere, and what it has left out.
     """
     names = ("id", "size", "kind", "component")
     pairs = small.join(small.select("key", *(F.col(c).alias(f"{c}2") for c in names), F.col("band").alias("band2")), "key")
@@ -363,12 +366,12 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
     """(id, component) of the texts firsts(id, text) that link with others, from their index entries."""
     spark = firsts.sparkSession
     bucket = Window.partitionBy("key")
-    # a set leaves out crowded segments as far as its scheme's spare allotments go, the most crowded first. Of the
-    # segments that a linked pair shares, both leave out the first few in the same order, so one that counts stays
-    leaves = (F.col("rows") > CROWDED) & (F.col("spare") > 0)
-    ranked = F.row_number().over(Window.partitionBy("id", "band", leaves).orderBy(F.col("rows").desc(), "key"))
-    stays = ~leaves | (F.col("_rank") > F.col("spare"))
-    sifted = written(entries.withColumn("_rank", ranked).withColumn("stays", stays).drop("_rank", "rows"), "jaccard-sifted")
+    # a set leaves out its most crowded keys, as far as its scheme's spare allotments go. Of the keys that a linked
+    # pair shares, both leave out the first few in the same order, so that others stay
+    crowded = F.col("rows") > CROWDED
+    order = Window.partitionBy("id", "band", crowded).orderBy(F.col("rows").desc(), "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stays = ~crowded | (F.col("_sum") > F.col("spare"))
+    sifted = written(entries.withColumn("_sum", F.sum("allotment").over(order)).withColumn("stays", stays).drop("_sum", "rows"), "jaccard-sifted")
     now = sifted.where("stays").drop("stays").withColumn("component", F.col("id"))
     seen: DataFrame | None = None
     links = spark.createDataFrame([], "a long, b long")
@@ -383,7 +386,7 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         apart = None
         if turn == 0:
             elsewhere = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
-            apart = elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.count("*").alias("left")), ["id", "band"], "full")
+            apart = elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.sum("allotment").alias("left")), ["id", "band"], "full")
         pairs = _pairs(small, apart, p, q)
         if close is not None:
             linked = known.withColumnsRenamed({"id": "b", "component": "right"})
@@ -430,7 +433,7 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
         found = near_duplicates(written(one.unionByName(texts.where("id is null")), "jaccard-documents"), n, threshold, "id", "text")
         again = texts.select("id").where("id is not null").join(found, "id")
         return again.unionByName(found.where("id is null"))
-    size = cells_for((measured.bytes or 0) * EACH_BYTE, CELLS_EACH)
+    size = cells_for((measured.bytes or 0) * EACH_BYTE * (1 + q / p) * (q - p) / (q + p), CELLS_EACH)
     first_pass = written(_sets(texts, n, p, q, size), "jaccard-sets")
     sets = first_pass.where("segment is null").select("id", "n_shingles", "hi", "lo")
     twice = bitmap(first_pass.where("segment is not null").select("segment", "once", "twice"), size)
