@@ -28,11 +28,13 @@ MASK64 = (1 << 64) - 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the session names none, as in local tests, a temporary one is set.
+    Where a local session names none, as in tests, a temporary one is set; a cluster must name it.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

@@ -33,7 +33,8 @@ def paragraphs(text: Column, pattern: str = PARAGRAPH) -> Column:
 
 
 def _hash(paragraph: Column, k: int) -> Column:
-    return F.xxhash64(paragraph, F.lit(k))
+    """The paragraph's k-th hash; k comes first, as its hash is the seed of the paragraph's."""
+    return F.xxhash64(F.lit(k), paragraph)
 
 
 def lane_sums(paragraph: Column, hashes: list[Column]) -> list[Column]:

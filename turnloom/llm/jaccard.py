@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ SPARE, SPARE_EACH = 2, 10
 THIN = 4
 #: Bits of the filter that are set for each key, and cells for each key expected. Keys for each byte of text and
 #: each difference that a shingle is allowed, about: two bands, with spare segments, over words of six bytes.
-HASHES, CELLS_EACH, EACH_BYTE = 2, 6, 2.8 / 6
+HASHES, CELLS_EACH, EACH_BYTE = 2, 4, 2.8 / 6
 #: Cells a task gathers before it passes them on, and digests of sets it remembers so as to count copies once.
 FLUSH, REMEMBERED = 2_000_000, 200_000
 
@@ -230,9 +231,8 @@ def _sets(texts: DataFrame, n: int, p: int, q: int, size: int) -> DataFrame:
     return texts.mapInArrow(sets, "id long, n_shingles long, hi long, lo long, segment int, once binary, twice binary")
 
 
-def _entries(texts: DataFrame, n: int, p: int, q: int, size: int, whole: np.ndarray) -> DataFrame:
+def _entries(texts: DataFrame, n: int, p: int, q: int, size: int, twice: Broadcast) -> DataFrame:
     """(key, id, size, kind, allotment, band, most, spare): the index entries of every text whose keys the filter holds twice."""
-    twice = texts.sparkSession.sparkContext.broadcast(whole)
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("kind", pa.int8()), ("allotment", pa.int8()), ("band", pa.int16()), ("most", pa.int32()), ("spare", pa.int32())])
 
     def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,7 +436,7 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
     size = cells_for((measured.bytes or 0) * EACH_BYTE * (1 + q / p) * (q - p) / (q + p), CELLS_EACH)
     first_pass = written(_sets(texts, n, p, q, size), "jaccard-sets")
     sets = first_pass.where("segment is null").select("id", "n_shingles", "hi", "lo")
-    twice = bitmap(first_pass.where("segment is not null").select("segment", "once", "twice"), size)
+    twice = documents.sparkSession.sparkContext.broadcast(bitmap(first_pass.where("segment is not null").select("segment", "once", "twice"), size))
     filled = sets.where("n_shingles > 0 and id is not null")
     equal = cut(filled.groupBy("hi", "lo").agg(F.min("id").alias("first")))
     firsts = keep_ids(texts, equal.select(F.col("first").alias("id")), "id")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binaries, chunks, fresh, keep_ids
+from .common import binaries, chunks, cut, fresh, keep_ids
 
 #: Learning documents at most; those with the smallest hashes of their ids.
 SAMPLE = 20_000
@@ -105,11 +105,11 @@ class Scores(dict):
         return ids
 
 
-def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
+def learn(documents: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams_each: int = GRAMS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
     """A model from at most `sample` documents with a language, those with the smallest hashes of their ids.
 
     Words are counted in tasks, added up by language and word, and the most
-    frequent kept; so what reaches the driver is bounded for each language.
+    frequent kept, at most `words` of each language and `grams_each` n-grams of each length; so what reaches the driver is bounded for each language.
     """
     spark = documents.sparkSession
     usable = documents.where(F.col(lang_column).isNotNull() & F.col(id_column).isNotNull() & F.col(text_column).isNotNull())
@@ -147,9 +147,10 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
 
     counted = texts.select("text", "lang").mapInArrow(count, "lang string, n int, item string, count long").groupBy("lang", "n", "item").agg(F.sum("count").alias("count"))
     order = Window.partitionBy("lang", "n").orderBy(F.desc("count"), "item")
-    total = F.sum("count").over(Window.partitionBy("lang", "n"))
-    kept = counted.withColumn("total", total).withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS))
-    got = kept.select("lang", "n", "item", "count", "total").collect()
+    counted = cut(counted)
+    sums = counted.groupBy(F.col("lang").alias("_lang"), F.col("n").alias("_n")).agg(F.sum("count").alias("total"))
+    kept = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.when(F.col("n") == 0, words).otherwise(grams_each))
+    got = kept.join(sums, (F.col("lang") == F.col("_lang")) & (F.col("n") == F.col("_n"))).select("lang", "n", "item", "count", "total").collect()
     languages = sorted({r.lang for r in got})
     at = {lang: i for i, lang in enumerate(languages)}
     counts: dict[int, dict[str, np.ndarray]] = {}
