@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
@@ -35,20 +39,28 @@ class Sink(Protocol):
 
 
 class ParquetSink:
-    """Logs under a folder; appends only add files, and readers of a bucket read only its files."""
+    """Logs under a folder. An append adds files of a batch and then the batch's name, and only named batches are read."""
 
     kind = "parquet"
 
     def __init__(self, spark: SparkSession, root: str, format_version: int = 0):
         self.spark, self.root, self.format_version = spark, root.rstrip("/"), format_version
 
+    def _fs(self, path: str):
+        made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return made, made.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def batches(self) -> list[str]:
+        """Names of the batches that were written to their end; one for each append."""
+        path, fs = self._fs(f"{self.root}/batches")
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
     def _read(self, name: str, layout: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        there = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
-        if not there:
+        path, fs = self._fs(f"{self.root}/{name}")
+        if not fs.exists(path):
             return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(f"{layout}, bucket int").parquet(path).drop("bucket")
+        rows = self.spark.read.schema(f"{layout}, batch string, bucket int").parquet(f"{self.root}/{name}")
+        return rows.where(F.col("batch").isin(self.batches())).drop("batch", "bucket")
 
     def events(self) -> DataFrame:
         return self._read("events", EVENTS)
@@ -57,10 +69,13 @@ class ParquetSink:
         return self._read("headers", schema.HEADERS)
 
     def append(self, events: DataFrame, headers: DataFrame) -> None:
-        """Adds events, then headers; a log without a header isn't listed, so a broken write can be repeated."""
+        """Adds events and headers, then names their batch; what a broken append wrote is never read, so it can be repeated."""
+        batch = uuid.uuid4().hex
         for name, df in (("events", events), ("headers", headers)):
-            dealt = df.withColumn("bucket", F.pmod(F.xxhash64("session_id"), F.lit(BUCKETS)).cast("int")).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
-            dealt.write.mode("append").partitionBy("bucket").parquet(f"{self.root}/{name}")
+            dealt = df.withColumns({"batch": F.lit(batch), "bucket": F.pmod(F.xxhash64("session_id"), F.lit(BUCKETS)).cast("int")}).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
+            dealt.write.mode("append").partitionBy("batch", "bucket").parquet(f"{self.root}/{name}")
+        path, fs = self._fs(f"{self.root}/batches/{batch}")
+        fs.create(path, False).close()
 
 
 class MemorySink:
