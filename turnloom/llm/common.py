@@ -22,6 +22,9 @@ BROADCAST_IDS = 2_000_000
 #: Text handled at once inside a task, in bytes.
 CHUNK_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch, about, and the setting that bounds them.
+BATCH_BYTES, BATCH_BOUND = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 MASK64 = (1 << 64) - 1
 
 
@@ -30,6 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Where a local session names none, as in tests, a temporary one is set; a cluster must name it.
     """
+    bound_batches(spark)
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
@@ -41,6 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches of long texts small, unless the session sets its own bound: ten thousand rows can be any size."""
+    if spark.conf.get(BATCH_BOUND, None) is None:
+        spark.conf.set(BATCH_BOUND, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint; for narrow rows."""
     shared_dir(df.sparkSession)
@@ -165,4 +175,5 @@ def signed(h: np.ndarray) -> np.ndarray:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

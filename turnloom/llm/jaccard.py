@@ -52,7 +52,7 @@ THIN = 4
 #: each difference that a shingle is allowed, about: two bands, with spare segments, over words of six bytes.
 HASHES, CELLS_EACH, EACH_BYTE = 2, 4, 2.8 / 6
 #: Cells a task gathers before it passes them on, and digests of sets it remembers so as to count copies once.
-FLUSH, REMEMBERED = 2_000_000, 200_000
+FLUSH, REMEMBERED = 1_000_000, 100_000
 
 
 def band_starts(top: int, p: int, q: int) -> list[int]:
