@@ -374,7 +374,7 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
     sifted = written(entries.withColumn("_sum", F.sum("allotment").over(order)).withColumn("stays", stays).drop("_sum", "rows"), "jaccard-sifted")
     now = sifted.where("stays").drop("stays").withColumn("component", F.col("id"))
     seen: DataFrame | None = None
-    links = spark.createDataFrame([], "a long, b long")
+    nothing = spark.createDataFrame([], "a long, b long")
     close: DataFrame | None = None
     known: DataFrame | None = None
     for turn in range(HUB_ROUNDS + 1):
@@ -394,15 +394,16 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = pairs.withColumn("least", F.lit(None).cast("int"))
-        pairs = cut(pairs if turn == HUB_ROUNDS else pairs.unionByName(_hubs(crowded)))
+        hubs = turn < HUB_ROUNDS and not crowded.isEmpty()
+        pairs = cut(pairs.unionByName(_hubs(crowded)) if hubs else pairs)
         if pairs.isEmpty():
             break
         compared = _compared(pairs, firsts, n, p, q)
         found = cut(compared.where("linked").select("a", "b"))
         if known is None or not found.isEmpty():
-            links = links.unionByName(found)
-            known = components(links)
-        if turn == HUB_ROUNDS or crowded.isEmpty():
+            # links found before are taken as their stars
+            known = components(found if known is None else found.unionByName(known.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        if not hubs:
             break
         done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         seen = done if seen is None else seen.unionByName(done)
@@ -410,7 +411,7 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         outside = compared.where("least is not null").select(F.explode("keys").alias("key"), F.col("b").alias("id"), "size").distinct()
         plain = {"kind": F.lit(0).cast("byte"), "allotment": F.lit(1).cast("byte"), "band": F.lit(0).cast("short"), "most": F.lit(0), "spare": F.lit(0)}
         now = outside.join(known, "id", "left").withColumns(plain | {"component": F.coalesce("component", "id")})
-    return known if known is not None else components(links)
+    return known if known is not None else components(nothing)
 
 
 def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int] = (4, 5), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
