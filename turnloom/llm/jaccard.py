@@ -448,6 +448,7 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
         {"rows": F.count("*").over(bucket), "whole": F.count_if(F.col("kind") == 0).over(bucket), "two": F.min("id").over(bucket) < F.max("id").over(bucket)}
     )
     met = written(entries.where("two and whole > 0").drop("two", "whole"), "jaccard-entries")
+    twice.destroy()  # the filter has done its work: drivers and executors need not hold it through the rounds
     found = _links(firsts, met, n, p, q)
     reached = equal.join(found, F.col("first") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "first").alias("component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id"))

@@ -87,12 +87,14 @@ def suspected_repeats(documents: DataFrame, min_chars: int, id_column: str, text
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, schema.types, strict=True)], schema=schema)
 
-    return texts.mapInArrow(suspects, "digest binary, id long, lines array<int>")
+    found = written(texts.mapInArrow(suspects, "digest binary, id long, lines array<int>"), "line-suspects")
+    twice.destroy()  # only the written rows are needed from here on
+    return found
 
 
 def dropped_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, dropped): the numbers of the lines that each document loses, where it loses any."""
-    found = written(suspected_repeats(documents, min_chars, id_column, text_column), "line-suspects")
+    found = suspected_repeats(documents, min_chars, id_column, text_column)
     # checkpointed, so that both sides of the join are plain and a hot line's rows can be split
     groups = found.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
     lost = found.join(cut(groups), "digest").where("id > first")
