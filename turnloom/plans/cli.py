@@ -1,4 +1,4 @@
-"""Command line: python -m turnloom.plans.cli VERB [--home DIR] [--store DIR] [flags]."""
+"""Command line: python -m turnloom.plans.cli VERB [ID ...] [--home DIR] [--store DIR] [flags]."""
 
 from __future__ import annotations
 
@@ -40,27 +40,34 @@ def main(argv: list[str] | None = None) -> int:
     config = Config.normalized({"source_home": args.home, "store": args.store, "source_mode": args.source, "include_legacy": args.legacy, "max_sessions": args.max, "format_version": args.format_version, "dry_run": args.dry_run})
     spark = session()
     code = 0
+    more = []
     if verb == "scan":
         df = open_source(spark, config).sessions.orderBy("updated_at", ascending=False)
     elif verb == "plan":
         df = engine.plan(open_source(spark, config), config.format_version).stats
     elif verb == "status":
-        df = engine.status(spark, config)
+        df, more = engine.status(spark, config), [engine.imported(spark, config)]
+        print(json.dumps(engine.paths(config), ensure_ascii=False))
     elif verb == "audit":
         df = engine.audit(spark, config)
     elif verb == "verify":
         df = engine.verify(spark, config, args.ids)
         code = int(not df.where("not ok").isEmpty())
     else:
-        run = engine.sync(spark, config, args.force)
+        try:
+            run = engine.sync(spark, config, args.force, args.ids)
+        except LookupError as error:
+            print(error)
+            return 1
         engine.write_report(run, f"{config.store}/reports", time.strftime("%Y%m%dT%H%M%S"))
         df = run.totals
         code = int(df.first()["errors"] > 0)
-    if args.json:
-        for line in df.toJSON().toLocalIterator():
-            print(json.dumps(json.loads(line), ensure_ascii=False))
-    else:
-        df.show(30, truncate=60)
+    for rows in (df, *more):
+        if args.json:
+            for line in rows.toJSON().toLocalIterator():
+                print(json.dumps(json.loads(line), ensure_ascii=False))
+        else:
+            rows.show(30, truncate=60)
     return code
 
 

@@ -75,7 +75,9 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     invalid = cut(made.violations.select("session_id").distinct())
     blank = source.sessions.join(counts, "session_id", "left_anti").select("session_id")
     sound = made.headers.join(invalid, "session_id", "left_anti").join(blank, "session_id", "left_anti")
-    stored_headers, stored = sink.headers(), sink.events()
+    # of the store, only what the run is about is read
+    ids = None if wanted is None else cut(source.sessions.select("session_id").distinct())
+    stored_headers, stored = sink.headers(ids), sink.events(ids)
     if force_variant:
         stored_headers, stored = stored_headers.limit(0), stored.limit(0)
     decided = cut(reconcile.decisions(log, sound, stored, stored_headers))
@@ -88,7 +90,7 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
         if force_variant:
             headers = headers.withColumn("session_id", F.col("target_id"))
         sink.append(rename(written), headers)
-    read_back = sink.events()
+    read_back = sink.events(sound.select(F.col("target_id").alias("session_id")) if force_variant else ids)
     if force_variant:
         read_back = read_back.join(sound.select(F.col("target_id").alias("session_id"), F.col("session_id").alias("_s")), "session_id").withColumn("session_id", F.col("_s")).drop("_s")
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts.join(source.messages.where("role = 'assistant'").select("session_id", "msg_pos"), ["session_id", "msg_pos"], "left_semi")), fidelity.stored_reasoning(read_back.join(decided.where("mode <> 'conflict'"), "session_id", "left_semi")))
@@ -108,6 +110,8 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
         .drop("_invalid", "_blank", "_ok")
     )
     said = made.warnings.unionByName(W.rows_of(invalid, "event-log-invalid", "error")).unionByName(W.rows_of(blank, "source-session-empty")).unionByName(W.rows_of(decided.where("mode = 'conflict'"), "conflict", "error", F.create_map(F.lit("reason"), F.col("reason")))).unionByName(W.rows_of(results.where("not fidelity_ok"), "fidelity-mismatch", "error"))
+    if registry is not None and (problem := registry.unreadable()):
+        said = said.unionByName(spark.createDataFrame([(None, "registry-unreadable", "warning", registry.root, {"message": problem})], schema.WARNINGS))
     if registry is not None and not config.dry_run:
         slices = digests.turn_digests(digests.turn_slices(log))
         more = counts.join(log.groupBy("session_id").agg(F.count("*").alias("event_count")), "session_id", "left").join(said.groupBy("session_id").agg(F.count("*").alias("warning_count")), "session_id", "left").withColumn("warning_count", F.coalesce("warning_count", F.lit(0).cast("long")))
@@ -119,13 +123,21 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     return Run(results, report.totals(results, said), said)
 
 
-def sync(spark: SparkSession, config: Config, force: bool = False) -> Run:
-    """Imports what is pending, holding the lock from before the pending set is made."""
+def named(sessions: DataFrame, ids: list[str]) -> DataFrame:
+    """The sessions that ids name, by whole ids or their ends; an id that names none is an error."""
+    found = {i: P.matching(sessions, i).select("session_id").first() for i in ids}
+    if missing := [i for i, row in found.items() if row is None]:
+        raise LookupError(f"no such session: {', '.join(missing)}")
+    return sessions.sparkSession.createDataFrame(list(found.values()), "session_id string").distinct()
+
+
+def sync(spark: SparkSession, config: Config, force: bool = False, ids: list[str] | None = None) -> Run:
+    """Imports the sessions that ids name, else what is pending, holding the lock from before the pending set is made."""
     with import_lock(f"{config.store}/import.lock"):
         sink, registry = ParquetSink(spark, config.store, config.format_version), Registry(spark, config.store)
         source = open_source(spark, config)
-        state = P.pending(source.sessions, registry.load(), sink.headers(), force)
-        return run_import(spark, config, sink, source, registry, P.taken(state, config.max_sessions), force_variant=f"forced-{int(time.time() * 1000)}" if force else "")
+        wanted = named(source.sessions, ids) if ids else P.taken(P.pending(source.sessions, registry.load(), sink.headers(), force), config.max_sessions)
+        return run_import(spark, config, sink, source, registry, wanted, force_variant=f"forced-{int(time.time() * 1000)}" if force else "")
 
 
 def status(spark: SparkSession, config: Config) -> DataFrame:
@@ -134,6 +146,17 @@ def status(spark: SparkSession, config: Config) -> DataFrame:
     return P.pending(source.sessions, Registry(spark, config.store).load(), ParquetSink(spark, config.store).headers()).groupBy("state").agg(F.count("*").alias("n")).orderBy("state")
 
 
+def imported(spark: SparkSession, config: Config) -> DataFrame:
+    """The registry's records, latest import first."""
+    known = Registry(spark, config.store).load()
+    return known.select("source_id", "target_id", "variant", "title", "imported_at", "last_mode", "source_message_count", "event_count", "warning_count", "conflict_reason").orderBy(F.desc("imported_at"), "source_id", "variant")
+
+
+def paths(config: Config) -> dict[str, str]:
+    """Where the registry and the latest report are."""
+    return {"registry": f"{config.store}/registry", "report": f"{config.store}/reports/latest.md"}
+
+
 def verify(spark: SparkSession, config: Config, ids: list[str] | None = None) -> DataFrame:
     """One row a record: its log against the record, the plan and the source's reasoning."""
     sink, source = ParquetSink(spark, config.store, config.format_version), open_source(spark, config)
@@ -143,7 +166,7 @@ def verify(spark: SparkSession, config: Config, ids: list[str] | None = None) ->
     known = known.withColumnRenamed("source_id", "session_id")
     source = only(source, known)
     made = plan(source, config.format_version)
-    stored = sink.events().join(known, "session_id", "left_semi")
+    stored = sink.events(known if ids else None).join(known, "session_id", "left_semi")
     of = lambda df: digests.turn_digests(digests.turn_slices(df))
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts), fidelity.stored_reasoning(stored))
     return fidelity.verified(known, of(stored), of(made.events), checked)

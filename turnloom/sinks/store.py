@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from typing import Protocol
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ BUCKETS = 64
 EVENTS = "session_id string, seq bigint, " + ", ".join(f"{n} {t}" for n, t in FIELDS.items()) + ", source_event_seqs array<bigint>"
 
 
+def bucket_of(session: str = "session_id"):
+    return F.pmod(F.xxhash64(session), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
     context = df.sparkSession.sparkContext
@@ -29,11 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class Sink(Protocol):
+    """events and headers are those of the sessions ids(session_id), or all."""
+
     kind: str
 
-    def events(self) -> DataFrame: ...
+    def events(self, ids: DataFrame | None = None) -> DataFrame: ...
 
-    def headers(self) -> DataFrame: ...
+    def headers(self, ids: DataFrame | None = None) -> DataFrame: ...
 
     def append(self, events: DataFrame, headers: DataFrame) -> None: ...
 
@@ -55,24 +63,29 @@ class ParquetSink:
         path, fs = self._fs(f"{self.root}/batches")
         return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
 
-    def _read(self, name: str, layout: str) -> DataFrame:
+    def _read(self, name: str, layout: str, ids: DataFrame | None) -> DataFrame:
         path, fs = self._fs(f"{self.root}/{name}")
         if not fs.exists(path):
             return self.spark.createDataFrame([], layout)
         rows = self.spark.read.schema(f"{layout}, batch string, bucket int").parquet(f"{self.root}/{name}")
-        return rows.where(F.col("batch").isin(self.batches())).drop("batch", "bucket")
+        rows = rows.where(F.col("batch").isin(self.batches()))
+        if ids is not None:
+            # at most BUCKETS numbers come to the driver; folders of other buckets aren't read
+            buckets = [r.bucket for r in ids.select(bucket_of()).distinct().collect()]
+            rows = rows.where(F.col("bucket").isin(buckets)).join(ids.select("session_id"), "session_id", "left_semi")
+        return rows.select(*(c.name for c in rows.schema if c.name not in ("batch", "bucket")))
 
-    def events(self) -> DataFrame:
-        return self._read("events", EVENTS)
+    def events(self, ids: DataFrame | None = None) -> DataFrame:
+        return self._read("events", EVENTS, ids)
 
-    def headers(self) -> DataFrame:
-        return self._read("headers", schema.HEADERS)
+    def headers(self, ids: DataFrame | None = None) -> DataFrame:
+        return self._read("headers", schema.HEADERS, ids)
 
     def append(self, events: DataFrame, headers: DataFrame) -> None:
         """Adds events and headers, then names their batch; what a broken append wrote is never read, so it can be repeated."""
         batch = uuid.uuid4().hex
         for name, df in (("events", events), ("headers", headers)):
-            dealt = df.withColumns({"batch": F.lit(batch), "bucket": F.pmod(F.xxhash64("session_id"), F.lit(BUCKETS)).cast("int")}).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
+            dealt = df.withColumns({"batch": F.lit(batch), "bucket": bucket_of()}).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
             dealt.write.mode("append").partitionBy("batch", "bucket").parquet(f"{self.root}/{name}")
         path, fs = self._fs(f"{self.root}/batches/{batch}")
         fs.create(path, False).close()
@@ -87,11 +100,11 @@ class MemorySink:
         self.spark, self.format_version = spark, format_version
         self._events, self._headers = spark.createDataFrame([], EVENTS), spark.createDataFrame([], schema.HEADERS)
 
-    def events(self) -> DataFrame:
-        return self._events
+    def events(self, ids: DataFrame | None = None) -> DataFrame:
+        return self._events if ids is None else self._events.join(ids, "session_id", "left_semi")
 
-    def headers(self) -> DataFrame:
-        return self._headers
+    def headers(self, ids: DataFrame | None = None) -> DataFrame:
+        return self._headers if ids is None else self._headers.join(ids, "session_id", "left_semi")
 
     def append(self, events: DataFrame, headers: DataFrame) -> None:
         starts = events.groupBy("session_id").agg(F.min("seq").alias("start"))
@@ -129,6 +142,7 @@ class Registry:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, f"{root.rstrip('/')}/registry"
+        self._checked: dict[int, str] = {}
 
     def _fs(self, path: str):
         made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -141,10 +155,26 @@ class Registry:
         done = (f.getPath() for f in fs.listStatus(path))
         return sorted(int(p.getName()[1:]) for p in done if p.getName()[1:].isdigit() and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
+    def unreadable(self) -> str:
+        """What is wrong with the footers of the latest generation's files; empty if nothing is."""
+        found = self._generations()
+        if not found:
+            return ""
+        if found[-1] not in self._checked:
+            try:
+                there = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/g{found[-1]}").columns
+                lacking = [c.split()[0] for c in schema.REGISTRY.split(", ") if c.split()[0] not in there]
+                self._checked[found[-1]] = f"no columns {', '.join(lacking)}" if lacking else ""
+            except (PySparkException, Py4JError) as error:
+                self._checked[found[-1]] = str(error).partition("\n")[0] or "unreadable"
+        return self._checked[found[-1]]
+
     def load(self) -> DataFrame:
-        """The records; none if there is no registry."""
+        """The records; none if there is no registry or it is unreadable, as stored logs tell themselves what they hold."""
         found = self._generations()
-        return self.spark.read.schema(schema.REGISTRY).parquet(f"{self.root}/g{found[-1]}") if found else self.spark.createDataFrame([], schema.REGISTRY)
+        if not found or self.unreadable():
+            return self.spark.createDataFrame([], schema.REGISTRY)
+        return self.spark.read.schema(schema.REGISTRY).parquet(f"{self.root}/g{found[-1]}")
 
     def save(self, records: DataFrame) -> None:
         found = self._generations()

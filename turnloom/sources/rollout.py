@@ -16,6 +16,8 @@ from ..operators.warnings import rows_of
 from . import lines
 
 FILES = "model-io-*.jsonl"
+#: Calls whose messages are searched for the working folder, and how they name it.
+FIRST_CALLS, CWD = 8, r'"cwd"\s*:\s*"((?:[^"\\]|\\.)*)"'
 _CALL = "array<struct<id:string,name:string,input:variant>>"
 
 
@@ -43,6 +45,15 @@ def window_gaps(requests: DataFrame, session: str = "session_id") -> DataFrame:
     return requests.withColumn("_gap", F.coalesce(end < F.col("offset"), F.lit(False))).groupBy(session).agg(F.bool_or("_gap").alias("gap"))
 
 
+def directories(windows: DataFrame) -> DataFrame:
+    """(session_id, directory): the working folder that the messages of the first calls name first, its JSON escapes undone."""
+    content = F.try_variant_get("m", "$.content", "variant")
+    texts = windows.where(F.col("record") < FIRST_CALLS).select("session_id", "record", "pos", F.coalesce(J.string(content), content.cast("string")).alias("text"))
+    first = texts.where(F.col("text").rlike(CWD)).groupBy("session_id").agg(F.min_by(F.regexp_extract("text", CWD, 1), F.struct("record", "pos")).alias("named"))
+    plain = J.string(J.parsed(F.concat(F.lit('"'), "named", F.lit('"'))))
+    return first.select("session_id", F.coalesce(plain, "named").alias("directory"))
+
+
 def _parts(df: DataFrame, prefix, calls) -> DataFrame:
     """Message rows (session_id, at, time, reasoning, text, calls) as parts in order."""
     none = F.array().cast("array<struct<kind:string,o:int,id:string,text:string,call_id:string,tool_name:string,input:string,input_kind:string>>")
@@ -97,7 +108,6 @@ def read(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFram
         F.coalesce(J.whole(J.at(v, "$.request.messageOffset")), F.lit(0)).alias("offset"),
         F.coalesce(F.try_variant_get(v, "$.request.messages", "array<variant>"), F.array().cast("array<variant>")).alias("messages"),
         F.try_variant_get(v, "$.response", "variant").alias("response"),
-        "data",
     ).withColumn("size", F.size("messages"))
 
     windows = rows.select("session_id", "record", "started", "offset", "size", F.posexplode("messages").alias("pos", "m")).withColumn("idx", F.col("offset") + F.col("pos"))
@@ -122,9 +132,7 @@ def read(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFram
     about = rows.groupBy("session_id").agg(
         F.min_by("started", "record").alias("first_at"), F.max("completed").alias("last_at"), F.max_by("model", F.when(F.col("model").isNotNull(), F.col("record"))).alias("model"), F.max_by("provider", F.when(F.col("provider").isNotNull(), F.col("record"))).alias("provider"),
         F.count("*").alias("lines"),
-        # the working folder is named in the first calls' texts
-        F.min_by(F.nullif(F.regexp_extract("data", r'\\*"cwd\\*"\s*:\s*\\*"((?:[^"\\]|\\\\)+)', 1), F.lit("")), F.when((F.col("record") < 8) & F.col("data").contains("cwd"), F.col("record"))).alias("directory"),
-    )
+    ).join(directories(windows), "session_id", "left")
     prefix = F.when(F.col("final"), "rollout-final").otherwise(F.concat(F.lit("rollout-window-"), F.col("idx").cast("string")))
     spoken = _parts(entries.unionByName(final).where("role in ('user', 'assistant')"), prefix, F.when(F.col("role") == "assistant", F.col("calls")))
     kept = spoken.where("(role = 'user' and text <> '') or (role = 'assistant' and size(pieces) > 0)")
