@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 #: Pre-tokens remembered by a task before its table is started anew.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 17
 #: Texts are cut up this many characters' worth at a time.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def byte_letters() -> list[str]:

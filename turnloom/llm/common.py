@@ -23,7 +23,7 @@ BROADCAST_IDS = 2_000_000
 CHUNK_BYTES = 1 << 20
 
 #: Bytes of an Arrow batch, about, and the setting that bounds them.
-BATCH_BYTES, BATCH_BOUND = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, BATCH_BOUND = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 MASK64 = (1 << 64) - 1
 
