@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words: space, and the five ASCII controls from tab to carriage return.
@@ -64,6 +64,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one range of a written order, about, and ranges at most.
+ORDER_ROWS, MOST_ORDERED = 50_000, 100_000
+
+
+def in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df range-sorted by order and written, plus at, which grows along the order, and part, its range's number.
+
+    A range has about ORDER_ROWS rows, whatever the keys: no key has to fit in one task.
+    """
+    ranges = min(MOST_ORDERED, max(1, -(-df.count() // ORDER_ROWS)))
+    rows = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    return written(rows.withColumn("part", F.shiftrightunsigned("at", 33).cast("int")), name)
+
+
+def sums_before(df: DataFrame, keys: list[str], order: list[Column], amount: str, name: str) -> DataFrame:
+    """df plus name: the sum of amount over all rows before, within keys[:-1]; keys[-1] is a range of the order."""
+    sums = df.groupBy(*keys).agg(F.sum(amount).alias("_sum"))
+    prior = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*(F.col(k).alias(f"_{k}") for k in keys), F.coalesce(F.sum("_sum").over(prior), F.lit(0)).alias("_start"))
+    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    both = df.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(starts, match)
+    return both.withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside", *(f"_{k}" for k in keys))
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_IDS) -> DataFrame:
     """Rows of df whose column is among ids; ids are broadcast only if at most limit.
 
@@ -81,6 +106,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def word_count(text: Column) -> Column:
+    """Number of words; 0 for a null text."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def binaries(array: pa.Array) -> list[bytes | None]:
     """An Arrow string array's UTF-8 bytes."""
     return array.cast(pa.binary()).to_pylist()
@@ -142,11 +172,11 @@ _LONG = 64
 class WordHashes:
     """The words of several texts, one text after another: how many each text has, and 64-bit hashes of all."""
 
-    def __init__(self, texts: list[bytes | None], lower: bool = False):
-        """lower: A-Z count as a-z."""
+    def __init__(self, texts: list[bytes | None], lower: bool = False, inside: np.ndarray = _IN_WORD):
+        """lower: A-Z count as a-z. inside: whether each byte is part of a word; a space must not be."""
         whole = b" ".join([t or b"" for t in texts])
         self.whole = (whole.lower() if lower else whole) + b" " * 9
-        inside = np.take(_IN_WORD, np.frombuffer(self.whole, np.uint8))
+        inside = np.take(inside, np.frombuffer(self.whole, np.uint8))
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         edges = np.concatenate([np.zeros(int(inside[0]), np.int64), edges])
         self.starts, ends = edges[0::2], edges[1::2]

@@ -16,17 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import cut, sums_before, word_count
 
 #: Documents, about, in one range of a queue, and ranges at most: their sums are added up in one task.
 RANGE_ROWS, MOST_RANGES = 2_000, 100_000
 
 
-def word_count(text: Column) -> Column:
-    """Number of words; 0 for a null text."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2) -> DataFrame:
     """(source, source_size, target) of every source of sizes(source, size).
 
@@ -53,17 +48,6 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     return rows.select("source", "source_size", F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))).alias("target"))
 
 
-def _before(df: DataFrame, keys: list[str], order: list[Column], amount: str, name: str) -> DataFrame:
-    """df plus name: the sum of amount over all rows before, within keys[:-1]; keys[-1] is a range of the order."""
-    sums = df.groupBy(*keys).agg(F.sum(amount).alias("_sum"))
-    prior = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*(F.col(k).alias(f"_{k}") for k in keys), F.coalesce(F.sum("_sum").over(prior), F.lit(0)).alias("_start"))
-    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    both = df.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(starts, match)
-    return both.withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside", *(f"_{k}" for k in keys))
-
-
 def mix_sources(
     documents: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -94,7 +78,7 @@ def mix_sources(
     targets = cut(source_targets(rows, weights, share, repeats))
     # the shuffle key is a hash, so equal parts of its values are ranges of even size
     queues = rows.withColumn("part", F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * ranges).cast("int"))
-    queues = _before(queues, ["source", "part"], [F.col("shuffle"), F.col("doc_id"), F.col("size"), F.col("key")], "size", "before")
+    queues = sums_before(queues, ["source", "part"], [F.col("shuffle"), F.col("doc_id"), F.col("size"), F.col("key")], "size", "before")
     known = targets.withColumnRenamed("source", "_source")
     queues = queues.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "part")
     copies = queues.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("start", F.col("before") + F.col("copy") * F.col("source_size"))
@@ -104,7 +88,7 @@ def mix_sources(
     pieces = pieces.withColumn("finish", F.when((F.col("target") > 0) & (F.col("size") > 0), F.col("end") / F.col("target")).otherwise(F.lit(0.0)))
     # at any time the words sent grow evenly, so equal steps of time are ranges of even size, up to time one
     pieces = pieces.withColumn("part", F.least(F.floor(F.col("finish") * ranges), F.lit(4 * ranges)).cast("int"))
-    placed = _before(pieces, ["part"], [F.col(c) for c in ("finish", "piece", "shuffle", "doc_id", "copy", "size", "key")], "words", "position")
+    placed = sums_before(pieces, ["part"], [F.col(c) for c in ("finish", "piece", "shuffle", "doc_id", "copy", "size", "key")], "words", "position")
     budget = targets.agg(F.coalesce(F.sum(F.floor("target").cast("long")), F.lit(0)).alias("n")).first().n
     taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.lit(budget) - F.col("position")))
     return placed.withColumn("taken", taken).select("key", "doc_id", "source", "size", "source_size", "target", "copy", "piece", "words", "finish", "position", "taken")
