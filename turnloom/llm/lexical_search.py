@@ -7,7 +7,8 @@ minimise what the blocks' maxima overestimate, each block having a price. A sear
 adds, at each document of a shard, the weighted maxima of the blocks that lie
 over it: WAND's test of a pivot, made for all documents of the shard at once. Where the sum is below
 the least score that still counts, no posting is looked at; the others are
-scored exactly, most promising first, so that the least score rises.
+scored exactly, most promising first, so that the least score rises. Of blocks
+with wide gaps the documents themselves are looked at, as pivots lie on postings only.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ SHARD_BYTES, SHARD_DOCS = 8 << 20, 60_000
 LONGEST_BLOCK, BLOCK_PRICE = 64, 1_000_000
 #: Terms of items that are searched for at once; more items are searched for in several rounds.
 ROUND_TERMS = 400_000
-#: Documents that are scored before the least score is raised.
-SCORED_AT_ONCE = 256
+
+#: A block with fewer than one posting in so many documents is sparse.
+SPARSE = 4
 
 #: Bytes that belong to terms: ASCII letters and digits, and all of other characters.
 IN_TERM = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
@@ -244,7 +246,7 @@ class Shard:
         self.starts, self.blocks = starts, np.searchsorted(starts, self.offsets)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, best: Best) -> int:
-        """Adds the shard's documents that still count; gives the number of postings that were looked at."""
+        """Adds the shard's documents that still count; gives the number of postings whose counts were looked at."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         there = self.terms[at] == terms
         at, weights = at[there], weights[there]
@@ -252,15 +254,19 @@ class Shard:
             return 0
         block, weight = _ranges(self.blocks[at], self.blocks[at + 1], weights)
         bound = weight * self.block_maxima[block]
+        # blocks of dense terms count for all documents between their ends, those of sparse terms for the documents that have the term
+        dense = (self.block_ends[block] - self.starts[block]) * SPARSE > self.last_doc[block] - self.first_doc[block]
         edges = np.zeros(len(self.ids) + 1, np.int64)
-        np.add.at(edges, self.first_doc[block], bound)
-        np.subtract.at(edges, self.last_doc[block] + 1, bound)
+        np.add.at(edges, self.first_doc[block[dense]], bound[dense])
+        np.subtract.at(edges, self.last_doc[block[dense]] + 1, bound[dense])
         above = np.cumsum(edges[:-1])
+        posting, carried = _ranges(self.starts[block[~dense]], self.block_ends[block[~dense]], bound[~dense])
+        np.add.at(above, self.docs[posting], carried)
         pivots = np.flatnonzero(above >= best.least())
         pivots = pivots[np.argsort(-above[pivots], kind="stable")]
-        looked = 0
+        looked, size = 0, best.k
         while len(pivots):
-            now, pivots = pivots[:SCORED_AT_ONCE], pivots[SCORED_AT_ONCE:]
+            now, pivots, size = pivots[:size], pivots[size:], 2 * size
             chosen = np.zeros(len(self.ids) + 1, bool)
             chosen[now] = True
             before = np.cumsum(chosen) - chosen
