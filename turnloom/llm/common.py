@@ -98,6 +98,15 @@ def keep_ids(df: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_
     return df.join(F.broadcast(ids) if few else ids, column, "left_semi")
 
 
+def row_mark(documents: DataFrame, id_column: str, text_column: str) -> Column:
+    """What tells rows of one id apart: a hash of the text where some id repeats, else 0.
+
+    Rows of one id and text lose the same, so they need no telling apart.
+    """
+    ids = documents.where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.count("*").alias("n"))
+    return F.lit(0).cast("long") if ids.where("n > 1").isEmpty() else F.xxhash64(text_column)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, with underscores before it until df has no such column."""
     have = {c.lower() for c in df.columns}

@@ -15,11 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import SCHEMA, batches, bitmap, cells_for, hit
-from .common import SPACES, binaries, cut, fresh, mix, written
+from .common import SPACES, binaries, cut, fresh, mix, row_mark, written
 
 #: Bits a Bloom filter sets for each key, and cells it has for each line.
 HASHES, CELLS_EACH = 4, 12
@@ -43,10 +43,10 @@ def _bits(h: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([((h + np.uint64(j) * step) % np.uint64(size)).astype(np.int64) for j in range(HASHES)])
 
 
-def suspected_repeats(documents: DataFrame, min_chars: int, id_column: str, text_column: str) -> DataFrame:
-    """(digest, id, lines) of every line key that the twice-seen filter holds."""
+def suspected_repeats(documents: DataFrame, min_chars: int, id_column: str, text_column: str, mark: Column) -> DataFrame:
+    """(digest, id, mark, lines) of every line key that the twice-seen filter holds."""
     spark = documents.sparkSession
-    texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = documents.select(F.col(id_column).alias("id"), mark.alias("mark"), F.col(text_column).alias("text"))
     lines = texts.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     size = cells_for(lines, CELLS_EACH)
 
@@ -70,35 +70,35 @@ def suspected_repeats(documents: DataFrame, min_chars: int, id_column: str, text
             yield from flush()
 
     twice = spark.sparkContext.broadcast(bitmap(texts.select("text").mapInArrow(filters, SCHEMA), size))
-    schema = pa.schema([("digest", pa.binary()), ("id", pa.int64()), ("lines", pa.list_(pa.int32()))])
+    schema = pa.schema([("digest", pa.binary()), ("id", pa.int64()), ("mark", pa.int64()), ("lines", pa.list_(pa.int32()))])
 
     def suspects(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = twice.value
         for part in parts:
-            found: tuple[list, list, list] = ([], [], [])
-            for doc, text in zip(part.column("id").to_pylist(), binaries(part.column("text")), strict=True):
+            found: tuple[list, list, list, list] = ([], [], [], [])
+            for doc, row, text in zip(part.column("id").to_pylist(), part.column("mark").to_pylist(), binaries(part.column("text")), strict=True):
                 if doc is None or not (keys := line_keys(text, min_chars)):
                     continue
                 h = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
                 seen = hit(whole, _bits(h, size)).reshape(HASHES, -1).all(0)
                 for known, (key, at) in zip(seen.tolist(), keys.items(), strict=True):
                     if known:
-                        for column, value in zip(found, (hashlib.blake2b(key, digest_size=16).digest(), doc, at), strict=True):
+                        for column, value in zip(found, (hashlib.blake2b(key, digest_size=16).digest(), doc, row, at), strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, schema.types, strict=True)], schema=schema)
 
-    found = written(texts.mapInArrow(suspects, "digest binary, id long, lines array<int>"), "line-suspects")
+    found = written(texts.mapInArrow(suspects, "digest binary, id long, mark long, lines array<int>"), "line-suspects")
     twice.destroy()  # only the written rows are needed from here on
     return found
 
 
-def dropped_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, dropped): the numbers of the lines that each document loses, where it loses any."""
-    found = suspected_repeats(documents, min_chars, id_column, text_column)
+def dropped_lines(documents: DataFrame, mark: Column, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, mark, dropped): the numbers of the lines that each row loses, where it loses any; mark tells rows of one id apart."""
+    found = suspected_repeats(documents, min_chars, id_column, text_column, mark)
     # checkpointed, so that both sides of the join are plain and a hot line's rows can be split
     groups = found.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
     lost = found.join(cut(groups), "digest").where("id > first")
-    return lost.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("dropped"))
+    return lost.groupBy("id", "mark").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("dropped"))
 
 
 def dedup_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc_id", text_column: str = "text", added: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
@@ -109,12 +109,13 @@ def dedup_lines(documents: DataFrame, min_chars: int = 10, id_column: str = "doc
     documents stays in the one with the smallest id, where all its lines stay;
     it goes from the others. A null or empty text is one empty line and becomes
     the empty text. Rows with a null id keep all their lines. Rows that repeat
-    an id count as one document. Other columns are passed on unchanged; an
+    an id count as one document when repeats are sought, and each loses its own lines. Other columns are passed on unchanged; an
     added column whose name documents already has is left out.
     """
-    mine, gone, lines_of, gone_of = (fresh(documents, n) for n in ("_match", "_gone", "_lines", "_count"))
-    lost = dropped_lines(documents, min_chars, id_column, text_column).withColumnsRenamed({"id": mine, "dropped": gone})
-    both = documents.join(lost, F.col(id_column) == F.col(mine), "left").drop(mine)
+    mine, row, gone, lines_of, gone_of = (fresh(documents, n) for n in ("_match", "_row", "_gone", "_lines", "_count"))
+    mark = row_mark(documents, id_column, text_column)
+    lost = dropped_lines(documents, mark, min_chars, id_column, text_column).withColumnsRenamed({"id": mine, "mark": row, "dropped": gone})
+    both = documents.join(lost, (F.col(id_column) == F.col(mine)) & (mark == F.col(row)), "left").drop(mine, row)
     names = [c for c in documents.columns if c != text_column]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.schema if f.name != text_column)
 

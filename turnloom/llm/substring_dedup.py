@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import MOST_CELLS, SCHEMA, batches, bitmap, cells_for, hit
-from .common import WordHashes, binaries, fresh, mix, pieces, rolling, signed
+from .common import WordHashes, binaries, fresh, mix, pieces, rolling, row_mark, signed
 
 #: Rows of the sketch, and cells of one row for each representative expected.
 ROWS, CELLS_EACH = 2, 3
@@ -64,13 +64,13 @@ def _within(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     return text[:n] == text[total - n :], text[:n], place[:n]
 
 
-def covered(documents: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, runs): for documents that lose words, runs of windows that start in a smaller document too.
+def covered(documents: DataFrame, window: int, id_column: str, text_column: str, mark: Column) -> DataFrame:
+    """(id, mark, runs): for rows that lose words, runs of windows that start in a smaller document too; mark tells rows of one id apart.
 
     A run is its first window's word number times 2^32 plus its number of windows.
     """
     spark = documents.sparkSession
-    texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where("id is not null")
+    texts = documents.select(F.col(id_column).cast("long").alias("id"), mark.alias("mark"), F.col(text_column).alias("text")).where("id is not null")
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     width = cells_for(size * EACH_BYTE, CELLS_EACH)
     width = min(width, MOST_CELLS // ROWS)
@@ -105,7 +105,7 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
             yield from flush()
 
     repeated = spark.sparkContext.broadcast(bitmap(texts.select("text").mapInArrow(sketch, SCHEMA), width * ROWS))
-    schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("id", pa.int64()), ("place", pa.int64()), ("known", pa.bool_())])
+    schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("id", pa.int64()), ("mark", pa.int64()), ("place", pa.int64()), ("known", pa.bool_())])
 
     def likely(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = repeated.value
@@ -117,29 +117,29 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
                 yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000], t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h, g, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((place, doc, g, h))
-            h, g, doc, place = h[order], g[order], doc[order], place[order]
+            h, g, doc, row, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((place, row, doc, g, h))
+            h, g, doc, row, place = h[order], g[order], doc[order], row[order], place[order]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
             first = doc[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
             open_ = doc == first
-            yield from rows(signed(h[open_]), g[open_].view(np.int32), doc[open_], place[open_] << 32 | 1, np.zeros(int(open_.sum()), bool))
-            doc, place = doc[~open_], place[~open_]
+            yield from rows(signed(h[open_]), g[open_].view(np.int32), doc[open_], row[open_], place[open_] << 32 | 1, np.zeros(int(open_.sum()), bool))
+            doc, row, place = doc[~open_], row[~open_], place[~open_]
             if len(doc):
-                order = np.lexsort((place, doc))
-                doc, place = doc[order], place[order]
+                order = np.lexsort((place, row, doc))
+                doc, row, place = doc[order], row[order], place[order]
                 start = np.ones(len(doc), bool)
-                start[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 1)
+                start[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (place[1:] - place[:-1] > 1)
                 at = np.flatnonzero(start)
                 last = np.append(at[1:], len(doc)) - 1
                 spread = signed(mix(doc[at].view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * place[at].view(np.uint64)))
-                yield from rows(spread, np.zeros(len(at), np.int32), doc[at], place[at] << 32 | (place[last] - place[at] + 1), np.ones(len(at), bool))
+                yield from rows(spread, np.zeros(len(at), np.int32), doc[at], row[at], place[at] << 32 | (place[last] - place[at] + 1), np.ones(len(at), bool))
 
         for part in parts:
-            docs = np.asarray(part.column("id"))
+            docs, marks = np.asarray(part.column("id")), np.asarray(part.column("mark"))
             for some in pieces(part.column("text")):
-                own, docs = docs[: len(some)], docs[len(some) :]
+                own, docs, rows_of, marks = docs[: len(some)], docs[len(some) :], marks[: len(some)], marks[len(some) :]
                 words = WordHashes(some)
                 lo = words.of()
                 reps = representatives(lo, window)
@@ -152,7 +152,7 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
                 if len(at):
                     h = rolling(lo, window)[at]
                     g = rolling(words.of(seed=1), window)[at].astype(np.uint32)
-                    held.append((h, g, own[text[at]], place[at]))
+                    held.append((h, g, own[text[at]], rows_of[text[at]], place[at]))
                     kept += len(at)
                 if kept > FLUSH // 4:
                     yield from flush()
@@ -160,10 +160,10 @@ def covered(documents: DataFrame, window: int, id_column: str, text_column: str)
         if held:
             yield from flush()
 
-    found = texts.mapInArrow(likely, "h long, g int, id long, place long, known boolean")
+    found = texts.mapInArrow(likely, "h long, g int, id long, mark long, place long, known boolean")
     same = Window.partitionBy("h", "g", "known")
     lost = found.withColumn("first", F.min("id").over(same)).where("known or id > first")
-    return lost.groupBy("id").agg(F.collect_list("place").alias("runs"))
+    return lost.groupBy("id", "mark").agg(F.collect_list("place").alias("runs"))
 
 
 def keep_mask(words: int, runs: list[int] | None, window: int) -> np.ndarray:
@@ -186,12 +186,13 @@ def dedup_substrings(documents: DataFrame, window: int = 13, id_column: str = "d
     compared as they are; the kept ones are joined by one space. A null or empty
     text has no words and becomes the empty text; texts shorter than a window
     stay whole. Rows with a null id keep all words; rows that repeat an id count
-    as one document. Other columns are passed on unchanged;
+    as one document when repeats are sought, and each loses its own words. Other columns are passed on unchanged;
     an added column whose name documents already has is left out.
     """
-    mine, gone_in, words_of, gone_of, digest_of = (fresh(documents, n) for n in ("_match", "_gone", "_words", "_count", "_digest"))
-    lost = covered(documents, window, id_column, text_column).withColumnsRenamed({"id": mine, "runs": gone_in})
-    both = documents.join(lost, F.col(id_column) == F.col(mine), "left").drop(mine)
+    mine, row, gone_in, words_of, gone_of, digest_of = (fresh(documents, n) for n in ("_match", "_row", "_gone", "_words", "_count", "_digest"))
+    mark = row_mark(documents, id_column, text_column)
+    lost = covered(documents, window, id_column, text_column, mark).withColumnsRenamed({"id": mine, "mark": row, "runs": gone_in})
+    both = documents.join(lost, (F.col(id_column) == F.col(mine)) & (mark == F.col(row)), "left").drop(mine, row)
     names = [c for c in documents.columns if c != text_column]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.schema if f.name != text_column)
 
