@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, sums_before, word_count
+from .common import cut, in_order, sums_before, word_count
 
 #: Documents, about, in one range of a queue, and ranges at most: their sums are added up in one task.
 RANGE_ROWS, MOST_RANGES = 2_000, 100_000
@@ -42,8 +42,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
         .withColumn("filled", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
         .withColumn("open", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
         .withColumn("own", (F.col("budget") - F.col("filled")) / F.col("open"))
-        # the level is that of the first source whose cap is not reached; without one, all are full
-        .withColumn("level", F.min(F.when(F.col("own") < F.col("ratio"), F.struct("ratio", "own"))).over(everyone)["own"])
+        # the level is that of the first source whose cap is not reached, which is the largest of such; without one, all are full
+        .withColumn("level", F.max(F.when(F.col("own") < F.col("ratio"), F.col("own"))).over(everyone))
     )
     return rows.select("source", "source_size", F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))).alias("target"))
 
@@ -86,9 +86,9 @@ def mix_sources(
     both = F.array(F.struct(F.lit(0).alias("piece"), early.alias("words"), (F.col("start") + early).alias("end")), F.struct(F.lit(1).alias("piece"), (F.col("size") - early).alias("words"), (F.col("start") + F.col("size")).alias("end")))
     pieces = copies.withColumn("_", F.explode(F.filter(both, lambda x: (x["words"] > 0) | ((F.col("size") == 0) & (x["piece"] == 0))))).select("*", "_.*").drop("_")
     pieces = pieces.withColumn("finish", F.when((F.col("target") > 0) & (F.col("size") > 0), F.col("end") / F.col("target")).otherwise(F.lit(0.0)))
-    # at any time the words sent grow evenly, so equal steps of time are ranges of even size, up to time one
-    pieces = pieces.withColumn("part", F.least(F.floor(F.col("finish") * ranges), F.lit(4 * ranges)).cast("int"))
-    placed = sums_before(pieces, ["part"], [F.col(c) for c in ("finish", "piece", "shuffle", "doc_id", "copy", "size", "key")], "words", "position")
+    # ranges by sampled quantiles of the order, so that a source of little weight, whose times are late, is spread too
+    placed = in_order(pieces, [F.col(c) for c in ("finish", "piece", "shuffle", "doc_id", "copy", "size", "key")], "mix-order")
+    placed = sums_before(placed, ["part"], [F.col("at")], "words", "position")
     budget = targets.agg(F.coalesce(F.sum(F.floor("target").cast("long")), F.lit(0)).alias("n")).first().n
     taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.lit(budget) - F.col("position")))
     return placed.withColumn("taken", taken).select("key", "doc_id", "source", "size", "source_size", "target", "copy", "piece", "words", "finish", "position", "taken")

@@ -110,7 +110,7 @@ r AS (SELECT *, cap / weight AS ratio, (sum(source_size) OVER ())::DOUBLE * 1.5:
 n AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS filled,
              sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM r),
 l AS (SELECT *, (budget - filled) / open AS own FROM n),
-t AS (SELECT source, source_size, least(cap, coalesce(weight * (SELECT arg_min(own, ratio) FROM l WHERE own < ratio), cap)) AS target FROM l),
+t AS (SELECT source, source_size, least(cap, coalesce(weight * (SELECT max(own) FROM l WHERE own < ratio), cap)) AS target FROM l),
 q AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d),
 c AS (SELECT q.*, source_size, target, copy, before + copy * source_size AS start, greatest(0, least(size, floor(target)::BIGINT - (before + copy * source_size)))::BIGINT AS early
       FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source CROSS JOIN range(0, 2) r(copy)),
