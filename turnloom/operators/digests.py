@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import sha256
+from . import scan
 
 # Fixed value: the types that carry content; the others are bookkeeping, which a digest leaves out.
 CONTENT_TYPES = ("turn/start", "turn/end", "step/start", "step/end", "user/message", "assistant/message", "tool/call", "tool/result")
@@ -20,12 +21,18 @@ def content(columns: list[str]) -> Column:
     return F.to_json(F.struct(*(F.col(c) for c in CONTENT_FIELDS if c in columns)))
 
 
-def sliced(events: DataFrame, session: str = "session_id") -> DataFrame:
+def sliced(events: DataFrame, session: str = "session_id", segment_rows: int | None = None) -> DataFrame:
     """events plus slice: the turn's number in the log, from 1; NULL for what stands outside turns.
 
     turn/start opens a slice, closing an open one; turn/end closes it. Rows
-    before, between and after slices are the prelude.
+    before, between and after slices are the prelude. segment_rows spreads an endless session over tasks.
     """
+    if segment_rows:
+        segment = scan.segment_of("seq", segment_rows)
+        begins = (F.col("type") == "turn/start").cast("long")
+        rows = scan.running(events, [session], segment, "seq", sums={"_slice": begins}).withColumn("_slice", F.col("_slice") + begins)
+        rows = scan.running(rows, [session, "_slice"], segment, "seq", sums={"_over": (F.col("type") == "turn/end").cast("long")})
+        return rows.withColumn("slice", F.when((F.col("_slice") > 0) & (F.col("_over") == 0), F.col("_slice"))).drop("_slice", "_over")
     order = Window.partitionBy(session).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = events.withColumn("_slice", F.sum((F.col("type") == "turn/start").cast("long")).over(order))
     ended = Window.partitionBy(session, "_slice").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
@@ -33,13 +40,13 @@ def sliced(events: DataFrame, session: str = "session_id") -> DataFrame:
     return rows.withColumn("slice", F.when((F.col("_slice") > 0) & (F.col("_over") == 0), F.col("_slice"))).drop("_slice", "_over")
 
 
-def turn_slices(events: DataFrame, session: str = "session_id") -> DataFrame:
+def turn_slices(events: DataFrame, session: str = "session_id", segment_rows: int | None = None) -> DataFrame:
     """(session, slice, turn, digest, event_count, contentless) of each turn in the log.
 
     A digest is the SHA-256 of the content events' texts in order. Each text is
     digested first, so that long cells aren't gathered.
     """
-    rows = sliced(events, session).where("slice is not null")
+    rows = sliced(events, session, segment_rows).where("slice is not null")
     is_content = F.col("type").isin(*CONTENT_TYPES)
     rows = rows.withColumn("_text", F.when(is_content, sha256(content(events.columns))))
     ordered = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("seq", "_text"))))

@@ -4,6 +4,10 @@ A message becomes the events it stands for as one array: the turn's start
 before its first message, the step with its calls and results, the turn's end
 after its last. Exploding the arrays and one sort per session gives the log. All
 of it is partitioned by session, so messages and parts are shuffled once.
+
+Where segment_rows is given, nothing is partitioned by session alone: turns and
+steps are scanned in segments (see scan), a turn's facts are aggregated and joined, and
+the log is numbered by ranges, so an endless session or turn is spread over tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids as I
+from . import scan
 from . import turns as T
 
 BLOCK = "struct<type:string,text:string,id:string,name:string,arguments:string,is_error:boolean>"
@@ -116,12 +121,13 @@ def _stream(blocks: Column, time: Column) -> Column:
     return F.transform(blocks, one)
 
 
-def planned_messages(sessions: DataFrame, messages: DataFrame, parts: DataFrame, anchored: bool = True) -> DataFrame:
+def planned_messages(sessions: DataFrame, messages: DataFrame, parts: DataFrame, anchored: bool = True, segment_rows: int | None = None) -> DataFrame:
     """Messages with their parts as an ordered array, turn, step and bucket, and the session's fields."""
     tool_text, tool_error, tool_open = tool_outcome(F.col("status"), F.col("output"), F.col("error"))
     arguments, how = tool_arguments(F.col("input"), F.col("input_kind"))
     tool = lambda c: F.when(F.col("kind") == "tool", c)
-    slim = parts.repartition("session_id").select(
+    dealt = ("session_id", "msg_pos") if segment_rows else ("session_id",)
+    slim = parts.repartition(*dealt).select(
         "session_id",
         "msg_pos",
         F.struct(
@@ -142,10 +148,10 @@ def planned_messages(sessions: DataFrame, messages: DataFrame, parts: DataFrame,
         ).alias("part"),
     )
     nested = slim.groupBy("session_id", "msg_pos").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    rows = messages.repartition("session_id").join(nested, ["session_id", "msg_pos"], "left")
+    rows = messages.repartition(*dealt).join(nested, ["session_id", "msg_pos"], "left")
     rows = rows.withColumn("parts", F.coalesce("parts", F.array().cast(nested.schema["parts"].dataType)))
     rows = rows.withColumn("is_step", T.is_step(F.col("role"), F.transform("parts", lambda p: p["kind"])))
-    rows = T.numbered_steps(T.anchored_turns(rows) if anchored else T.segment_turns(rows))
+    rows = T.numbered_steps(T.anchored_turns(rows, segment_rows=segment_rows) if anchored else T.segment_turns(rows, segment_rows=segment_rows), segment_rows=segment_rows)
     about = sessions.select("session_id", F.col("created_at").alias("session_created"), F.col("model").alias("session_model"), F.col("provider").alias("session_provider"), F.col("title").alias("session_title"))
     return rows.join(about, "session_id")
 
@@ -166,23 +172,36 @@ def _user_blocks(parts: Column) -> Column:
     return F.when(F.size(blocks) > 0, blocks).otherwise(F.array(_block("text", text=F.lit(EMPTY_MESSAGE))))
 
 
-def with_events(planned: DataFrame, format_version: int = 0, plugin: str = PLUGIN) -> DataFrame:
-    """planned plus events: the array of keyed events that each message stands for."""
+def _turn_facts(rows: DataFrame, user: Column, segmented: bool) -> DataFrame:
+    """rows plus whether a message is its turn's first and last, the turn's time, the time of the users that wait for a step, and the last finish."""
+    finished = F.when(F.col("produced") & F.col("finish").isNotNull(), F.col("msg_pos"))
+    if segmented:
+        key = ["session_id", "turn"]
+        turn = rows.groupBy(*key).agg(F.min("msg_pos").alias("_from"), F.max("msg_pos").alias("_to"), F.min_by("time", "msg_pos").alias("_turn_time"), F.max_by("finish", finished).alias("_finish"))
+        waiting = rows.where(user & F.col("time").isNotNull()).groupBy(*key, "bucket").agg(F.min_by("time", "msg_pos").alias("_user_time"))
+        both = rows.join(turn, key).join(waiting, [*key, "bucket"], "left")
+        return both.withColumns({"_first": F.col("msg_pos") == F.col("_from"), "_last": F.col("msg_pos") == F.col("_to")}).drop("_from", "_to")
     turn = Window.partitionBy("session_id", "turn")
     order = turn.orderBy("msg_pos")
     waiting = Window.partitionBy("session_id", "turn", "bucket").orderBy("msg_pos")
-    user, step = F.col("role") == "user", F.col("is_step")
-    blocks = F.when(user, _user_blocks(F.col("parts"))).when(step, _assistant_blocks(F.col("parts")))
-    rows = planned.withColumn("blocks", blocks).withColumn("produced", step & (F.size("blocks") > 0))
-    rows = rows.withColumns(
+    whole = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumns(
         {
-            "_n": F.row_number().over(order),
+            "_first": F.row_number().over(order) == 1,
             "_last": F.lead("msg_pos").over(order).isNull(),
-            "_turn_time": F.first("time").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-            "_user_time": F.first(F.when(user, F.col("time")), ignorenulls=True).over(waiting.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-            "_finish": F.max_by("finish", F.when(F.col("produced") & F.col("finish").isNotNull(), F.col("msg_pos"))).over(turn),
+            "_turn_time": F.first("time").over(whole(order)),
+            "_user_time": F.first(F.when(user, F.col("time")), ignorenulls=True).over(whole(waiting)),
+            "_finish": F.max_by("finish", finished).over(turn),
         }
     )
+
+
+def with_events(planned: DataFrame, format_version: int = 0, plugin: str = PLUGIN, segment_rows: int | None = None) -> DataFrame:
+    """planned plus events: the array of keyed events that each message stands for."""
+    user, step = F.col("role") == "user", F.col("is_step")
+    blocks = F.when(user, _user_blocks(F.col("parts"))).when(step, _assistant_blocks(F.col("parts")))
+    rows = planned.withColumn("blocks", blocks).withColumn("produced", step & (F.size("blocks") > 0))
+    rows = _turn_facts(rows, user, bool(segment_rows))
     zero, bucket, at = F.lit(0), F.col("bucket"), {"turn": F.col("turn"), "step": F.col("step")}
     injected = F.col("origin").isNotNull() & (F.col("origin") != "real_user")
     message_time = F.coalesce("completed_time", "time")
@@ -241,7 +260,7 @@ def with_events(planned: DataFrame, format_version: int = 0, plugin: str = PLUGI
     turn_no = {"turn": F.col("turn")}
     none = F.filter(F.array(said), lambda e: F.lit(False))
     events = F.concat(
-        F.when(F.col("_n") == 1, F.array(_event("turn/start", F.col("_turn_time"), zero, TURN_START, **turn_no))).otherwise(none),
+        F.when(F.col("_first"), F.array(_event("turn/start", F.col("_turn_time"), zero, TURN_START, **turn_no))).otherwise(none),
         F.when(step, F.array(_event("step/start", F.coalesce("_user_time", "time", "_turn_time"), bucket, STEP_START, **at))).otherwise(none),
         F.when(user, F.array(said)).otherwise(none),
         F.when(F.col("produced"), F.concat(F.array(answered), F.flatten(F.transform(tools, lambda p: F.array(call(p), result(p)))))).otherwise(none),
@@ -251,7 +270,7 @@ def with_events(planned: DataFrame, format_version: int = 0, plugin: str = PLUGI
     return rows.withColumn("events", events)
 
 
-def event_log(planned: DataFrame, sessions: DataFrame, format_version: int = 0, plugin: str = PLUGIN) -> DataFrame:
+def event_log(planned: DataFrame, sessions: DataFrame, format_version: int = 0, plugin: str = PLUGIN, segment_rows: int | None = None) -> DataFrame:
     """The log of every session: session_id, seq from 0, the event's fields and source_event_seqs.
 
     A session with a title that isn't blank begins with it. A tool's result
@@ -260,10 +279,13 @@ def event_log(planned: DataFrame, sessions: DataFrame, format_version: int = 0,
     """
     named = sessions.where(F.trim("title") != "").select("session_id", _event("session/title", F.col("created_at"), F.lit(0), 0, title=F.col("title"), source_kind=F.lit("user")).alias("e"))
     # a user's event carries no turn of its own, so it is sorted by that of its message
-    rows = with_events(planned, format_version, plugin).select("session_id", F.col("turn").alias("_turn"), F.explode("events").alias("e"))
+    rows = with_events(planned, format_version, plugin, segment_rows).select("session_id", F.col("turn").alias("_turn"), F.explode("events").alias("e"))
     both = rows.unionByName(named.withColumn("_turn", F.lit(0).cast("long")))
-    order = Window.partitionBy("session_id").orderBy("_turn", "e.key")
-    numbered = both.withColumn("seq", F.row_number().over(order).cast("long") - 1)
+    if segment_rows:
+        numbered = scan.numbered(both, ["session_id"], ["_turn", "e.key"], "seq", segment_rows)
+    else:
+        order = Window.partitionBy("session_id").orderBy("_turn", "e.key")
+        numbered = both.withColumn("seq", F.row_number().over(order).cast("long") - 1)
     return numbered.select("session_id", "seq", *(F.col(f"e.{n}").alias(n) for n in FIELDS)).withColumn("source_event_seqs", F.when(F.col("type") == "tool/result", F.array(F.col("seq") - 1)))
 
 

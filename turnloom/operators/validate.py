@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoint import cut
+from . import scan
+
 # The vocabulary, and the types that must carry a surface operation.
 VOCABULARY = (
     "turn/start", "turn/end", "step/start", "step/end", "user/message", "assistant/chunk", "assistant/message",
@@ -18,7 +21,28 @@ SURFACE_TYPES = ("user/message", "assistant/message", "tool/result")
 NOT_STARTED = "TOOL_NOT_STARTED"
 
 
-def with_state(events: DataFrame, session: str = "session_id") -> DataFrame:
+def _segmented_state(rows: DataFrame, session: str, order_by: str, segment_rows: int) -> DataFrame:
+    """with_state, in segments of sessions, so that an endless one is spread over tasks."""
+    type_ = F.col("type")
+    is_ = lambda t: F.coalesce(type_ == t, F.lit(False)).cast("long")
+    # rows without a place in the order come first, as they do in a window
+    segment = F.coalesce(scan.segment_of(order_by, segment_rows), F.lit(-1).cast("long"))
+    rows = scan.running(
+        rows, [session], segment, order_by, sums={"turns_ended": is_("turn/end"), "_turns": is_("turn/start"), "_steps": is_("step/start")}, lasts={"_prev": F.struct("seq"), "_turn_before": F.col("_turn_mark"), "_step_before": F.col("_step_mark")}
+    )
+    rows = rows.withColumns(
+        {
+            "prev_seq": F.col("_prev.seq"), "open_turn": F.when(F.col("_turn_before.open"), F.col("_turn_before.n")), "open_step": F.when(F.col("_step_before.open"), F.col("_step_before.n")),
+            "_turns": F.col("_turns") + is_("turn/start"), "_steps": F.col("_steps") + is_("step/start"),
+        }
+    ).drop("_prev", "_turn_before", "_step_before")
+    rows = scan.running(rows, [session, "_turns"], segment, order_by, sums={"_ended": is_("step/end")})
+    rows = scan.running(rows, [session, "_steps"], segment, order_by, sums={"said": is_("assistant/message")})
+    rows = scan.running(rows, [session, "_steps", "call_id"], segment, order_by, lasts={"_call": F.when(type_ == "tool/call", 1).when(type_ == "tool/result", 0)})
+    return rows.withColumns({"next_step": F.col("_ended") + 1, "_call_open": F.coalesce("_call", F.lit(0)) == 1}).drop("_ended", "_call", "_turn_mark", "_step_mark")
+
+
+def with_state(events: DataFrame, session: str = "session_id", segment_rows: int | None = None) -> DataFrame:
     """events plus what stands before each: previous seq, open turn and step, expected numbers, earlier messages and calls.
 
     The order is that of `pos` if there is one, else of seq.
@@ -31,6 +55,8 @@ def with_state(events: DataFrame, session: str = "session_id") -> DataFrame:
     turn_mark = F.when(type_ == "turn/start", F.struct(F.lit(True).alias("open"), F.col("turn").alias("n"))).when(type_ == "turn/end", F.struct(F.lit(False).alias("open"), F.col("turn").alias("n")))
     step_mark = F.when(type_ == "step/start", F.struct(F.lit(True).alias("open"), F.col("step").alias("n"))).when(type_ == "step/end", F.struct(F.lit(False).alias("open"), F.col("step").alias("n")))
     rows = events.withColumns({"_turn_mark": turn_mark, "_step_mark": step_mark})
+    if segment_rows:
+        return _segmented_state(rows, session, order_by, segment_rows)
     count = lambda t: F.coalesce(F.sum((type_ == t).cast("long")).over(before), F.lit(0))
     last = lambda c: F.last(c, ignorenulls=True).over(before)
     rows = rows.withColumns(
@@ -97,30 +123,36 @@ def _rules(require_all: bool) -> dict[str, Column]:
     }
 
 
-def violations(events: DataFrame, session: str = "session_id", require_all: bool = True) -> DataFrame:
+def violations(events: DataFrame, session: str = "session_id", require_all: bool = True, segment_rows: int | None = None) -> DataFrame:
     """(session, seq, rule) for every broken rule V1 to V16; none for a sound log.
 
     V14 is what is open at the end of a log, with its last seq. V8 also names
     calls without results at the step's end. V15, that values are lossless
     JSON, holds by the columns' types. V16 is ours: a tool-call block without a call.
     """
-    rows = with_state(events, session)
+    order = "pos" if "pos" in events.columns else "seq"
     rules = _rules(require_all)
     broken = F.filter(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in rules.items())), lambda r: r.isNotNull())
-    simple = rows.select(session, "seq", F.explode(broken).alias("rule"))
+    asked = F.transform(F.filter("blocks", lambda b: b["type"] == "tool-call"), lambda b: b["id"])
+    # all branches read the same few columns, which are made once
+    rows = cut(
+        with_state(events, session, segment_rows).select(
+            session, *dict.fromkeys((order, "seq")), "type", "call_id", "_turns", "_steps", "open_turn", "open_step", broken.alias("broken"), F.when(F.col("type") == "assistant/message", asked).alias("asked")
+        )
+    )
+    simple = rows.select(session, "seq", F.explode("broken").alias("rule"))
 
     calls = rows.where(F.col("type").isin("tool/call", "tool/result")).groupBy(session, "_turns", "_steps", "call_id").agg(F.max_by(F.col("type"), "seq").alias("last"), F.max("seq").alias("at"))
     waiting = calls.where("last = 'tool/call'")
     ends = rows.where("type = 'step/end'").groupBy(session, "_steps").agg(F.min("seq").alias("seq"))
     unanswered = waiting.join(ends, [session, "_steps"], "left").select(session, F.coalesce("seq", "at").alias("seq"), F.when(F.col("seq").isNotNull(), "V8").otherwise("V14").alias("rule")).distinct()
 
-    order = "pos" if "pos" in events.columns else "seq"
     final = rows.groupBy(session).agg(F.max_by(F.struct("type", "open_turn", "open_step", "seq"), order).alias("z"))
     turn_left = F.when(F.col("z.type") == "turn/start", True).when(F.col("z.type") == "turn/end", False).otherwise(F.col("z.open_turn").isNotNull())
     step_left = F.when(F.col("z.type") == "step/start", True).when(F.col("z.type") == "step/end", False).otherwise(F.col("z.open_step").isNotNull())
     open_end = final.where(turn_left | step_left).select(session, F.col("z.seq").alias("seq"), F.lit("V14").alias("rule"))
 
-    blocks = rows.where("type = 'assistant/message'").select(session, "_steps", "seq", F.explode(F.filter("blocks", lambda b: b["type"] == "tool-call")).alias("b")).select(session, "_steps", "seq", F.col("b.id").alias("call_id"))
+    blocks = rows.where("size(asked) > 0").select(session, "_steps", "seq", F.explode("asked").alias("call_id"))
     made = rows.where("type = 'tool/call'").select(session, "_steps", "call_id").distinct()
     uncalled = blocks.join(made, [session, "_steps", "call_id"], "left_anti").select(session, "seq", F.lit("V16").alias("rule")).distinct()
     return simple.unionByName(unanswered).unionByName(open_end).unionByName(uncalled).distinct()

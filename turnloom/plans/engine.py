@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..config import Config
-from ..operators import digests, events, fidelity, reconcile, report, validate
+from ..operators import digests, events, fidelity, reconcile, report, scan, validate
 from ..operators import pending as P
 from ..operators import warnings as W
 from ..sinks.lock import import_lock
@@ -25,6 +25,10 @@ from ..sinks.store import ParquetSink, Registry, Sink, cut, merged_registry, rec
 from ..sources.resolve import Source, open_source
 
 
+#: Messages of a session that one task can still take.
+LONG_SESSION = 1_000_000
+
+
 class Plan(NamedTuple):
     planned: DataFrame
     events: DataFrame
@@ -42,10 +46,12 @@ def only(source: Source, ids: DataFrame) -> Source:
 
 def plan(source: Source, format_version: int = 0, variant: str = "") -> Plan:
     """The source's sessions as event logs, with what is to be said about them."""
-    planned = cut(events.planned_messages(source.sessions, source.messages, source.parts))
-    log = cut(events.event_log(planned, source.sessions, format_version))
+    # only where a session is too long for a task are sessions cut into segments, which takes more shuffles
+    segments = scan.SEGMENT_ROWS if scan.longest(source.messages, "session_id") > LONG_SESSION else None
+    planned = cut(events.planned_messages(source.sessions, source.messages, source.parts, segment_rows=segments))
+    log = cut(events.event_log(planned, source.sessions, format_version, segment_rows=segments))
     stats = cut(events.plan_stats(planned, log))
-    return Plan(planned, log, events.log_headers(source.sessions, format_version, variant), stats, validate.violations(log), source.warnings.unionByName(W.plan_warnings(source.sessions, planned, stats)))
+    return Plan(planned, log, events.log_headers(source.sessions, format_version, variant), stats, validate.violations(log, segment_rows=segments), source.warnings.unionByName(W.plan_warnings(source.sessions, planned, stats)))
 
 
 class Run(NamedTuple):

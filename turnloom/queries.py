@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .functions import ids as I
 from .functions import json as J
-from .operators import digests, events, fidelity, normalize, pending, reconcile, report, turns, validate
+from .operators import digests, events, fidelity, normalize, pending, reconcile, report, scan, turns, validate
 from .operators import warnings as W
 from .sinks.store import merged_registry
 from .sources.lines import late_results
@@ -92,6 +92,30 @@ grp AS (SELECT *, last_value(anchor IGNORE NULLS) OVER (PARTITION BY session_id
 fst AS (SELECT *, min(msg_pos) OVER (PARTITION BY session_id, key) AS first FROM grp),
 seg AS (SELECT *, dense_rank() OVER (PARTITION BY session_id ORDER BY first) AS turn FROM fst)"""
 
+#: Positions of a segment in the queries on an endless session; small, so that the tables have many segments.
+ENDLESS_ROWS = 1_000
+
+
+def endless_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """activity with every second user in one session, x, which holds half of all rows."""
+    rows = _table(spark, sf_dir, "events").withColumn("session_id", F.when(F.col("user_id") % 2 == 0, "x").otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string"))))
+    placed = scan.numbered(rows, ["session_id"], ["ts", "event_id"], "msg_pos", ENDLESS_ROWS)
+    return placed.select(
+        "session_id",
+        "event_id",
+        "msg_pos",
+        F.col("event_type").alias("type"),
+        F.when(F.col("event_type") == "signup", (F.col("event_id") % 5).cast("string")).alias("anchor"),
+        F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("time"),
+        F.when(F.col("event_type") == "signup", "user").otherwise("assistant").alias("role"),
+        "props",
+        "value",
+    )
+
+
+_X = "CASE WHEN user_id % 2 = 0 THEN 'x' ELSE 'u' || user_id END"
+_ENDLESS = _ACTIVITY.replace("'u' || user_id AS session_id", f"{_X} AS session_id").replace("PARTITION BY user_id", f"PARTITION BY {_X}")
+
 _NO = {"string": ("turn_id", "origin", "semantics_kind", "visibility", "model", "provider", "mode", "agent", "finish", "cwd", "summary_title", "summary_body")}
 
 
@@ -129,9 +153,9 @@ def talk_source(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[
     return sessions, messages, parts
 
 
-def activity_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, messages and parts of events."""
-    rows = activity(spark, sf_dir)
+def activity_source(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, messages and parts of events, or of the given rows of activity."""
+    rows = activity(spark, sf_dir) if rows is None else rows
     null = lambda n: F.lit(None).cast("string").alias(n)
     sessions = rows.groupBy("session_id").agg(F.min("time").alias("created_at"), F.max("time").alias("updated_at")).select("session_id", F.col("session_id").alias("title"), F.lit("").alias("directory"), "created_at", "updated_at", F.lit("sqlite").alias("source_kind"), null("project_id"), null("source_version"), null("task_type"), F.lit("model-a").alias("model"), F.lit("maker").alias("provider"))
     id_ = F.concat(F.lit("e"), F.col("event_id").cast("string"))
@@ -182,6 +206,7 @@ log AS (SELECT session_id, (row_number() OVER (PARTITION BY session_id ORDER BY
 
 
 _TALK_LOG = _log_sql(_TALK, "SELECT DISTINCT session_id FROM talk WHERE conv_id % 10 <> 0", "false")
+_ENDLESS_LOG = _log_sql(_ENDLESS, "SELECT DISTINCT session_id FROM act", "type IN ('click', 'purchase', 'error')")
 _ACTIVITY_LOG = _log_sql(_ACTIVITY, "SELECT DISTINCT session_id FROM act", "type IN ('click', 'purchase', 'error')")
 
 
@@ -225,6 +250,43 @@ def event_log_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity_log(spark, sf_dir)[1].select("session_id", "seq", "type", "turn", "step")
 
 
+@query(f"WITH {_ENDLESS_LOG} SELECT session_id, msg_pos::BIGINT AS msg_pos, turn::BIGINT AS turn, CASE WHEN role = 'assistant' THEN bucket END::BIGINT AS step, bucket::BIGINT AS bucket, steps::BIGINT AS turn_steps FROM stp")
+def endless_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns by anchors and steps where one session holds half of all rows, in segments."""
+    rows = turns.anchored_turns(endless_activity(spark, sf_dir), anchor="anchor", segment_rows=ENDLESS_ROWS)
+    rows = turns.numbered_steps(rows.withColumn("is_step", F.col("role") == "assistant"), segment_rows=ENDLESS_ROWS)
+    return rows.select("session_id", "msg_pos", "turn", "step", "bucket", "turn_steps")
+
+
+@query(
+    f"""WITH {_ENDLESS}, sp AS (SELECT *, last_value(CASE WHEN role IN ('user', 'assistant') THEN role END IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY msg_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spoke FROM act)
+SELECT session_id, msg_pos::BIGINT AS msg_pos, (1 + sum(CASE WHEN role = 'user' AND spoke = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY msg_pos))::BIGINT AS turn FROM sp"""
+)
+def endless_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns without anchors where one session holds half of all rows, in segments."""
+    return turns.segment_turns(endless_activity(spark, sf_dir), segment_rows=ENDLESS_ROWS).select("session_id", "msg_pos", "turn")
+
+
+def endless_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions, messages, parts = activity_source(spark, sf_dir, endless_activity(spark, sf_dir))
+    planned = events.planned_messages(sessions, messages, parts, segment_rows=ENDLESS_ROWS)
+    return events.event_log(planned, sessions, segment_rows=ENDLESS_ROWS)
+
+
+_TIMES = """, u AS (SELECT session_id, turn, bucket, min(msg_pos) AS p FROM stp WHERE role = 'user' GROUP BY session_id, turn, bucket)
+SELECT l.session_id, l.seq, l.type, CASE WHEN l.type NOT IN ('session/title', 'user/message') THEN l.turn_no END AS turn, CASE WHEN l.type NOT IN ('session/title', 'user/message', 'turn/start', 'turn/end') THEN l.bucket END AS step,
+  CASE WHEN l.type = 'session/title' THEN (SELECT min(time) FROM act a WHERE a.session_id = l.session_id) WHEN l.type = 'step/start' THEN coalesce(ua.time, a.time) ELSE a.time END::BIGINT AS time
+FROM log l LEFT JOIN act a ON a.session_id = l.session_id AND a.msg_pos = l.msg_pos
+LEFT JOIN u ON l.type = 'step/start' AND u.session_id = l.session_id AND u.turn = l.turn_no AND u.bucket = l.bucket
+LEFT JOIN act ua ON ua.session_id = u.session_id AND ua.msg_pos = u.p"""
+
+
+@query(f"WITH {_ENDLESS_LOG}{_TIMES}")
+def endless_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log where one session holds half of all rows, in segments."""
+    return endless_log(spark, sf_dir).select("session_id", "seq", "type", "turn", "step", "time")
+
+
 @query(
     f"""WITH {_ACTIVITY_LOG}, u AS (SELECT session_id, turn, bucket, min(msg_pos) AS p FROM stp WHERE role = 'user' GROUP BY session_id, turn, bucket)
 SELECT l.session_id, l.seq, l.type, CASE WHEN l.type = 'session/title' THEN (SELECT min(time) FROM act a WHERE a.session_id = l.session_id)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Protocol
 
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..checkpoint import cut
 from ..functions.ids import DIGEST_VERSION
 from ..operators.events import FIELDS
 
@@ -23,17 +23,6 @@ def bucket_of(session: str = "session_id"):
     return F.pmod(F.xxhash64(session), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df by a reliable checkpoint in the shared folder, so that what follows is planned from its rows."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
-            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
 class Sink(Protocol):
     """events and headers are those of the sessions ids(session_id), or all."""
 
