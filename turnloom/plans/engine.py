@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..config import Config
-from ..operators import digests, events, fidelity, reconcile, report, scan, validate
+from ..operators import chain, digests, events, fidelity, reconcile, report, scan, validate
 from ..operators import pending as P
 from ..operators import warnings as W
 from ..sinks.lock import import_lock
-from ..sinks.store import ParquetSink, Registry, Sink, cut, merged_registry, records
+from ..sinks.store import EVENT_COLUMNS, ParquetSink, Registry, Sink, cut, merged_registry, records
 from ..sources.resolve import Source, open_source
 
 
@@ -36,6 +36,7 @@ class Plan(NamedTuple):
     stats: DataFrame
     violations: DataFrame
     warnings: DataFrame
+    segments: int | None = None
 
 
 def only(source: Source, ids: DataFrame) -> Source:
@@ -51,7 +52,7 @@ def plan(source: Source, format_version: int = 0, variant: str = "") -> Plan:
     planned = cut(events.planned_messages(source.sessions, source.messages, source.parts, segment_rows=segments))
     log = cut(events.event_log(planned, source.sessions, format_version, segment_rows=segments))
     stats = cut(events.plan_stats(planned, log))
-    return Plan(planned, log, events.log_headers(source.sessions, format_version, variant), stats, validate.violations(log, segment_rows=segments), source.warnings.unionByName(W.plan_warnings(source.sessions, planned, stats)))
+    return Plan(planned, log, events.log_headers(source.sessions, format_version, variant), stats, validate.violations(log, segment_rows=segments), source.warnings.unionByName(W.plan_warnings(source.sessions, planned, stats)), segments)
 
 
 class Run(NamedTuple):
@@ -83,30 +84,36 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     sound = made.headers.join(invalid, "session_id", "left_anti").join(blank, "session_id", "left_anti")
     # of the store, only what the run is about is read
     ids = None if wanted is None else cut(source.sessions.select("session_id").distinct())
-    stored_headers, stored = sink.headers(ids), sink.events(ids)
+    stored_headers, stored_heads = sink.headers(ids), sink.heads(ids)
     if force_variant:
-        stored_headers, stored = stored_headers.limit(0), stored.limit(0)
-    decided = cut(reconcile.decisions(log, sound, stored, stored_headers))
-    if not config.dry_run:
-        written = reconcile.increments(log, decided).select(sink.events().columns)
+        stored_headers, stored_heads = stored_headers.limit(0), stored_heads.limit(0)
+    # heads decide; a log is read only where its plan differs from it
+    decided = cut(chain.decisions(log, sound, stored_heads, stored_headers, sink.events, segment_rows=made.segments))
+    touched = cut(decided.where(F.col("mode").isin("create", "append")).select("session_id"))
+    moved = not touched.isEmpty()
+    if not config.dry_run and moved:
+        written = reconcile.increments(log, decided).select(EVENT_COLUMNS)
         fresh = decided.where("mode = 'create'").select("session_id")
         # a variant's log stands under its own id
         rename = (lambda df: df.join(sound.select("session_id", "target_id"), "session_id").withColumn("session_id", F.col("target_id")).drop("target_id")) if force_variant else (lambda df: df)
         headers = sound.join(fresh, "session_id", "left_semi").select(*(c.split()[0] for c in schema.HEADERS.split(", ")))
         if force_variant:
             headers = headers.withColumn("session_id", F.col("target_id"))
-        sink.append(rename(written), headers)
-    read_back = sink.events(sound.select(F.col("target_id").alias("session_id")) if force_variant else ids)
+        sink.append(rename(written), headers, rename(chain.written_heads(log, decided, segment_rows=made.segments)))
+    # what was written is read back and compared; the rest has not changed
+    there = sound.join(touched, "session_id", "left_semi")
+    read_back = sink.events(there.select(F.col("target_id" if force_variant else "session_id").alias("session_id"))) if moved else log.limit(0)
     if force_variant:
         read_back = read_back.join(sound.select(F.col("target_id").alias("session_id"), F.col("session_id").alias("_s")), "session_id").withColumn("session_id", F.col("_s")).drop("_s")
-    checked = fidelity.fidelity(fidelity.source_reasoning(source.parts.join(source.messages.where("role = 'assistant'").select("session_id", "msg_pos"), ["session_id", "msg_pos"], "left_semi")), fidelity.stored_reasoning(read_back.join(decided.where("mode <> 'conflict'"), "session_id", "left_semi")))
+    answers = source.messages.where("role = 'assistant'").select("session_id", "msg_pos").join(touched, "session_id", "left_semi")
+    checked = fidelity.fidelity(fidelity.source_reasoning(source.parts.join(answers, ["session_id", "msg_pos"], "left_semi")), fidelity.stored_reasoning(read_back))
     status = F.when(F.col("_invalid"), "failed").when(F.col("_blank"), "skipped").otherwise(F.element_at(F.create_map(*(F.lit(x) for x in ("create", "imported", "append", "appended", "skip", "skipped", "conflict", "conflict"))), F.col("mode")))
     flag = lambda df, name: df.withColumn(name, F.lit(True))
     results = cut(
         source.sessions.select("session_id", "title")
         .join(flag(invalid, "_invalid"), "session_id", "left")
         .join(flag(blank, "_blank"), "session_id", "left")
-        .join(decided, "session_id", "left")
+        .join(decided.drop("planned_events"), "session_id", "left")
         .join(made.stats, "session_id", "left")
         .join(checked.select("session_id", F.col("ok").alias("_ok")), "session_id", "left")
         .withColumns({"_invalid": F.coalesce("_invalid", F.lit(False)), "_blank": F.coalesce("_blank", F.lit(False))})

@@ -15,9 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .checkpoint import cut
 from .functions import ids as I
 from .functions import json as J
-from .operators import digests, events, fidelity, normalize, pending, reconcile, report, scan, turns, validate
+from .operators import chain, digests, events, fidelity, normalize, pending, reconcile, report, scan, turns, validate
 from .operators import warnings as W
 from .sinks.store import merged_registry
 from .sources.lines import late_results
@@ -479,6 +480,10 @@ txt AS (SELECT l.session_id, l.seq, l.type, l.turn_no, l.bucket, CASE l.type
 slc AS (SELECT session_id, turn_no AS turn, sha256(string_agg(sha256(text), '' ORDER BY seq)) AS digest, count(*)::BIGINT AS event_count FROM txt WHERE type <> 'session/title' GROUP BY session_id, turn_no)""".replace("UUID", _UUID).replace("NAMESPACE", I.NAMESPACE)
 
 
+#: The same with every answer's whole text as reasoning.
+_WHOLE_CONTENT = _CONTENT.replace("CASE WHEN t.turn0 % 4 = 0 THEN", "CASE WHEN true THEN").replace("substr(t.text, 1, 20)", "t.text")
+
+
 @query(f"WITH {_TALK_LOG}, {_CONTENT} SELECT session_id, turn, digest, event_count, false AS contentless FROM slc")
 def turn_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.turn_slices(talk_log(spark, sf_dir)[1]).drop("slice")
@@ -512,6 +517,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     none, % 17 = 0 its header's time differs, % 5 = 0 its title is another.
     """
     _, plan, sessions = talk_log(spark, sf_dir, whole=True)
+    plan = cut(plan)
     conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
     plan = plan.withColumn("conv_id", conv)
     sliced = digests.sliced(plan)
@@ -522,7 +528,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     more = more.withColumn("turn", F.lit(99).cast("long")).withColumn("seq", F.when(F.col("type") == "turn/start", 100_000).otherwise(100_001).cast("long"))
     both = base.unionByName(more)
     seq = F.row_number().over(Window.partitionBy("session_id").orderBy("seq")).cast("long") - 1
-    stored = both.withColumn("seq", seq).drop("conv_id")
+    stored = cut(both.withColumn("seq", seq).drop("conv_id"))
     headers = events.log_headers(sessions)
     old = headers.where(conv % 13 != 0).withColumn("created_at", F.col("created_at") + F.when(conv % 17 == 0, 1).otherwise(0))
     return plan.drop("conv_id"), headers, stored, old
@@ -546,6 +552,25 @@ def reconcile_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("session_id", "mode", "reason", F.col("turn_index").cast("long").alias("turn_index"), "planned_turns", "stored_turns", "title_changed")
 
 
+@query(
+    f"{_RECONCILE} SELECT session_id, mode, reason, CASE WHEN reason = 'turn-content-rewritten' THEN 0 END::BIGINT AS turn_index, turns::BIGINT AS planned_turns, stored::BIGINT AS stored_turns, mode = 'append' AND renamed AS title_changed FROM d"
+)
+def chain_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `reconcile_decisions`, from the heads of the stored logs; only rewritten logs are read."""
+    plan, headers, stored, old = stored_log(spark, sf_dir)
+    rows = chain.decisions(plan, headers, cut(chain.heads_of(stored)), old, lambda ids: stored.join(ids, "session_id", "left_semi"))
+    return rows.select("session_id", "mode", "reason", "turn_index", "planned_turns", "stored_turns", "title_changed")
+
+
+@query(
+    f"""WITH {_TALK_LOG}, {_WHOLE_CONTENT}, o AS (SELECT session_id, turn, event_count, list(digest) OVER (PARTITION BY session_id ORDER BY turn) AS digests, sum(event_count) OVER (PARTITION BY session_id ORDER BY turn) AS events_to FROM slc)
+SELECT session_id, (len(digests) - 1)::BIGINT AS position, list_reduce(digests, lambda a, b: sha256(a || b), '') AS chain, events_to::BIGINT AS events_to FROM o"""
+)
+def turn_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain value at each turn."""
+    return chain.chained(digests.turn_slices(talk_log(spark, sf_dir, whole=True)[1])).select("session_id", "position", "chain", "events_to")
+
+
 @query(
     f"""{_RECONCILE}, t AS (SELECT l.session_id, l.seq AS o, l.type, l.turn_no, d.mode, CASE WHEN d.mode = 'create' THEN 0 ELSE c.consumed END AS start FROM log l JOIN d USING (session_id) LEFT JOIN c USING (session_id)
   WHERE (d.mode = 'create' OR d.mode = 'append' AND l.seq >= c.consumed) UNION ALL SELECT l.session_id, -1, l.type, l.turn_no, d.mode, c.consumed FROM log l JOIN d USING (session_id) JOIN c USING (session_id) WHERE d.mode = 'append' AND d.renamed AND l.type = 'session/title')

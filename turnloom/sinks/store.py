@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..checkpoint import cut
 from ..functions.ids import DIGEST_VERSION
+from ..operators.chain import HEADS, heads_of
 from ..operators.events import FIELDS
 
 BUCKETS = 64
 EVENTS = "session_id string, seq bigint, " + ", ".join(f"{n} {t}" for n, t in FIELDS.items()) + ", source_event_seqs array<bigint>"
+EVENT_COLUMNS = ["session_id", "seq", *FIELDS, "source_event_seqs"]
 
 
 def bucket_of(session: str = "session_id"):
@@ -32,7 +34,9 @@ class Sink(Protocol):
 
     def headers(self, ids: DataFrame | None = None) -> DataFrame: ...
 
-    def append(self, events: DataFrame, headers: DataFrame) -> None: ...
+    def heads(self, ids: DataFrame | None = None) -> DataFrame: ...
+
+    def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None: ...
 
 
 class ParquetSink:
@@ -70,10 +74,18 @@ class ParquetSink:
     def headers(self, ids: DataFrame | None = None) -> DataFrame:
         return self._read("headers", schema.HEADERS, ids)
 
-    def append(self, events: DataFrame, headers: DataFrame) -> None:
-        """Adds events and headers, then names their batch; what a broken append wrote is never read, so it can be repeated."""
+    def heads(self, ids: DataFrame | None = None) -> DataFrame:
+        """Each log's head after its last append. The logs of appends that gave none are read for theirs."""
+        rows = self._read("heads", HEADS, ids)
+        fields = [c.split()[0] for c in HEADS.split(", ")]
+        known = cut(rows.groupBy("session_id").agg(F.max_by(F.struct(*(c for c in fields if c != "session_id")), "events").alias("h")).select("session_id", "h.*"))
+        lacking = self.headers(ids).select("session_id").join(known, "session_id", "left_anti")
+        return known if lacking.isEmpty() else known.unionByName(heads_of(self.events(lacking)))
+
+    def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None:
+        """Adds events, headers and the logs' new heads, then names their batch; what a broken append wrote is never read, so it can be repeated."""
         batch = uuid.uuid4().hex
-        for name, df in (("events", events), ("headers", headers)):
+        for name, df in (("events", events), ("headers", headers), *([("heads", heads)] if heads is not None else [])):
             dealt = df.withColumns({"batch": F.lit(batch), "bucket": bucket_of()}).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
             dealt.write.mode("append").partitionBy("batch", "bucket").parquet(f"{self.root}/{name}")
         path, fs = self._fs(f"{self.root}/batches/{batch}")
@@ -95,7 +107,10 @@ class MemorySink:
     def headers(self, ids: DataFrame | None = None) -> DataFrame:
         return self._headers if ids is None else self._headers.join(ids, "session_id", "left_semi")
 
-    def append(self, events: DataFrame, headers: DataFrame) -> None:
+    def heads(self, ids: DataFrame | None = None) -> DataFrame:
+        return heads_of(self.events(ids))
+
+    def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None:
         starts = events.groupBy("session_id").agg(F.min("seq").alias("start"))
         lengths = self._events.groupBy("session_id").agg(F.count("*").alias("length"))
         wrong = starts.join(lengths, "session_id", "left").where(F.col("start") != F.coalesce("length", F.lit(0)))
