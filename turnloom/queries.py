@@ -131,8 +131,8 @@ def _parts(df: DataFrame) -> DataFrame:
     return df.withColumns(absent)
 
 
-def talk_source(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, messages and parts of conversations; every fourth answer begins with a reasoning part of 20 characters, or if whole, every answer with one of its whole text."""
+def talk_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, messages and parts of conversations; every answer begins with a reasoning part of its whole text."""
     rows = talk(spark, sf_dir)
     created = F.col("conv_id") * 1000
     sessions = rows.groupBy("session_id", "conv_id").agg(F.max("turn0").alias("_last")).select(
@@ -146,9 +146,8 @@ def talk_source(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[
     )
     time = created + F.col("turn0")
     messages = _messages(rows.select("session_id", "msg_pos", F.concat(F.lit("m"), F.col("turn0").cast("string")).alias("id"), "role", time.alias("time"), F.lit(None).cast("long").alias("completed_time"), F.when(F.col("turn0") == 1, "compact").alias("origin")))
-    thought = (F.col("role") == "assistant") & (F.lit(whole) | (F.col("turn0") % 4 == 0))
-    said = F.col("text") if whole else F.substring("text", 1, 20)
-    pieces = F.concat(F.when(thought, F.array(F.struct(F.lit("reasoning").alias("kind"), said.alias("text")))).otherwise(F.filter(F.array(F.struct(F.lit("x").alias("kind"), F.lit("").alias("text"))), lambda p: F.lit(False))), F.array(F.struct(F.lit("text").alias("kind"), F.col("text"))))
+    piece = lambda kind: F.struct(F.lit(kind).alias("kind"), F.col("text"))
+    pieces = F.when(F.col("role") == "assistant", F.array(piece("reasoning"), piece("text"))).otherwise(F.array(piece("text")))
     flat = rows.select("session_id", "msg_pos", "turn0", time.alias("time"), F.posexplode(pieces).alias("part_pos", "p"))
     parts = _parts(flat.select("session_id", "msg_pos", F.col("part_pos").cast("long").alias("part_pos"), F.concat(F.lit("m"), F.col("turn0").cast("string"), F.lit("-p"), F.col("part_pos").cast("string")).alias("id"), "p.kind", "time", "p.text"))
     return sessions, messages, parts
@@ -175,9 +174,9 @@ def activity_source(spark: SparkSession, sf_dir: str, rows: DataFrame | None = N
     return sessions, messages, parts
 
 
-def talk_log(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def talk_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(planned, log, sessions) of conversations."""
-    sessions, messages, parts = talk_source(spark, sf_dir, whole)
+    sessions, messages, parts = talk_source(spark, sf_dir)
     planned = events.planned_messages(sessions, messages, parts, anchored=False)
     return planned, events.event_log(planned, sessions), sessions
 
@@ -344,13 +343,13 @@ def tool_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_TALK}, n AS (SELECT session_id, count(*) AS size FROM talk GROUP BY session_id),
-w AS (SELECT t.session_id, r.record, t.msg_pos AS idx, t.msg_pos - greatest(r.record * 3 - 2, 0) AS pos, t.text FROM talk t JOIN n USING (session_id) CROSS JOIN range(0, 40) r(record)
+w AS (SELECT t.session_id, r.record, t.msg_pos AS idx, t.msg_pos - greatest(r.record * 3 - 2, 0) AS pos, t.text FROM talk t JOIN n USING (session_id) CROSS JOIN LATERAL (SELECT unnest(range(0, (n.size + 2) // 3)) AS record) r
       WHERE t.msg_pos >= greatest(r.record * 3 - 2, 0) AND t.msg_pos < least(r.record * 3 + 3, n.size) AND r.record * 3 < n.size),
 z AS (SELECT session_id, record, count(*) AS size FROM w GROUP BY session_id, record)
 SELECT w.session_id, w.idx::BIGINT AS idx, min(w.record)::BIGINT AS record, bool_or(w.pos = z.size - 1) AS terminal FROM w JOIN z USING (session_id, record) GROUP BY w.session_id, w.idx"""
 )
 def window_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of up to five messages, three apart, so that neighbours overlap by two; the SQL has the first 40 of a session."""
+    """Windows of up to five messages, three apart, so that neighbours overlap by two."""
     rows = talk(spark, sf_dir)
     records = rows.select("session_id", "msg_pos", "text", F.explode(F.array(F.floor(F.col("msg_pos") / 3), F.floor((F.col("msg_pos") + 2) / 3))).alias("record")).distinct()
     longest = rows.groupBy("session_id").agg(F.count("*").alias("n"))
@@ -472,7 +471,7 @@ txt AS (SELECT l.session_id, l.seq, l.type, l.turn_no, l.bucket, CASE l.type
   WHEN 'turn/start' THEN '{"turn":' || l.turn_no || ',"type":"turn/start"}' WHEN 'turn/end' THEN '{"reason_kind":"completed","turn":' || l.turn_no || ',"type":"turn/end"}'
   WHEN 'step/start' THEN '{"step":' || l.bucket || ',"turn":' || l.turn_no || ',"type":"step/start"}' WHEN 'step/end' THEN '{"step":' || l.bucket || ',"turn":' || l.turn_no || ',"type":"step/end"}'
   WHEN 'user/message' THEN '{"blocks":[{"type":"text","text":' || to_json(t.text) || '}],"message_id":"' || i.id || '",' || CASE WHEN t.turn0 = 1 THEN '"plugin":"importer",' ELSE '' END || '"role":"user","source_kind":"' || CASE WHEN t.turn0 = 1 THEN 'plugin' ELSE 'user' END || '","type":"user/message"}'
-  WHEN 'assistant/message' THEN '{"blocks":[' || CASE WHEN t.turn0 % 4 = 0 THEN '{"type":"reasoning","text":' || to_json(substr(t.text, 1, 20)) || '},' ELSE '' END || '{"type":"text","text":' || to_json(t.text) || '}],"message_id":"' || i.id
+  WHEN 'assistant/message' THEN '{"blocks":[' || '{"type":"reasoning","text":' || to_json(t.text) || '},' || '{"type":"text","text":' || to_json(t.text) || '}],"message_id":"' || i.id
        || '","model":"unknown","provider":"importer","role":"assistant","source_kind":"model","step":' || l.bucket || ',"turn":' || l.turn_no || ',"type":"assistant/message"}' END AS text
   FROM log l LEFT JOIN talk t ON t.session_id = l.session_id AND t.msg_pos = l.msg_pos
   LEFT JOIN (SELECT session_id, msg_pos, UUID AS id FROM (SELECT session_id, msg_pos, sha1('NAMESPACE' || chr(0) || 'message/' || session_id || '/' || CASE WHEN role = 'assistant' THEN 'assistant' WHEN turn0 = 1 THEN 'injected' ELSE 'user' END || '/m' || turn0) AS h FROM talk)) i
@@ -480,21 +479,11 @@ txt AS (SELECT l.session_id, l.seq, l.type, l.turn_no, l.bucket, CASE l.type
 slc AS (SELECT session_id, turn_no AS turn, sha256(string_agg(sha256(text), '' ORDER BY seq)) AS digest, count(*)::BIGINT AS event_count FROM txt WHERE type <> 'session/title' GROUP BY session_id, turn_no)""".replace("UUID", _UUID).replace("NAMESPACE", I.NAMESPACE)
 
 
-#: The same with every answer's whole text as reasoning.
-_WHOLE_CONTENT = _CONTENT.replace("CASE WHEN t.turn0 % 4 = 0 THEN", "CASE WHEN true THEN").replace("substr(t.text, 1, 20)", "t.text")
-
-
 @query(f"WITH {_TALK_LOG}, {_CONTENT} SELECT session_id, turn, digest, event_count, false AS contentless FROM slc")
 def turn_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.turn_slices(talk_log(spark, sf_dir)[1]).drop("slice")
 
 
-@query()
-def turn_digests_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of turns whose answers all have their whole text as reasoning; no SQL is registered."""
-    return digests.turn_slices(talk_log(spark, sf_dir, whole=True)[1]).drop("slice")
-
-
 @query()
 def log_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of a log; no SQL, as its JSON is Spark's. Tested by changing one field."""
@@ -516,7 +505,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     rewritten, % 11 = 0 it has the whole plan and one turn more, % 13 = 0 there is
     none, % 17 = 0 its header's time differs, % 5 = 0 its title is another.
     """
-    _, plan, sessions = talk_log(spark, sf_dir, whole=True)
+    _, plan, sessions = talk_log(spark, sf_dir)
     plan = cut(plan)
     conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
     plan = plan.withColumn("conv_id", conv)
@@ -563,12 +552,12 @@ def chain_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_TALK_LOG}, {_WHOLE_CONTENT}, o AS (SELECT session_id, turn, event_count, list(digest) OVER (PARTITION BY session_id ORDER BY turn) AS digests, sum(event_count) OVER (PARTITION BY session_id ORDER BY turn) AS events_to FROM slc)
+    f"""WITH {_TALK_LOG}, {_CONTENT}, o AS (SELECT session_id, turn, event_count, list(digest) OVER (PARTITION BY session_id ORDER BY turn) AS digests, sum(event_count) OVER (PARTITION BY session_id ORDER BY turn) AS events_to FROM slc)
 SELECT session_id, (len(digests) - 1)::BIGINT AS position, list_reduce(digests, lambda a, b: sha256(a || b), '') AS chain, events_to::BIGINT AS events_to FROM o"""
 )
 def turn_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chain value at each turn."""
-    return chain.chained(digests.turn_slices(talk_log(spark, sf_dir, whole=True)[1])).select("session_id", "position", "chain", "events_to")
+    return chain.chained(digests.turn_slices(talk_log(spark, sf_dir)[1])).select("session_id", "position", "chain", "events_to")
 
 
 @query(
@@ -638,26 +627,17 @@ def registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_TALK}, r AS (SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY msg_pos) - 1 AS position, substr(text, 1, 20) AS text, turn0, conv_id FROM talk WHERE role = 'assistant' AND turn0 % 4 = 0),
-s AS (SELECT session_id, position, CASE WHEN conv_id % 7 = 0 AND turn0 = 4 THEN 'changed' ELSE text END AS text FROM r WHERE conv_id % 5 <> 0 OR turn0 <> 8),
+    f"""WITH {_TALK}, r AS (SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY msg_pos) - 1 AS position, text, turn0, conv_id FROM talk WHERE role = 'assistant'),
+s AS (SELECT session_id, position, CASE WHEN conv_id % 7 = 0 AND turn0 = 4 THEN text || '.' ELSE text END AS text FROM r WHERE conv_id % 5 <> 0 OR turn0 <> 8),
 s2 AS (SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY position) - 1 AS position, text FROM s),
 j AS (SELECT coalesce(r.session_id, s2.session_id) AS session_id, coalesce(r.position, s2.position) AS position, r.text AS a, s2.text AS b FROM r FULL JOIN s2 ON r.session_id = s2.session_id AND r.position = s2.position),
 g AS (SELECT session_id, count(a) AS sb, count(b) AS tb, coalesce(sum(length(b)), 0) AS chars, min(position) FILTER (a IS DISTINCT FROM b) AS mm FROM j GROUP BY session_id)
 SELECT session_id, sb = tb AND mm IS NULL AS ok, sb::BIGINT AS source_blocks, tb::BIGINT AS stored_blocks, chars::BIGINT AS chars, CASE WHEN sb <> tb THEN -1 ELSE mm END::BIGINT AS mismatch_index, CASE WHEN sb <> tb THEN 'count-differs' WHEN mm IS NOT NULL THEN 'text-differs' END AS mismatch_reason FROM g"""
 )
 def fidelity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored reasoning lacks one block where conv_id % 5 = 0 and has another text where % 7 = 0."""
+    """The stored reasoning lacks one block where conv_id % 5 = 0 and differs after its end where % 7 = 0."""
     _, _, parts = talk_source(spark, sf_dir)
     conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
-    changed = parts.where(~((conv % 5 == 0) & F.col("id").startswith("m8-"))).withColumn("text", F.when((conv % 7 == 0) & F.col("id").startswith("m4-"), "changed").otherwise(F.col("text")))
-    return fidelity.fidelity(fidelity.source_reasoning(parts), fidelity.source_reasoning(changed)).drop("source_head", "stored_head")
-
-
-@query()
-def fidelity_check_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `fidelity_check`, over the whole text of every answer; the other text differs only after the end. No SQL is registered."""
-    parts = talk_source(spark, sf_dir, whole=True)[2]
-    conv = F.substring("session_id", F.lit(2), F.length("session_id")).cast("long")
     changed = parts.where(~((conv % 5 == 0) & F.col("id").startswith("m8-"))).withColumn("text", F.when((conv % 7 == 0) & F.col("id").startswith("m4-"), F.concat("text", F.lit("."))).otherwise(F.col("text")))
     return fidelity.fidelity(fidelity.source_reasoning(parts), fidelity.source_reasoning(changed)).drop("source_head", "stored_head")
 
@@ -699,32 +679,26 @@ def faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_TALK_LOG}, l AS (SELECT log.*, substr(session_id, 2)::BIGINT % 10 AS fault, max(seq) OVER (PARTITION BY session_id) AS last FROM log)
+    f"""WITH {_TALK_LOG}, l AS (SELECT log.*, substr(session_id, 2)::BIGINT % 10 AS fault, max(seq) OVER (PARTITION BY session_id) AS last FROM log),
+o AS (SELECT *, last_value(CASE WHEN type = 'step/start' THEN true WHEN type = 'step/end' AND turn_no > 1 THEN false END IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open FROM l WHERE fault = 2)
 SELECT session_id, seq, 'V4' AS rule FROM l WHERE fault = 4 AND type = 'user/message' UNION ALL SELECT session_id, seq, 'V6' FROM l WHERE fault = 5 AND type = 'turn/end' UNION ALL SELECT session_id, seq, 'V9' FROM l WHERE fault = 6 AND type = 'user/message'
 UNION ALL SELECT session_id, seq, 'V10' FROM l WHERE fault = 7 AND type = 'assistant/message' UNION ALL SELECT session_id, seq, 'V13' FROM l WHERE fault = 9 AND type = 'session/title' UNION ALL SELECT session_id, 5, 'V3' FROM l WHERE fault = 3 AND seq = 4
-UNION ALL SELECT session_id, last - 1, 'V14' FROM l WHERE fault = 1 AND seq = last"""
+UNION ALL SELECT session_id, last - 1, 'V14' FROM l WHERE fault = 1 AND seq = last
+UNION ALL SELECT session_id, seq, CASE type WHEN 'turn/start' THEN 'V5' WHEN 'turn/end' THEN 'V6' WHEN 'step/start' THEN 'V7' WHEN 'step/end' THEN 'V8' ELSE 'V10' END FROM l WHERE fault = 8 AND type IN ('turn/start', 'turn/end', 'step/start', 'step/end', 'assistant/message')
+UNION ALL SELECT session_id, seq, CASE type WHEN 'step/end' THEN 'V2' WHEN 'step/start' THEN 'V7' ELSE 'V6' END FROM o WHERE type = 'step/end' AND turn_no = 1 OR open AND type IN ('step/start', 'turn/end')
+UNION ALL SELECT session_id, seq, 'V14' FROM o WHERE seq = last AND open"""
 )
-def validate_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations in logs with faults 1, 3, 4, 5, 6, 7 and 9, and none in fault 0's."""
-    log = faulty_log(spark, sf_dir).where("substring(session_id, 2) % 10 not in (2, 8)")
-    return validate.violations(log)
-
-
-@query()
-def validate_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations in logs with broken brackets; what follows from a break is tested by a loop over the events."""
-    return validate.violations(faulty_log(spark, sf_dir).where("substring(session_id, 2) % 10 in (2, 8)"))
-
-
-@query()
 def validate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations in the whole faulty log; no SQL, tested by that of `validate_fields` and the loop of `validate_brackets`."""
+    """Violations in the whole faulty log, with what follows from broken brackets."""
     return validate.violations(faulty_log(spark, sf_dir))
 
 
-@query(f"WITH {_ACTIVITY_LOG} SELECT NULL::VARCHAR AS session_id, NULL::BIGINT AS seq, NULL::VARCHAR AS rule FROM log WHERE false")
+@query(f"WITH {_ACTIVITY_LOG} SELECT session_id, count(*)::BIGINT AS events, 0::BIGINT AS broken FROM log GROUP BY session_id")
 def validate_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.violations(activity_log(spark, sf_dir)[1])
+    """Each session's events and violations, of which sound logs have none."""
+    log = cut(activity_log(spark, sf_dir)[1])
+    broken = validate.violations(log).groupBy("session_id").agg(F.count("*").alias("n"))
+    return log.groupBy("session_id").agg(F.count("*").alias("events")).join(broken, "session_id", "left").select("session_id", "events", F.coalesce("n", F.lit(0).cast("long")).alias("broken"))
 
 
 @query(
@@ -751,32 +725,18 @@ def plan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.plan_stats(planned, log).select("session_id", "turns", "steps", "empty_steps", "user_messages", "assistant_messages", "text_blocks", "tool_calls", "tool_errors", "tool_results_synthesized", "empty_outputs", "arguments_absent", "events")
 
 
-@query(f"WITH {_TALK} SELECT session_id, count(*) FILTER (role = 'assistant' AND turn0 % 4 = 0)::BIGINT AS reasoning_blocks, coalesce(sum(length(substr(text, 1, 20))) FILTER (role = 'assistant' AND turn0 % 4 = 0), 0)::BIGINT AS reasoning_chars, count(*) FILTER (role = 'user' AND turn0 = 1)::BIGINT AS injected_messages FROM talk GROUP BY session_id")
+@query(f"WITH {_TALK} SELECT session_id, count(*) FILTER (role = 'assistant')::BIGINT AS reasoning_blocks, coalesce(sum(length(text) + len(regexp_extract_all(text, '[\\x{{10000}}-\\x{{10FFFF}}]'))) FILTER (role = 'assistant'), 0)::BIGINT AS reasoning_chars, count(*) FILTER (role = 'user' AND turn0 = 1)::BIGINT AS injected_messages FROM talk GROUP BY session_id")
 def reasoning_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned, log, _ = talk_log(spark, sf_dir)
     return events.plan_stats(planned, log).select("session_id", "reasoning_blocks", "reasoning_chars", "injected_messages")
 
 
-@query()
-def reasoning_stats_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `reasoning_stats`, over the whole text of every answer; no SQL is registered."""
-    planned, log, _ = talk_log(spark, sf_dir, whole=True)
-    return events.plan_stats(planned, log).select("session_id", "reasoning_blocks", "reasoning_chars", "injected_messages")
-
-
 @query(
-    f"""{_STATS}, u AS (SELECT session_id, 'tool-result-synthesized' AS code, 'warning' AS severity, open AS n FROM t UNION ALL SELECT session_id, 'tool-output-empty', 'info', blank FROM t)
+    f"""{_STATS}, u AS (SELECT session_id, 'tool-result-synthesized' AS code, 'warning' AS severity, open AS n FROM t UNION ALL SELECT session_id, 'tool-output-empty', 'info', blank FROM t
+  UNION ALL SELECT session_id, 'tool-arguments-not-json', 'warning', count(*) FROM act WHERE type IN ('click', 'purchase', 'error') AND (event_id % 3 = 2 OR event_id % 3 = 1 AND NOT json_valid(props)) GROUP BY session_id)
 SELECT session_id, code, severity, n::VARCHAR AS n FROM u WHERE n > 0"""
 )
 def degradation_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned, log, _ = activity_log(spark, sf_dir)
-    rows = W.degradations(events.plan_stats(planned, log)).where("code in ('tool-result-synthesized', 'tool-output-empty')")
-    return rows.select("session_id", "code", "severity", F.col("detail")["count"].alias("n"))
-
-
-@query()
-def degradation_warnings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Degradations of every code; no SQL, tested by counting."""
     planned, log, _ = activity_log(spark, sf_dir)
     return W.degradations(events.plan_stats(planned, log)).select("session_id", "code", "severity", F.col("detail")["count"].alias("n"))
 
@@ -808,9 +768,9 @@ def workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped(talk_source(spark, sf_dir)[0])
 
 
-@query()
+@query(f"WITH {_TALK} SELECT DISTINCT '/w/' || conv_id % 5 AS cwd, session_id FROM talk")
 def workspace_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of `workspaces`, one a session; no SQL, tested by that of `workspaces`."""
+    """The rows of `workspaces`, one a session."""
     from .plans.engine import workspace_sessions as rows
 
     return rows(talk_source(spark, sf_dir)[0])
@@ -823,14 +783,7 @@ def file_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", text.alias("text"))
 
 
-@query("SELECT conv_id, turn, length(text)::BIGINT AS utf16 FROM conversations WHERE text = regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')")
+@query("SELECT conv_id, turn, (length(text) + len(regexp_extract_all(text, '[\\x{10000}-\\x{10FFFF}]')))::BIGINT AS utf16 FROM conversations")
 def utf16_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UTF-16 lengths of ASCII texts, where SQL has the same; others are tested on fixtures."""
-    rows = _table(spark, sf_dir, "conversations").where(F.octet_length("text") == F.length("text"))
-    return rows.select("conv_id", "turn", I.utf16_length(F.col("text")).alias("utf16"))
-
-
-@query()
-def utf16_lengths_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UTF-16 lengths of all texts; no SQL, tested by Python's encoder."""
+    """UTF-16 lengths of all texts: characters above U+FFFF count twice."""
     return _table(spark, sf_dir, "conversations").select("conv_id", "turn", I.utf16_length(F.col("text")).alias("utf16"))
