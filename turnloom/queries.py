@@ -10,17 +10,19 @@ counterpart (a stored log, a registry, faults) it is made from the rows by rule.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .checkpoint import cut
+from .checkpoint import cut, shared_dir
 from .functions import ids as I
 from .functions import json as J
 from .operators import chain, digests, events, fidelity, normalize, pending, reconcile, report, scan, turns, validate
 from .operators import warnings as W
 from .sinks.store import merged_registry
+from .sources import lines
 from .sources.lines import late_results
 from .sources.rollout import merged_windows, window_gaps
 
@@ -447,6 +449,21 @@ def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", J.iso_millis(text).alias("read"), J.iso_millis(F.col("props")).alias("unreadable"))
 
 
+@query(
+    """WITH f AS (SELECT conv_id % 8 AS file, conv_id, turn, row_number() OVER (PARTITION BY conv_id % 8 ORDER BY conv_id, turn) - 1 AS n FROM conversations)
+SELECT file, n::BIGINT AS line, n::BIGINT AS record, conv_id, turn, true AS json_ok FROM f UNION ALL SELECT file, count(*)::BIGINT, count(*)::BIGINT, NULL, NULL, false FROM f GROUP BY file"""
+)
+def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations written as JSON lines, eight files that each end in a torn line, and read again."""
+    rows = _table(spark, sf_dir, "conversations").select((F.col("conv_id") % 8).alias("file"), "conv_id", "turn", F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value"))
+    torn = rows.select("file", F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit('{"conv_id":').alias("value")).distinct()
+    folder = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    rows.unionByName(torn).repartition("file").sortWithinPartitions("file", F.col("conv_id").asc_nulls_last(), "turn").select("file", "value").write.partitionBy("file").text(folder)
+    read = lines.records(spark, folder, "part-*", recursive=True)
+    field = lambda n: F.get_json_object("data", f"$.{n}").cast("long").alias(n)
+    return read.select(F.regexp_extract("path", "file=([0-9]+)", 1).cast("long").alias("file"), "line", "record", F.when(F.col("json_ok"), field("conv_id")).alias("conv_id"), F.when(F.col("json_ok"), field("turn")).alias("turn"), "json_ok")
+
+
 # --- ids and digests --------------------------------------------------------------
 
 _UUID = "(substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (('0x' || substr(h, 17, 1))::INT % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12))"

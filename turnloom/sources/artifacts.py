@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import json as J
+from . import lines
 
 GLOB = "session*.jsonl*"
 
@@ -41,12 +42,10 @@ def read(spark: SparkSession, root: str, newest: bool = True) -> tuple[DataFrame
     """
     wanted = listing(spark, root)
     wanted = wanted.where("nth = 1") if newest else wanted
-    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", GLOB).text(root).select(F.col("_metadata.file_path").alias("path"), "value")
-    cut = whole.join(wanted.select("path"), "path", "left_semi").select("path", F.posexplode(F.split("value", "\n")).alias("line", "data")).where(F.trim(F.regexp_replace("data", "[\r\t]", " ")) != "")
-    rows = cut.withColumn("v", J.parsed(F.col("data"))).withColumn("_n", F.row_number().over(Window.partitionBy("path").orderBy("line")))
+    rows = lines.records(spark, root, GLOB, recursive=True).join(wanted.select("path"), "path", "left_semi").withColumn("v", J.parsed(F.col("data")))
     v = F.col("v")
     type_ = J.string(J.at(v, "$.type"))
-    what = F.when(v.isNull(), "malformed").when((F.col("_n") == 1) & (type_ == "session"), "header").when((J.kind(v) == "ARRAY") | type_.endswith("-chunks"), "chunks").otherwise("event")
+    what = F.when(v.isNull(), "malformed").when((F.col("filled") == 0) & (type_ == "session"), "header").when((J.kind(v) == "ARRAY") | type_.endswith("-chunks"), "chunks").otherwise("event")
     rows = rows.withColumn("what", what).withColumn("type", type_)
     length = lambda p: F.size(F.try_variant_get(v, p, "array<variant>"))
     held = F.when(F.col("what") == "chunks", F.greatest(F.lit(1), F.coalesce(F.nullif(F.greatest(length("$.texts"), length("$.args"), length("$")), F.lit(-1)), F.lit(1))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import json as J
+from ..operators import scan
 
 
 def listing(spark: SparkSession, root: str, glob: str, recursive: bool = False) -> DataFrame:
@@ -15,20 +16,25 @@ def listing(spark: SparkSession, root: str, glob: str, recursive: bool = False)
 
 
 def records(spark: SparkSession, root: str, glob: str, recursive: bool = False) -> DataFrame:
-    """(path, line, data, json_ok) for each line that isn't blank; line counts from 0 within the file.
+    """(path, line, filled, record, data, json_ok) for each line that isn't blank.
 
-    A file is read as a whole record and cut into lines in its task, so the
-    order of lines is theirs. Lines that aren't JSON have json_ok false.
+    line counts all lines of the file before this one, filled those that aren't blank, record those that
+    are JSON; lines that aren't have json_ok false, a torn last one among them. A large file is read by several tasks: lines are
+    ordered by the file block they begin in and their place in it, and counted block by block. Lines end with \\n alone. A
+    compressed file is one block, read line by line.
     """
-    files = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).text(root)
-    cut = files.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("_n", "data")).where(F.trim(F.regexp_replace("data", "[\r\t]", " ")) != "")
-    return cut.select("path", F.col("_n").cast("long").alias("line"), "data", J.parsed(F.col("data")).isNotNull().alias("json_ok"))
+    text = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).text(root)
+    rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), F.col("value").alias("data"))
+    filled = F.trim(F.regexp_replace("data", "[\r\t]", " ")) != ""
+    rows = rows.withColumns({"_filled": filled, "json_ok": filled & J.parsed(F.col("data")).isNotNull()})
+    count = lambda c: c.cast("long")
+    placed = scan.running(rows, ["path"], F.col("_block"), "_row", sums={"line": F.lit(1).cast("long"), "filled": count(F.col("_filled")), "record": count(F.col("json_ok"))})
+    return placed.where("_filled").select("path", "line", "filled", "record", "data", "json_ok")
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """Readable records only, numbered from 0 within their file."""
-    order = Window.partitionBy("path").orderBy("line")
-    return rows.where("json_ok").withColumn("record", F.row_number().over(order) - 1)
+    """Readable records only; record numbers them from 0 within their file."""
+    return rows.where("json_ok")
 
 
 def malformed(rows: DataFrame) -> DataFrame:
