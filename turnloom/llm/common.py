@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,23 @@ def sums_before(df: DataFrame, keys: list[str], order: list[Column], amount: str
     return both.withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside", *(f"_{k}" for k in keys))
 
 
+@contextmanager
+def shuffled_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins that run meanwhile are shuffled, but for explicit broadcasts: many rounds of small broadcasts pile up with the driver."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            if value is None:
+                spark.conf.unset(n)
+            else:
+                spark.conf.set(n, value)
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_IDS) -> DataFrame:
     """Rows of df whose column is among ids; ids are broadcast only if at most limit.
 

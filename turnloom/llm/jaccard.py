@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import batches, bitmap, cells_for, hit
-from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, rolling, signed, written
+from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, rolling, shuffled_joins, signed, written
 from .components import components
 
 #: A set leaves out keys whose buckets have more rows than this, as far as its spare allotments go.
@@ -449,7 +449,8 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
     )
     met = written(entries.where("two and whole > 0").drop("two", "whole"), "jaccard-entries")
     twice.destroy()  # the filter has done its work: drivers and executors need not hold it through the rounds
-    found = _links(firsts, met, n, p, q)
+    with shuffled_joins(documents.sparkSession):
+        found = _links(firsts, met, n, p, q)
     reached = equal.join(found, F.col("first") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "first").alias("component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     return sets.join(reached, ["hi", "lo"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce(own, F.col("id"))).alias("component_id"))
