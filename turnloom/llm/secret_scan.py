@@ -17,6 +17,8 @@ import random
 import string
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -47,9 +49,14 @@ CONTEXT = 40
 MAIL = regex.compile(r"[^@\s]+@[^@\s]+\.[A-Za-z]{2,}")
 KEY = regex.compile(r"(?=.*\d)(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
 LETTERS = regex.compile(r"\p{L}+")
+#: What names a hash, an id or data beside it, which looks like a key and is none.
+DIGEST = regex.compile(r"(?i)\b(?:commit|rev|revision|tree|blob|sha-?\d*|md5|crc\d*|checksums?|digest|integrity|etag|hash|uuid|guid|base64|image|png|fingerprint)\b")
+UUID = regex.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+#: How keys of well-known services begin.
+PREFIXES = ("AKIA", "ghp_", "sk-")
 FEATURES = (
     "length", "letter_digit", "case", "mark", "entropy", "digits", "uppers", "hex", "longest_letters", "covered", "slashes", "dots", "mail", "address", "marks",
-    "hinted", "assigned", "quoted", "hint_after", "words_before", "words_after",
+    "hinted", "assigned", "quoted", "hint_after", "words_before", "words_after", "pairs", "digest_before", "uuid", "prefixed",
 )
 SCHEMA = "id long, start long, candidate string, " + ", ".join(f"{f} double" for f in FEATURES)
 
@@ -77,6 +84,23 @@ def known(texts: list[str], words: frozenset[str]) -> float:
     return sum(t in words for t in texts) / len(texts) if texts else 0.5
 
 
+@lru_cache(maxsize=4)
+def transitions(words: frozenset[str]) -> dict[str, float]:
+    """How likely one letter follows another in dictionary words, as a logarithm, for each pair that occurs."""
+    pairs = Counter(a + b for w in (words or frozenset(NAMES)) for a, b in pairwise(w))
+    firsts: Counter[str] = Counter()
+    for pair, n in pairs.items():
+        firsts[pair[0]] += n
+    return {pair: math.log(n / firsts[pair[0]]) for pair, n in pairs.items()}
+
+
+def likelihood(candidate: str, words: frozenset[str]) -> float:
+    """The mean logarithm over a candidate's pairs of neighbouring characters; pairs that no word has count as very rare."""
+    known_pairs = transitions(words)
+    low = candidate.lower()
+    return sum(known_pairs.get(a + b, -9.0) for a, b in pairwise(low)) / max(1, len(low) - 1)
+
+
 def traits(candidate: str, before: str, after: str, words: frozenset[str]) -> tuple[float, ...]:
     """The features of a candidate between the texts before and after it."""
     kind = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in candidate]
@@ -92,6 +116,7 @@ def traits(candidate: str, before: str, after: str, words: frozenset[str]) -> tu
         float(MAIL.fullmatch(candidate) is not None), float(tail.endswith("//")), sum(not c.isalnum() and c not in "_+/=.:@-" for c in candidate) / n,
         float(bool(HINT.search(before))), float(tail.rstrip("\"'").rstrip()[-1:] in ("=", ":")), float(tail[-1:] in ("\"", "'")), float(bool(HINT.search(after))),
         known(LETTERS.findall(before)[-2:], words), known(LETTERS.findall(after)[:2], words),
+        likelihood(candidate, words), float(bool(DIGEST.search(before))), float(UUID.fullmatch(candidate) is not None), float(candidate.startswith(PREFIXES)),
     )
 
 
@@ -167,13 +192,18 @@ def candidates(documents: DataFrame, words: frozenset[str] = frozenset(), id_col
 
 
 def labelled_findings(spark: SparkSession, words: frozenset[str] = frozenset(), count: int = 1500, seed: int = 11) -> DataFrame:
-    """(features, label): the candidates of made-up texts, for shapes that documents lack; half of the texts hold a secret."""
+    """(features, label): the candidates of made-up texts, for shapes that documents lack; half of the texts hold a secret.
+
+    A run of letters and digits is a secret only beside a hint word, or if it begins as a service's keys do. Hashes,
+    UUIDs, checksums, encoded data and identifiers are not, alone or beside what names them.
+    """
     rng = random.Random(seed)
     near = sorted(words)[:: max(1, len(words) // 500)] or list(NAMES)
     side = lambda: " ".join(rng.choice(near) for _ in range(2))
     pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
     word = lambda: rng.choice(NAMES) if rng.random() < 0.3 else pick(string.ascii_lowercase, rng.randint(3, 9))
-    secret = (lambda: pick("0123456789abcdef", rng.choice((32, 40, 64))), lambda: pick(string.ascii_letters + string.digits, rng.randint(20, 48)), lambda: pick(string.ascii_letters + string.digits + "+/", 43) + "=", lambda: rng.choice(("AKIA", "ghp_", "sk-")) + pick(string.ascii_letters + string.digits, 24))
+    prefixed = lambda: rng.choice(PREFIXES) + pick(string.ascii_letters + string.digits, 24)
+    secret = (lambda: pick("0123456789abcdef", rng.choice((32, 40, 64))), lambda: pick(string.ascii_letters + string.digits, rng.randint(20, 48)), lambda: pick(string.ascii_letters + string.digits + "+/", 43) + "=", lambda: prefixed())
     # these are only looked for beside a hint word
     short = (
         lambda: pick("0123456789abcdef", rng.randint(8, 15)), lambda: pick(string.ascii_letters + string.digits, rng.randint(8, 15)), lambda: pick(string.ascii_letters, rng.randint(3, 8)) + pick(string.digits, rng.randint(1, 4)) + pick("!$%#*?^~", rng.randint(1, 2)),
@@ -183,6 +213,16 @@ def labelled_findings(spark: SparkSession, words: frozenset[str] = frozenset(),
         lambda: "/".join(word() for _ in range(rng.randint(3, 6))), lambda: "https://" + ".".join((word(), word(), "com")) + "/" + word(), lambda: pick(string.digits, 16), lambda: word() + "." + word() + "@" + word() + ".example.com",
         lambda: "_".join(word() for _ in range(4)), lambda: pick(string.ascii_lowercase, rng.randint(16, 30)), lambda: "-" * rng.randint(16, 40), lambda: pick(string.ascii_uppercase, rng.randint(16, 30)), lambda: "-".join(word() for _ in range(4)),
     )
+    hexes = lambda n: pick("0123456789abcdef", n)
+    encoded = lambda n: pick(string.ascii_letters + string.digits + "+/", n)
+    uuid = lambda: "-".join(hexes(n) for n in (8, 4, 4, 4, 12))
+    camel = lambda: "".join(word().capitalize() for _ in range(rng.randint(3, 5)))
+    # texts that hold no secret, though they look it
+    alike = (
+        lambda: f"{rng.choice(('commit', 'tree', 'rev', 'at', 'of', word()))} {hexes(40)}", lambda: f"{rng.choice(('md5', 'md5 sum', 'checksum', 'MD5:', word()))} {hexes(32)}", lambda: f"sha256:{hexes(64)}", lambda: f"{hexes(rng.choice((32, 40, 64)))}  {word()}.html",
+        uuid, lambda: f"{rng.choice(('id', 'uuid', 'request', word()))}={uuid()}", lambda: f"sha512-{encoded(86)}==", lambda: f'"integrity": "sha512-{encoded(86)}=="', lambda: f"data:image/png;base64,iVBORw0KGgo{encoded(rng.randint(60, 200))}",
+        lambda: f"base64 {encoded(rng.randint(40, 120))}", lambda: encoded(rng.choice((40, 64, 120))), lambda: f"iVBORw0KGgo{encoded(60)}", camel, lambda: f"the {named()} {camel()}", lambda: f"{named()} is {camel()}", lambda: f"{word()}: {hexes(40)}",
+    )
     named = lambda: rng.choice(("token", "api_key", "secret", "password", "auth", "credential", "private_key"))
     beside = (lambda: f'{named()} = "%s"', lambda: f"{named()}: %s", lambda: f"{named()}=%s", lambda: f'"{named()}": "%s"', lambda: f"{named()} is %s", lambda: "bearer %s")
     prose = (word, word, lambda: word().capitalize(), lambda: pick(string.digits, rng.randint(1, 4)), lambda: "".join((word(), rng.choice(",.?!"))), lambda: "--", lambda: rng.choice(("None", "true", "null", "self." + word())))
@@ -190,9 +230,11 @@ def labelled_findings(spark: SparkSession, words: frozenset[str] = frozenset(),
     for _ in range(count):
         good = rng.random() < 0.5
         if good:
-            held = rng.choice((*secret, *short))() if rng.random() < 0.8 else None
-            shape = rng.choice(beside)() if held else rng.choice(("%s", f"{word()}=%s", f"{word()}: %s"))
-            held = held or rng.choice(secret)()
+            alone = rng.random() < 0.15
+            held = prefixed() if alone else rng.choice((*secret, *short))()
+            shape = rng.choice(("%s", f"{word()}=%s", f"{word()}: %s")) if alone else rng.choice(beside)()
+        elif rng.random() < 0.5:
+            held, shape = "", "%s" + rng.choice(alike)().replace("%", "")
         else:
             held = rng.choice(plain)() if rng.random() < 0.6 else rng.choice(prose)()
             shape = rng.choice((*beside, lambda: f"{named()} %s", lambda: f"{named()} %s"))() if rng.random() < 0.15 or len(held) < 16 else "%s"
@@ -207,7 +249,8 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 def train(findings: DataFrame, words: frozenset[str] = frozenset(), trees: int = 20, depth: int = 6, seed: int = 5) -> Model:
     """A model from labelled findings (the features and label, 0 or 1); rows with nulls are left out. Without findings of both kinds it has no forest."""
-    rows = findings.select(*FEATURES, "label").dropna()
+    # the forest goes over its rows many times
+    rows = cut(findings.select(*FEATURES, "label").dropna())
     if len(rows.select("label").distinct().limit(2).collect()) < 2:
         return Model(None, words)
     return Model(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(_vectors(rows)), words)
@@ -231,7 +274,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE, labelled: int = LABELLED,
     ids = cut(usable.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample))
     texts = written(keep_ids(usable, ids, "id", max(BROADCAST_IDS, sample)), "secret-texts")
     words = dictionary(texts)
-    found = candidates(texts, words, "id").where("label is not null")
+    found = written(candidates(texts, words, "id").where("label is not null"), "secret-findings")
     ranked = found.withColumn("_place", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id", "start"), "id", "start", "candidate")))
     return train(ranked.where(F.col("_place") <= labelled).select(*FEATURES, "label").unionByName(labelled_findings(spark, words)), words)
 
