@@ -25,6 +25,8 @@ from ..sinks.store import EVENT_COLUMNS, ParquetSink, Registry, Sink, cut, merge
 from ..sources.resolve import Source, open_source
 
 
+#: Logs that couldn't be read whole: the events that their heads tell of, and those found.
+FAULTS = "session_id string, expected bigint, found bigint"
 #: Messages of a session that one task can still take.
 LONG_SESSION = 1_000_000
 
@@ -88,7 +90,7 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     if force_variant:
         stored_headers, stored_heads = stored_headers.limit(0), stored_heads.limit(0)
     # heads decide; a log is read only where its plan differs from it
-    decided = cut(chain.decisions(log, sound, stored_heads, stored_headers, sink.events, segment_rows=made.segments))
+    decided = cut(chain.decisions(log, sound, stored_heads, stored_headers, lambda some: sink.readable(some)[0], segment_rows=made.segments))
     touched = cut(decided.where(F.col("mode").isin("create", "append")).select("session_id"))
     moved = not touched.isEmpty()
     if not config.dry_run and moved:
@@ -100,29 +102,36 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
         if force_variant:
             headers = headers.withColumn("session_id", F.col("target_id"))
         sink.append(rename(written), headers, rename(chain.written_heads(log, decided, segment_rows=made.segments)))
-    # what was written is read back and compared; the rest has not changed
-    there = sound.join(touched, "session_id", "left_semi")
-    read_back = sink.events(there.select(F.col("target_id" if force_variant else "session_id").alias("session_id"))) if moved else log.limit(0)
+    # what was written is read back and compared; the rest has not changed. A log that can't be read whole fails its session alone
+    asked = cut(decided.where(F.col("mode").isin("create", "append") | (F.col("reason") == "turn-content-rewritten")).select("session_id"))
+    there = sound.join(asked, "session_id", "left_semi")
+    if asked.isEmpty():
+        read_back, faults = log.limit(0), None
+    else:
+        read_back, faults = sink.readable(there.select(F.col("target_id" if force_variant else "session_id").alias("session_id")))
+    faults = spark.createDataFrame([], FAULTS) if faults is None or force_variant else cut(faults)
     if force_variant:
         read_back = read_back.join(sound.select(F.col("target_id").alias("session_id"), F.col("session_id").alias("_s")), "session_id").withColumn("session_id", F.col("_s")).drop("_s")
     answers = source.messages.where("role = 'assistant'").select("session_id", "msg_pos").join(touched, "session_id", "left_semi")
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts.join(answers, ["session_id", "msg_pos"], "left_semi")), fidelity.stored_reasoning(read_back))
-    status = F.when(F.col("_invalid"), "failed").when(F.col("_blank"), "skipped").otherwise(F.element_at(F.create_map(*(F.lit(x) for x in ("create", "imported", "append", "appended", "skip", "skipped", "conflict", "conflict"))), F.col("mode")))
+    status = F.when(F.col("_invalid") | F.col("_fault"), "failed").when(F.col("_blank"), "skipped").otherwise(F.element_at(F.create_map(*(F.lit(x) for x in ("create", "imported", "append", "appended", "skip", "skipped", "conflict", "conflict"))), F.col("mode")))
     flag = lambda df, name: df.withColumn(name, F.lit(True))
     results = cut(
         source.sessions.select("session_id", "title")
         .join(flag(invalid, "_invalid"), "session_id", "left")
         .join(flag(blank, "_blank"), "session_id", "left")
+        .join(flag(faults.select("session_id"), "_fault"), "session_id", "left")
         .join(decided.drop("planned_events"), "session_id", "left")
         .join(made.stats, "session_id", "left")
         .join(checked.select("session_id", F.col("ok").alias("_ok")), "session_id", "left")
-        .withColumns({"_invalid": F.coalesce("_invalid", F.lit(False)), "_blank": F.coalesce("_blank", F.lit(False))})
+        .withColumns({"_invalid": F.coalesce("_invalid", F.lit(False)), "_blank": F.coalesce("_blank", F.lit(False)), "_fault": F.coalesce("_fault", F.lit(False))})
         .withColumn("status", status)
         .withColumn("fidelity_ok", F.when(F.col("status").isin("imported", "appended"), F.coalesce("_ok", F.lit(True))) if not config.dry_run else F.lit(None).cast("boolean"))
-        .withColumn("reason", F.when(F.col("_invalid"), "event-log-invalid").when(F.col("_blank"), "source-session-empty").otherwise(F.col("reason")))
-        .drop("_invalid", "_blank", "_ok")
+        .withColumn("reason", F.when(F.col("_invalid"), "event-log-invalid").when(F.col("_fault"), "persistence-inspect-failed").when(F.col("_blank"), "source-session-empty").otherwise(F.col("reason")))
+        .drop("_invalid", "_blank", "_fault", "_ok")
     )
     said = made.warnings.unionByName(W.rows_of(invalid, "event-log-invalid", "error")).unionByName(W.rows_of(blank, "source-session-empty")).unionByName(W.rows_of(decided.where("mode = 'conflict'"), "conflict", "error", F.create_map(F.lit("reason"), F.col("reason")))).unionByName(W.rows_of(results.where("not fidelity_ok"), "fidelity-mismatch", "error"))
+    said = said.unionByName(W.rows_of(faults, "persistence-inspect-failed", "error", F.create_map(F.lit("expected"), F.col("expected").cast("string"), F.lit("found"), F.col("found").cast("string"))))
     if registry is not None and (problem := registry.unreadable()):
         said = said.unionByName(spark.createDataFrame([(None, "registry-unreadable", "warning", registry.root, {"message": problem})], schema.WARNINGS))
     if registry is not None and not config.dry_run:
@@ -179,7 +188,8 @@ def verify(spark: SparkSession, config: Config, ids: list[str] | None = None) ->
     known = known.withColumnRenamed("source_id", "session_id")
     source = only(source, known)
     made = plan(source, config.format_version)
-    stored = sink.events(known if ids else None).join(known, "session_id", "left_semi")
+    readable, faults = sink.readable(known if ids else None)
+    stored = readable.join(known, "session_id", "left_semi").join(faults, "session_id", "left_anti")
     of = lambda df: digests.turn_digests(digests.turn_slices(df))
     checked = fidelity.fidelity(fidelity.source_reasoning(source.parts), fidelity.stored_reasoning(stored))
     return fidelity.verified(known, of(stored), of(made.events), checked)

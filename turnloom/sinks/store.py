@@ -36,6 +36,8 @@ class Sink(Protocol):
 
     def heads(self, ids: DataFrame | None = None) -> DataFrame: ...
 
+    def readable(self, ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]: ...
+
     def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None: ...
 
 
@@ -56,11 +58,13 @@ class ParquetSink:
         path, fs = self._fs(f"{self.root}/batches")
         return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
 
-    def _read(self, name: str, layout: str, ids: DataFrame | None) -> DataFrame:
+    def _read(self, name: str, layout: str, ids: DataFrame | None, damaged: bool = False) -> DataFrame:
+        """damaged: files that can't be read are passed over."""
         path, fs = self._fs(f"{self.root}/{name}")
         if not fs.exists(path):
             return self.spark.createDataFrame([], layout)
-        rows = self.spark.read.schema(f"{layout}, batch string, bucket int").parquet(f"{self.root}/{name}")
+        reader = self.spark.read.schema(f"{layout}, batch string, bucket int").option("ignoreCorruptFiles", str(damaged).lower()).option("ignoreMissingFiles", str(damaged).lower())
+        rows = reader.parquet(f"{self.root}/{name}")
         rows = rows.where(F.col("batch").isin(self.batches()))
         if ids is not None:
             # at most BUCKETS numbers come to the driver; folders of other buckets aren't read
@@ -82,6 +86,13 @@ class ParquetSink:
         lacking = self.headers(ids).select("session_id").join(known, "session_id", "left_anti")
         return known if lacking.isEmpty() else known.unionByName(heads_of(self.events(lacking)))
 
+    def readable(self, ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """(events, faults): what can be read, and faults(session_id, expected, found) of logs with fewer or more events than their heads say."""
+        events = self._read("events", EVENTS, ids, damaged=True)
+        found = events.groupBy("session_id").agg(F.count("*").alias("found"))
+        faults = self.heads(ids).select("session_id", F.col("events").alias("expected")).join(found, "session_id", "left").withColumn("found", F.coalesce("found", F.lit(0).cast("long")))
+        return events, faults.where("expected <> found")
+
     def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None:
         """Adds events, headers and the logs' new heads, then names their batch; what a broken append wrote is never read, so it can be repeated."""
         batch = uuid.uuid4().hex
@@ -110,6 +121,9 @@ class MemorySink:
     def heads(self, ids: DataFrame | None = None) -> DataFrame:
         return heads_of(self.events(ids))
 
+    def readable(self, ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        return self.events(ids), self.spark.createDataFrame([], "session_id string, expected bigint, found bigint")
+
     def append(self, events: DataFrame, headers: DataFrame, heads: DataFrame | None = None) -> None:
         starts = events.groupBy("session_id").agg(F.min("seq").alias("start"))
         lengths = self._events.groupBy("session_id").agg(F.count("*").alias("length"))
