@@ -4,14 +4,16 @@
     spark.read.format("sqlite_ro").option("path", file).option("table", "message").load()
 
 The table's columns are probed, as stores differ in them. A table is cut into
-ranges of rowid, one partition each; filters on equality of a column and lists
-of its values are pushed into the queries. `columns` reads only those.
+ranges of its rowid, or of its primary key's first column if it has none. Their boundaries are existing keys, so
+many rows apart, stepped along the key's index: gaps between keys make no partitions. Filters on equality of
+a column and lists of its values are pushed into the queries. `columns` reads only those.
 """
 
 from __future__ import annotations
 
 import sqlite3
 from collections.abc import Iterator
+from itertools import pairwise
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,11 +53,36 @@ def probe(path: str) -> str | None:
 
 
 class Range(InputPartition):
-    def __init__(self, low: int, high: int):
+    """Keys from low to before high; None is without a bound."""
+
+    def __init__(self, low, high):
         super().__init__((low, high))
         self.low, self.high = low, high
 
 
+def key_of(store: sqlite3.Connection, table: str) -> str:
+    """What a table's rows are ranged by."""
+    try:
+        store.execute(f"SELECT rowid FROM {quoted(table)} LIMIT 0")
+        return "rowid"
+    except sqlite3.OperationalError:
+        keys = sorted((r[5], r[1]) for r in store.execute(f"PRAGMA table_info({quoted(table)})") if r[5])
+        return quoted(keys[0][1])
+
+
+def boundaries(store: sqlite3.Connection, table: str, key: str, rows: int) -> list:
+    """Existing keys that begin ranges of about so many rows, but for the first range; equal keys stay together."""
+    found: list = []
+    at = store.execute(f"SELECT min({key}) FROM {quoted(table)}").fetchone()[0]
+    while at is not None:
+        step = store.execute(f"SELECT {key} FROM {quoted(table)} WHERE {key} >= ? ORDER BY {key} LIMIT 1 OFFSET ?", (at, rows)).fetchone()
+        if step and step[0] == at:
+            step = store.execute(f"SELECT min({key}) FROM {quoted(table)} WHERE {key} > ?", (at,)).fetchone()
+        at = step[0] if step else None
+        found += [] if at is None else [at]
+    return found
+
+
 class SqliteSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -97,18 +124,18 @@ class SqliteReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         store = connect(self.path, self.busy)
         try:
-            low, high = store.execute(f"SELECT min(rowid), max(rowid) FROM {quoted(self.table)}").fetchone()
+            edges = [None, *boundaries(store, self.table, key_of(store, self.table), self.rows), None]
         finally:
             store.close()
-        if low is None:
-            return [Range(0, 0)]
-        return [Range(a, min(a + self.rows, high + 1)) for a in range(low, high + 1, self.rows)]
+        return [Range(a, b) for a, b in pairwise(edges)]
 
     def read(self, partition: Range) -> Iterator[tuple]:
-        where = " AND ".join(["rowid >= ? AND rowid < ?", *(t for t, _ in self.tests)])
-        values = [partition.low, partition.high, *(v for _, x in self.tests for v in x)]
         store = connect(self.path, self.busy)
         try:
+            key = key_of(store, self.table)
+            edges = [(f"{key} {sign} ?", v) for sign, v in ((">=", partition.low), ("<", partition.high)) if v is not None]
+            where = " AND ".join([t for t, _ in edges] + [t for t, _ in self.tests]) or "1"
+            values = [v for _, v in edges] + [v for _, x in self.tests for v in x]
             convert = [self.converter(kind) for _, kind in self.columns]
             for row in store.execute(f"SELECT {', '.join(quoted(n) for n, _ in self.columns)} FROM {quoted(self.table)} WHERE {where}", values):
                 yield tuple(None if v is None else f(v) for f, v in zip(convert, row, strict=True))
