@@ -155,8 +155,8 @@ def named(sessions: DataFrame, ids: list[str]) -> DataFrame:
 
 def sync(spark: SparkSession, config: Config, force: bool = False, ids: list[str] | None = None) -> Run:
     """Imports the sessions that ids name, else what is pending, holding the lock from before the pending set is made."""
-    with import_lock(f"{config.store}/import.lock"):
-        sink, registry = ParquetSink(spark, config.store, config.format_version), Registry(spark, config.store)
+    with import_lock(f"{config.store}/import.lock", spark=spark) as lease:
+        sink, registry = ParquetSink(spark, config.store, config.format_version, lease.check), Registry(spark, config.store)
         source = open_source(spark, config)
         wanted = named(source.sessions, ids) if ids else P.taken(P.pending(source.sessions, registry.load(), sink.headers(), force), config.max_sessions)
         return run_import(spark, config, sink, source, registry, wanted, force_variant=f"forced-{int(time.time() * 1000)}" if force else "")

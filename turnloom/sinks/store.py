@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from typing import Protocol
 
 from py4j.protocol import Py4JError
@@ -46,8 +47,9 @@ class ParquetSink:
 
     kind = "parquet"
 
-    def __init__(self, spark: SparkSession, root: str, format_version: int = 0):
-        self.spark, self.root, self.format_version = spark, root.rstrip("/"), format_version
+    def __init__(self, spark: SparkSession, root: str, format_version: int = 0, guard: Callable[[], None] | None = None):
+        """guard is asked before an append is committed, and raises if another run has taken the store over."""
+        self.spark, self.root, self.format_version, self.guard = spark, root.rstrip("/"), format_version, guard
 
     def _fs(self, path: str):
         made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,6 +101,8 @@ class ParquetSink:
         for name, df in (("events", events), ("headers", headers), *([("heads", heads)] if heads is not None else [])):
             dealt = df.withColumns({"batch": F.lit(batch), "bucket": bucket_of()}).repartition("bucket", F.pmod(F.xxhash64("session_id", F.lit(1)), F.lit(8)))
             dealt.write.mode("append").partitionBy("batch", "bucket").parquet(f"{self.root}/{name}")
+        if self.guard is not None:
+            self.guard()
         path, fs = self._fs(f"{self.root}/batches/{batch}")
         fs.create(path, False).close()
 

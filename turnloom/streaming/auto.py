@@ -27,10 +27,10 @@ def follow(spark: SparkSession, config: Config, tables: str, checkpoint: str) ->
 
     def batch(rows: DataFrame, number: int) -> None:
         try:
-            with import_lock(f"{config.store}/import.lock"):
+            with import_lock(f"{config.store}/import.lock", spark=spark) as lease:
                 moved = rows.select("session_id").distinct()
                 source = from_tables(*(spark.read.parquet(f"{tables}/{t}") for t in ("session", "message", "part")))
-                engine.run_import(spark, config, ParquetSink(spark, config.store, config.format_version), source, Registry(spark, config.store), moved)
+                engine.run_import(spark, config, ParquetSink(spark, config.store, config.format_version, lease.check), source, Registry(spark, config.store), moved)
                 outcomes.append((number, "done"))
         except Locked:
             outcomes.append((number, "locked"))
