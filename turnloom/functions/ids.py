@@ -44,3 +44,8 @@ def utf16_length(text: Column) -> Column:
 def file_name(session_id: Column) -> Column:
     """A file name for a session: unusual characters replaced, and a short hash."""
     return F.concat(F.regexp_replace(session_id, r"[^A-Za-z0-9._-]", "_"), F.lit("-"), short_hash(session_id, 8))
+
+
+def by_locale(text: Column | str) -> Column:
+    """A text as languages order it, whatever its case and accents, for orderBy."""
+    return F.collate(F.col(text) if isinstance(text, str) else text, "UNICODE")

@@ -7,14 +7,19 @@ import json
 import time
 
 from ..config import Config, session
+from ..sinks.lock import Locked
 from ..sources.resolve import open_source
 from . import engine
 
-#: Other names of the verbs.
+# Other names of the verbs.
 ALIASES = {"": "import", "all": "import", "sync": "import", "update": "import", "run": "import", "import-all": "import", "ls": "scan", "list": "scan"}
 VERBS = ("scan", "plan", "import", "status", "verify", "audit", "help")
 
 
+#: Rows that a verb shows of each of its tables; --json shows all.
+SHOWN = {"scan": (30,), "status": (20, 20), "audit": (10,)}
+
+
 def parsed(argv: list[str]) -> tuple[str, argparse.Namespace]:
     """The verb, by its aliases, and the flags; an unknown verb is help."""
     parser = argparse.ArgumentParser(prog="turnloom", add_help=False)
@@ -56,18 +61,20 @@ def main(argv: list[str] | None = None) -> int:
     else:
         try:
             run = engine.sync(spark, config, args.force, args.ids)
-        except LookupError as error:
-            print(error)
+        except (LookupError, Locked) as error:
+            print(json.dumps({"ok": False, "error": str(error)}, ensure_ascii=False) if args.json else error)
             return 1
         engine.write_report(run, f"{config.store}/reports", time.strftime("%Y%m%dT%H%M%S"))
         df = run.totals
         code = int(df.first()["errors"] > 0)
-    for rows in (df, *more):
+    for rows, most in zip((df, *more), SHOWN.get(verb, (30,)), strict=False):
         if args.json:
             for line in rows.toJSON().toLocalIterator():
                 print(json.dumps(json.loads(line), ensure_ascii=False))
         else:
-            rows.show(30, truncate=60)
+            rows.show(most, truncate=60)
+            if (rest := rows.count() - most) > 0:
+                print(f"{rest} more")
     return code
 
 

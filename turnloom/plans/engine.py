@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..config import Config
+from ..functions.ids import by_locale
 from ..operators import chain, digests, events, fidelity, reconcile, report, scan, validate
 from ..operators import pending as P
 from ..operators import warnings as W
@@ -171,7 +172,7 @@ def status(spark: SparkSession, config: Config) -> DataFrame:
 def imported(spark: SparkSession, config: Config) -> DataFrame:
     """The registry's records, latest import first."""
     known = Registry(spark, config.store).load()
-    return known.select("source_id", "target_id", "variant", "title", "imported_at", "last_mode", "source_message_count", "event_count", "warning_count", "conflict_reason").orderBy(F.desc("imported_at"), "source_id", "variant")
+    return known.select("source_id", "target_id", "variant", "title", "imported_at", "last_mode", "source_message_count", "event_count", "warning_count", "conflict_reason").orderBy(F.desc("imported_at"), by_locale("source_id"), "source_id", "variant")
 
 
 def paths(config: Config) -> dict[str, str]:

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import json as J
+from ..functions.ids import by_locale
 from . import lines
 
+# The names of stored logs, and the escape of their folders.
 GLOB = "session*.jsonl*"
 
 
@@ -30,7 +32,7 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
         "path", "bytes", segment(F.url_decode(F.regexp_extract("path", pattern, 1))).alias("project"), segment(F.url_decode(F.regexp_extract("path", pattern, 2))).alias("stored_id"),
         F.coalesce(F.nullif(F.regexp_extract("path", pattern, 3), F.lit("")).cast("int"), F.lit(0)).alias("version"),
     )
-    return named.withColumn("nth", F.row_number().over(Window.partitionBy("project", "stored_id").orderBy(F.desc("version"), "path")))
+    return named.withColumn("nth", F.row_number().over(Window.partitionBy("project", "stored_id").orderBy(F.desc("version"), by_locale("path"), "path")))
 
 
 def read(spark: SparkSession, root: str, newest: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -58,7 +60,7 @@ def read(spark: SparkSession, root: str, newest: bool = True) -> tuple[DataFrame
 def point_read(spark: SparkSession, root: str, target_id: str) -> DataFrame:
     """The events of the newest stored log with this id."""
     headers, events, _ = read(spark, root)
-    first = headers.where(F.col("target_id") == target_id).orderBy("path").limit(1).select("path")
+    first = headers.where(F.col("target_id") == target_id).orderBy(by_locale("path"), "path").limit(1).select("path")
     return events.join(first, "path", "left_semi").orderBy("line")
 
 
