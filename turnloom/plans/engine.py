@@ -76,7 +76,9 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     source = source or open_source(spark, config)
     if wanted is not None:
         source = only(source, wanted)
+    waiting = None
     if live is not None:
+        waiting = W.rows_of(source.sessions.join(live.select("session_id"), "session_id", "left_semi"), "session-live")
         ids = source.sessions.join(live.select("session_id"), "session_id", "left_anti").select("session_id")
         source = only(source, ids)
     made = plan(source, config.format_version, force_variant)
@@ -133,6 +135,7 @@ def run_import(spark: SparkSession, config: Config, sink: Sink, source: Source |
     )
     said = made.warnings.unionByName(W.rows_of(invalid, "event-log-invalid", "error")).unionByName(W.rows_of(blank, "source-session-empty")).unionByName(W.rows_of(decided.where("mode = 'conflict'"), "conflict", "error", F.create_map(F.lit("reason"), F.col("reason")))).unionByName(W.rows_of(results.where("not fidelity_ok"), "fidelity-mismatch", "error"))
     said = said.unionByName(W.rows_of(faults, "persistence-inspect-failed", "error", F.create_map(F.lit("expected"), F.col("expected").cast("string"), F.lit("found"), F.col("found").cast("string"))))
+    said = said if waiting is None else said.unionByName(waiting)
     if registry is not None and (problem := registry.unreadable()):
         said = said.unionByName(spark.createDataFrame([(None, "registry-unreadable", "warning", registry.root, {"message": problem})], schema.WARNINGS))
     if registry is not None and not config.dry_run:

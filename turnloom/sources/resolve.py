@@ -38,6 +38,15 @@ def empty(spark: SparkSession, kind: str, reason: str | None) -> Source:
     return Source(kind, made(schema.SESSIONS), made(schema.MESSAGES), made(schema.PARTS), made(schema.WARNINGS), reason)
 
 
+#: What is said of a store that can't be read.
+FAULTS = {"database-open-failed": "db-open-failed", "schema-unreadable": "db-schema-unreadable"}
+
+
+def _said(spark: SparkSession, *rows: tuple[str, str, str, str | None]) -> DataFrame:
+    """Warnings about the source as a whole: (code, severity, where, reason)."""
+    return spark.createDataFrame([(None, code, severity, where, None if reason is None else {"reason": reason}) for code, severity, where, reason in rows], schema.WARNINGS)
+
+
 def from_tables(session: DataFrame, message: DataFrame, part: DataFrame) -> Source:
     """A source from stored session, message and part tables."""
     messages = N.normalized_messages(message)
@@ -56,11 +65,19 @@ def open_source(spark: SparkSession, config: Config) -> Source:
     store = str(home / DATABASE)
     reason = sqlite.probe(store) if config.source_mode != "rollout" else None
     found = None
+    said = [(FAULTS[reason], "error", store, reason)] if reason in FAULTS else []
     if config.source_mode != "rollout" and reason is None:
         found = from_tables(*sqlite.store_tables(spark, store))
     elif config.source_mode != "db" and (home / ROLLOUT).is_dir() and any((home / ROLLOUT).glob(rollout.FILES)):
         found = Source("rollout", *rollout.read(spark, str(home / ROLLOUT)), reason)
-    found = found or empty(spark, "none", reason or "rollout-dir-missing")
+        said += [("source-rollout-fallback", "warning", store, reason)] if reason else []
+    if found is None:
+        found = empty(spark, "none", reason or "rollout-dir-missing")
+        said += [("rollout-dir-missing", "warning", str(home / ROLLOUT), reason)] if config.source_mode != "db" else []
+    if config.include_legacy and not (home / LEGACY).is_dir():
+        said.append(("legacy-dir-missing", "warning", str(home / LEGACY), None))
+    if said:
+        found = found._replace(warnings=found.warnings.unionByName(_said(spark, *said)))
     if config.include_legacy and (home / LEGACY).is_dir() and any((home / LEGACY).rglob(legacy.FILES)):
         old = legacy.read(spark, str(home / LEGACY))
         found = Source(found.kind, *(a.unionByName(b, allowMissingColumns=True) for a, b in zip(found[1:5], old, strict=True)), found.reason)

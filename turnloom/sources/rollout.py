@@ -152,6 +152,8 @@ def read(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFram
     )
     parts = tool_parts(pieces, answers)
     warned = warnings(about, window_gaps(rows), lines.malformed(raw).select(F.url_decode(F.regexp_extract("path", r"model-io-(.*)\.jsonl$", 1)).alias("session_id"), "malformed"))
+    # calls that leave no message to import
+    warned = warned.unionByName(rows_of(about.join(kept.select("session_id").distinct(), "session_id", "left_anti"), "rollout-empty", "error"))
     earliest = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit(0).cast("long")), F.col(b))
     sessions = about.select(
         "session_id", F.lit("").alias("title"), F.coalesce("directory", F.lit("")).alias("directory"), earliest("first_at", "last_at").alias("created_at"), earliest("last_at", "first_at").alias("updated_at"), F.lit("rollout").alias("source_kind"),
