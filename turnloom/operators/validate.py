@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import cut
+from ..functions import json as J
 from . import scan
 
 # The vocabulary, and the types that must carry a surface operation.
@@ -128,7 +129,7 @@ def violations(events: DataFrame, session: str = "session_id", require_all: bool
 
     V14 is what is open at the end of a log, with its last seq. V8 also names
     calls without results at the step's end. V15, that values are lossless
-    JSON, holds by the columns' types. V16 is ours: a tool-call block without a call.
+    JSON, holds by the columns' types; lossy looks for it in stored text. V16 is ours: a tool-call block without a call.
     """
     order = "pos" if "pos" in events.columns else "seq"
     rules = _rules(require_all)
@@ -158,6 +159,51 @@ def violations(events: DataFrame, session: str = "session_id", require_all: bool
     return simple.unionByName(unanswered).unionByName(open_end).unionByName(uncalled).distinct()
 
 
+#: A number that may be too large for a double has an exponent of three digits, or this many digits before it.
+OVERSIZED = r"\d[eE]\+?\d{3}|\d{200}"
+
+
+def _endless(value: Column) -> Column:
+    """A variant's text if it is a number that no double can hold, Infinity or -Infinity; else NULL."""
+    number = F.when(J.kind(value) == "NUMBER", F.try_variant_get(value, "$", "double"))
+    return F.when(F.abs(number) == float("inf"), F.when(number > 0, "Infinity").otherwise("-Infinity"))
+
+
+def _children(value: Column) -> Column:
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.map_values(F.try_variant_get(value, "$", "map<string,variant>")))
+
+
+def lossy(events: DataFrame, session: str = "session_id", order: str = "seq", text: str = "data") -> DataFrame:
+    """(session, seq, rule, offender): V15, the first event of each session whose data isn't lossless JSON.
+
+    text is a stored event as JSON; its member data must hold, at any depth,
+    no number too large for a double, as its reader takes that for infinite. The offender
+    is the first member of data, in the order of the text, that is or holds such a number: its key
+    and what it is. Texts that aren't JSON or have no data break no rule here, and digits within strings
+    are no numbers. Only events in whose text such a number may stand are
+    parsed; values are walked one level of nesting at a time.
+    """
+    # the text is parsed once to find kinds, and once to have the members in their own order
+    data = J.at(J.parsed(F.col(text)), "$.data")
+    members = F.when(J.kind(data) == "OBJECT", F.map_entries(F.from_json(F.col(text), "data map<string,variant>")["data"])).when(
+        J.kind(data) == "ARRAY", F.transform(F.try_variant_get(data, "$", "array<variant>"), lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value")))
+    )
+    bare = F.when(_endless(data).isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("key"), data.alias("value"))))
+    suspects = events.where(F.col(text).rlike(OVERSIZED)).select(session, F.col(order).alias("seq"), F.coalesce(members, bare).alias("m"))
+    # rows that repeat a number are told apart by their members' places only; any of them breaks the rule
+    tops = cut(suspects.select(session, "seq", F.posexplode("m").alias("at", "m")).select(session, "seq", "at", F.col("m.key").alias("key"), F.col("m.value").alias("value")))
+    found = tops.select(session, "seq", "at", "key", _endless(F.col("value")).alias("what")).where("what is not null")
+    level = tops
+    while True:
+        level = cut(level.select(session, "seq", "at", "key", F.explode(_children(F.col("value"))).alias("value")))
+        if level.isEmpty():
+            break
+        found = found.unionByName(level.where(_endless(F.col("value")).isNotNull()).select(session, "seq", "at", "key", F.lit("object").alias("what")))
+    offender = F.when(F.col("key").isNull(), "unknown member").otherwise(F.concat("key", F.lit(": "), "what"))
+    first = found.groupBy(session).agg(F.min(F.struct("seq", "at", offender.alias("offender"))).alias("f"))
+    return first.select(session, F.col("f.seq").alias("seq"), F.lit("V15").alias("rule"), F.col("f.offender").alias("offender"))
+
+
 def log_stats(events: DataFrame, session: str = "session_id") -> DataFrame:
     """The validator's counters of each session."""
     n = lambda *types: F.count_if(F.col("type").isin(*types))

@@ -718,6 +718,22 @@ def validate_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("session_id").agg(F.count("*").alias("events")).join(broken, "session_id", "left").select("session_id", "events", F.coalesce("n", F.lit(0).cast("long")).alias("broken"))
 
 
+@query(
+    """WITH b AS (SELECT conv_id, turn, CASE WHEN conv_id % 5 = 1 AND turn % 3 = 2 THEN 'usage: object' WHEN conv_id % 5 = 2 AND turn >= 1 THEN 'cost: -Infinity' WHEN conv_id % 5 = 4 AND turn = 1 THEN 'usage: object' END AS offender FROM conversations)
+SELECT conv_id, min(turn)::BIGINT AS seq, 'V15' AS rule, arg_min(offender, turn) AS offender FROM b WHERE offender IS NOT NULL GROUP BY conv_id"""
+)
+def lossless_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lossy event of each conversation, stored as text: numbers too large stand deep in one member (conv_id % 5 = 1), as a member (2), in texts only (3) or in two members (4)."""
+    kind, turn = F.col("conv_id") % 5, F.col("turn")
+    deep = F.when((kind == 1) & (turn % 3 == 2), "1e999").when((kind == 4) & (turn == 1), "-12e0400").otherwise("1e308")
+    cost = F.when((kind == 2) & (turn >= 1), "-1e400").when((kind == 4) & (turn == 1), "1e999").otherwise("0.5e-400")
+    said = F.to_json(F.struct(F.when(kind == 3, F.concat(F.lit('"1e999", '), F.coalesce("text", F.lit("")))).otherwise(F.col("text")).alias("text"), "role"), {"ignoreNullFields": "false"})
+    # members aren't in the order of their names: usage comes before cost
+    data = F.concat(F.lit('{"usage":{"tokens":[1,{"n":'), deep, F.lit('}]},"cost":'), cost, F.lit(',"message":'), said, F.lit("}"))
+    stored = _table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("seq"), F.concat(F.lit('{"type":"user/message","data":'), data, F.lit("}")).alias("data"))
+    return validate.lossy(stored, session="conv_id")
+
+
 @query(
     f"""WITH {_ACTIVITY_LOG} SELECT session_id, count(*) FILTER (type = 'turn/start')::BIGINT AS turns, count(*) FILTER (type = 'step/start')::BIGINT AS steps, count(*) FILTER (type = 'user/message')::BIGINT AS user_messages, count(*) FILTER (type = 'assistant/message')::BIGINT AS assistant_messages,
 count(*) FILTER (type = 'tool/call')::BIGINT AS tool_calls, count(*) FILTER (type = 'tool/result')::BIGINT AS tool_results, count(*) FILTER (type IN ('user/message', 'assistant/message', 'tool/result'))::BIGINT AS surface_events FROM log GROUP BY session_id"""
