@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import json as J
 from ..operators import scan
 
 
+def file_path() -> Column:
+    """A row's file as listings spell it; the reader's own column has spaces and other characters escaped."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def listing(spark: SparkSession, root: str, glob: str, recursive: bool = False) -> DataFrame:
     """(path, modified, bytes) of files, latest first; contents aren't read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(root)
     return files.select("path", F.unix_millis("modificationTime").alias("modified"), F.col("length").alias("bytes")).orderBy(F.desc("modified"), "path")
 
 
-def records(spark: SparkSession, root: str, glob: str, recursive: bool = False) -> DataFrame:
-    """(path, line, filled, record, data, json_ok) for each line that isn't blank.
+def records(spark: SparkSession, root: str, glob: str, recursive: bool = False, paths: list[str] | None = None) -> DataFrame:
+    """(path, line, filled, record, data, json_ok) for each line that isn't blank, of the files at paths if given; others aren't opened.
 
     line counts all lines of the file before this one, filled those that aren't blank, record those that
     are JSON; lines that aren't have json_ok false, a torn last one among them. A large file is read by several tasks: lines are
@@ -24,7 +29,10 @@ def records(spark: SparkSession, root: str, glob: str, recursive: bool = False)
     compressed file is one block, read line by line.
     """
     text = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).text(root)
-    rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), F.col("value").alias("data"))
+    if paths is not None:
+        # a file's path is known from the listing, so this leaves files out before any is read
+        text = text.where(file_path().isin(paths))
+    rows = text.select(file_path().alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), F.col("value").alias("data"))
     filled = F.trim(F.regexp_replace("data", "[\r\t]", " ")) != ""
     rows = rows.withColumns({"_filled": filled, "json_ok": filled & J.parsed(F.col("data")).isNotNull()})
     count = lambda c: c.cast("long")
