@@ -58,69 +58,65 @@ def with_state(events: DataFrame, session: str = "session_id", segment_rows: int
     rows = events.withColumns({"_turn_mark": turn_mark, "_step_mark": step_mark})
     if segment_rows:
         return _segmented_state(rows, session, order_by, segment_rows)
-    count = lambda t: F.coalesce(F.sum((type_ == t).cast("long")).over(before), F.lit(0))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = lambda t, w: F.coalesce(F.sum((type_ == t).cast("long")).over(w), F.lit(0))
     last = lambda c: F.last(c, ignorenulls=True).over(before)
     rows = rows.withColumns(
         {
             "prev_seq": F.lag("seq").over(order),
             "open_turn": F.when(last(F.col("_turn_mark"))["open"], last(F.col("_turn_mark"))["n"]),
             "open_step": F.when(last(F.col("_step_mark"))["open"], last(F.col("_step_mark"))["n"]),
-            "turns_ended": count("turn/end"),
-            "_turns": F.sum((type_ == "turn/start").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-            "_steps": F.sum((type_ == "step/start").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "turns_ended": number("turn/end", before),
+            "_turns": number("turn/start", upto),
+            "_steps": number("step/start", upto),
+            "_ended": number("step/end", before),
+            "_said": number("assistant/message", before),
         }
     )
-    in_turn = Window.partitionBy(session, "_turns").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
-    in_step = Window.partitionBy(session, "_steps").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    # what was counted since the last start is all less what was there at that start, so one sort serves
+    since = lambda c, start: F.col(c) - F.coalesce(F.last(F.when(type_ == start, F.col(c)), ignorenulls=True).over(upto), F.lit(0))
     call = Window.partitionBy(session, "_steps", "call_id").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
-    sums = lambda t, w: F.coalesce(F.sum((type_ == t).cast("long")).over(w), F.lit(0))
-    return rows.withColumns(
-        {
-            "next_step": sums("step/end", in_turn) + 1,
-            "said": sums("assistant/message", in_step),
-            # a call is a set's member: it counts once until a result takes it out
-            "_call_open": F.coalesce(F.last(F.when(type_ == "tool/call", 1).when(type_ == "tool/result", 0), ignorenulls=True).over(call), F.lit(0)) == 1,
-        }
-    ).drop("_turn_mark", "_step_mark")
+    rows = rows.withColumns({"next_step": since("_ended", "turn/start") + 1, "said": since("_said", "step/start")})
+    # a call is a set's member: it counts once until a result takes it out
+    called = F.last(F.when(type_ == "tool/call", 1).when(type_ == "tool/result", 0), ignorenulls=True).over(call)
+    return rows.withColumn("_call_open", F.coalesce(called, F.lit(0)) == 1).drop("_turn_mark", "_step_mark", "_ended", "_said")
 
 
-def _rules(require_all: bool) -> dict[str, Column]:
+def _own_rules(require_all: bool) -> dict[str, Column]:
+    """What is wrong with an event by itself, by rule; _unmet of a result is that it needs an open call."""
     t, c = (lambda *names: F.col("type").isin(*names)), F.col
     differs = lambda a, b: ~a.eqNullSafe(b)
-    surface = t(*SURFACE_TYPES)
-    in_step = ~differs(c("open_turn"), c("turn")) & ~differs(c("open_step"), c("step"))
     no_blocks = F.coalesce(F.size("blocks") <= 0, F.lit(True))
     first = F.get("blocks", F.lit(0))
-    not_started = F.coalesce(first["is_error"], F.lit(False)) & F.coalesce(c("error_code") == NOT_STARTED, F.lit(False))
+    textless = F.coalesce(F.exists("blocks", lambda b: b["type"].isin("reasoning", "text") & b["text"].isNull()), F.lit(False))
     return {
         "V1": c("type").isNull() | c("seq").isNull() | c("time").isNull(),
         **({"V2": ~t(*VOCABULARY)} if require_all else {}),
+        "V4": t(*SURFACE_TYPES) == c("surface_op").isNull(),
+        "V6": t("turn/end") & c("reason_kind").isNull(),
+        "V9": t("user/message") & (no_blocks | differs(c("role"), F.lit("user"))),
+        "V10": t("assistant/message") & (no_blocks | differs(c("source_kind"), F.lit("model")) | c("provider").isNull() | c("model").isNull() | textless),
+        "V11": t("tool/call") & c("arguments").isNull(),
+        "V12": t("tool/result") & (differs(c("source_kind"), F.lit("tool")) | differs(first["type"], F.lit("tool-result")) | differs(first["id"], c("call_id"))),
+        "V13": t("session/title") & F.coalesce(c("title") == "", F.lit(True)),
+    }
+
+
+def _state_rules() -> dict[str, Column]:
+    """What is wrong with an event where it stands, by rule."""
+    t, c = (lambda *names: F.col("type").isin(*names)), F.col
+    differs = lambda a, b: ~a.eqNullSafe(b)
+    in_step = ~differs(c("open_turn"), c("turn")) & ~differs(c("open_step"), c("step"))
+    return {
         "V3": differs(c("seq"), F.coalesce(c("prev_seq"), F.lit(-1)) + 1),
-        "V4": surface == c("surface_op").isNull(),
         "V5": t("turn/start") & (c("open_turn").isNotNull() | differs(c("turn"), c("turns_ended") + 1)),
-        "V6": t("turn/end") & (differs(c("open_turn"), c("turn")) | c("open_step").isNotNull() | c("reason_kind").isNull()),
+        "V6": t("turn/end") & (differs(c("open_turn"), c("turn")) | c("open_step").isNotNull()),
         "V7": t("step/start") & (differs(c("open_turn"), c("turn")) | c("open_step").isNotNull() | differs(c("step"), c("next_step"))),
         "V8": t("step/end") & ~in_step,
-        "V9": t("user/message") & (c("open_turn").isNull() | no_blocks | differs(c("role"), F.lit("user"))),
-        "V10": t("assistant/message")
-        & (
-            ~in_step
-            | (c("said") > 0)
-            | no_blocks
-            | differs(c("source_kind"), F.lit("model"))
-            | c("provider").isNull()
-            | c("model").isNull()
-            | F.coalesce(F.exists("blocks", lambda b: b["type"].isin("reasoning", "text") & b["text"].isNull()), F.lit(False))
-        ),
-        "V11": t("tool/call") & (~in_step | c("arguments").isNull()),
-        "V12": t("tool/result")
-        & (
-            (~c("_call_open") & ~not_started & F.coalesce(c("surface_op") == "append", F.lit(False)))
-            | differs(c("source_kind"), F.lit("tool"))
-            | differs(first["type"], F.lit("tool-result"))
-            | differs(first["id"], c("call_id"))
-        ),
-        "V13": t("session/title") & F.coalesce(c("title") == "", F.lit(True)),
+        "V9": t("user/message") & c("open_turn").isNull(),
+        "V10": t("assistant/message") & (~in_step | (c("said") > 0)),
+        "V11": t("tool/call") & ~in_step,
+        "V12": t("tool/result") & ~c("_call_open") & c("_needs_call"),
     }
 
 
@@ -132,13 +128,21 @@ def violations(events: DataFrame, session: str = "session_id", require_all: bool
     JSON, holds by the columns' types; lossy looks for it in stored text. V16 is ours: a tool-call block without a call.
     """
     order = "pos" if "pos" in events.columns else "seq"
-    rules = _rules(require_all)
-    broken = F.filter(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in rules.items())), lambda r: r.isNotNull())
+    named = lambda rules: F.filter(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in rules.items())), lambda r: r.isNotNull())
     asked = F.transform(F.filter("blocks", lambda b: b["type"] == "tool-call"), lambda b: b["id"])
+    not_started = F.coalesce(F.get("blocks", F.lit(0))["is_error"], F.lit(False)) & F.coalesce(F.col("error_code") == NOT_STARTED, F.lit(False))
+    needs_call = ~not_started & F.coalesce(F.col("surface_op") == "append", F.lit(False))
+    # what an event is by itself is looked at first, so that no texts are sorted; then events are dealt by session over as many tasks as they need
+    slim = cut(
+        events.select(
+            session, *dict.fromkeys((order, "seq")), "type", "turn", "step", "call_id", needs_call.alias("_needs_call"), named(_own_rules(require_all)).alias("_own"), F.when(F.col("type") == "assistant/message", asked).alias("asked")
+        )
+    )
+    slim = slim if segment_rows else scan.dealt(slim, slim.count(), session)
     # all branches read the same few columns, which are made once
     rows = cut(
-        with_state(events, session, segment_rows).select(
-            session, *dict.fromkeys((order, "seq")), "type", "call_id", "_turns", "_steps", "open_turn", "open_step", broken.alias("broken"), F.when(F.col("type") == "assistant/message", asked).alias("asked")
+        with_state(slim, session, segment_rows).select(
+            session, *dict.fromkeys((order, "seq")), "type", "call_id", "_turns", "_steps", "open_turn", "open_step", F.concat("_own", named(_state_rules())).alias("broken"), "asked"
         )
     )
     simple = rows.select(session, "seq", F.explode("broken").alias("rule"))
