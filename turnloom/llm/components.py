@@ -30,8 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both).hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = _least(large)
-        small = large.join(least.hint("merge"), "u")
+        # cut in the middle too, as the driver makes a plan anew after each of its shuffles
+        large = cut(both.join(_least(both).hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        small = large.join(_least(large).hint("merge"), "u")
         edges = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(small.select("u", F.col("m").alias("v"))).distinct())
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import batches, bitmap, cells_for, hit
-from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, rolling, shuffled_joins, signed, written
+from .common import BROADCAST_IDS, MASK64, WordHashes, cut, keep_ids, mix, pieces, powers, released, rolling, shuffled_joins, signed, written
 from .components import components
 
 #: A set leaves out keys whose buckets have more rows than this, as far as its spare allotments go.
@@ -287,17 +287,18 @@ def _hubs(crowded: DataFrame) -> DataFrame:
 
     A set's weight is the rows that it meets. A bucket's heaviest set is what its
     members may choose; each chooses the heaviest it is offered in any bucket,
-    and the bucket takes what most of its members chose.
+    and the bucket takes what most of its members chose. Each step is written: planned as
+    one, they were thirty shuffles, whose plan the driver made anew after each.
     """
     weight = crowded.groupBy("id").agg(F.sum("rows").alias("weight"))
-    heaviest = crowded.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("heaviest"))
+    heaviest = written(crowded.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("heaviest")), "jaccard-heaviest")
     offered = crowded.select("key", "id", "size").join(heaviest, "key")
-    chosen = offered.groupBy("id").agg(F.max("heaviest").alias("heaviest")).select("id", (-F.col("heaviest")["col2"]).alias("choice"))
+    chosen = written(offered.groupBy("id").agg(F.max("heaviest").alias("heaviest")).select("id", (-F.col("heaviest")["col2"]).alias("choice")), "jaccard-chosen")
     votes = crowded.select("key", "id").join(chosen, "id").groupBy("key", "choice").count()
-    hub = votes.groupBy("key").agg(F.max(F.struct("count", -F.col("choice"))).alias("most")).select("key", (-F.col("most")["col2"]).alias("a"))
-    pairs = crowded.select("key", F.col("id").alias("b"), "size").join(hub, "key").groupBy("a", "b").agg(F.first("size").alias("size"))
+    hub = written(votes.groupBy("key").agg(F.max(F.struct("count", -F.col("choice"))).alias("most")).select("key", (-F.col("most")["col2"]).alias("a")), "jaccard-hubs")
+    pairs = written(crowded.select("key", F.col("id").alias("b"), "size").join(hub, "key").groupBy("a", "b").agg(F.first("size").alias("size")), "jaccard-members")
     least = pairs.groupBy("a").agg(F.min("size").alias("least"))
-    return pairs.where("a <> b").join(least, "a").select("a", "b", "least")
+    return written(pairs.where("a <> b").join(least, "a").select("a", "b", "least"), "jaccard-spokes")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
@@ -386,16 +387,18 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         apart = None
         if turn == 0:
             elsewhere = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
-            apart = elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.sum("allotment").alias("left")), ["id", "band"], "full")
-        pairs = _pairs(small, apart, p, q)
+            apart = written(elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.sum("allotment").alias("left")), ["id", "band"], "full"), "jaccard-apart")
+        pairs = written(_pairs(small, apart, p, q), "jaccard-met")
         if close is not None:
             linked = known.withColumnsRenamed({"id": "b", "component": "right"})
             pairs = pairs.unionByName(close.join(known.withColumnsRenamed({"id": "a", "component": "left"}), "a", "left").join(linked, "b", "left").where("coalesce(left, a) <> coalesce(right, b)").select("a", "b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = pairs.withColumn("least", F.lit(None).cast("int"))
+        pairs = written(pairs.withColumn("least", F.lit(None).cast("int")), "jaccard-plain")
         hubs = turn < HUB_ROUNDS and not crowded.isEmpty()
-        pairs = cut(pairs.unionByName(_hubs(crowded)) if hubs else pairs)
+        if hubs:
+            pairs = pairs.unionByName(_hubs(crowded))
+        released(spark)
         if pairs.isEmpty():
             break
         compared = _compared(pairs, firsts, n, p, q)
@@ -403,6 +406,7 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
         if known is None or not found.isEmpty():
             # links found before are taken as their stars
             known = components(found if known is None else found.unionByName(known.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        released(spark)
         if not hubs:
             break
         done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
