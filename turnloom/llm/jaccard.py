@@ -13,12 +13,14 @@ Before any key is shuffled, a filter of the keys met twice (built like a Bloom
 filter in every task and merged by segments) drops those of one set only.
 
 Small buckets are expanded to pairs. A crowded one is not: all its members are
-compared with one hub, a set that most of them meet. Whatever two members share
-inside the hub is no more than either shares with it; so either they also share
-shingles outside the hub, a known number at least, and meet again in a bucket
-of the hub and such a shingle, or both are close enough to the hub for their
-sizes, which few are that don't link with it (they are paired by size). Links
-are merged to components, and only pairs of different components go on.
+compared with one hub, a set that most of them meet, and go on by what they
+differ from it in, shingles gained and lost alike. Two members are as far from
+each other as both are from the hub together, less twice what those differences
+share. So either both link with the hub, or they share a known number of
+differences and meet again by the rarest of these: members of unlike distances
+need to share so many that the crowded differences, which most members have, are
+not looked at. Links are merged to components, and only pairs of different
+components go on.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from .components import components
 CROWDED = 16
 #: Rows of a bucket that is expanded to pairs: at first, and among buckets of a hub and a shingle. Larger ones get a hub.
 PAIRED, PAIRED_LATER = 16, 64
-#: Rounds of hubs; what is still crowded then is expanded.
+#: Rounds of hubs. More follow as long as each halves the rows in crowded buckets; what is still crowded then is expanded.
 HUB_ROUNDS = 3
 #: Members compared with a copy of a hub in one task.
 HUB_ROWS = 500
@@ -267,9 +269,11 @@ def _pairs(small: DataFrame, apart: DataFrame | None, p: int, q: int) -> DataFra
     differ in, and by all spare allotments but those left out. apart(id, band, there, left)
     has what a set may match in elsewhere, and what it has left out.
     """
-    names = ("id", "size", "kind", "component")
+    names = ("id", "size", "kind", "component", *(["side"] if apart is None and "side" in small.columns else []))
     pairs = small.join(small.select("key", *(F.col(c).alias(f"{c}2") for c in names), F.col("band").alias("band2")), "key")
     pairs = pairs.where("id < id2 and band = band2 and kind + kind2 < 2 and component <> component2").where(_fits("size", "size2", p, q))
+    if "side" in names:
+        pairs = pairs.where("side = 0 or side <> side2")
     if apart is None:
         return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
     added = pairs.groupBy("id", "id2", "band").agg(F.sum("allotment").alias("shared"), *(F.first(c).alias(c) for c in ("size", "size2", "most", "spare")))
@@ -304,9 +308,8 @@ def _hubs(crowded: DataFrame) -> DataFrame:
 def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
     """pairs(a, b, least) plus size, the number of b's shingles, size_a, common, linked, and keys.
 
-    least is null for plain pairs. For those with a hub a, keys are the buckets
-    of the hub with shingles of b outside it: of these, b must share some with
-    whatever links with b but not by closeness to the hub, so a prefix of them is enough.
+    least is null for plain pairs. For those with a hub a, keys are the hub with
+    each shingle that only one of the two has.
     """
     sides = cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("parts")))
     involved = cut(pairs.select(F.col("b").alias("id")).unionByName(sides.select(F.col("a").alias("id"))).distinct())
@@ -337,10 +340,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> Dat
                     common = int(there.sum())
                     keys = None
                     if least is not None:
-                        smallest = max(-(-p * size // q), least)
-                        need = -(-p * (size + smallest) // (p + q)) - common
-                        outside = two[~there]
-                        keys = signed(mix(outside[: max(0, len(outside) - max(1, need) + 1)] ^ mix(np.array([a], np.int64).view(np.uint64))))
+                        lost = np.ones(len(one), bool)
+                        lost[np.searchsorted(one, two[there])] = False
+                        keys = signed(mix(np.concatenate([two[~there], one[lost]]) ^ mix(np.array([a], np.int64).view(np.uint64))))
                     out.append((a, b, least, size, len(one), common, q * common >= p * (len(one) + size - common), keys))
                 rows = rows[len(sizes) :]
                 if out:
@@ -349,18 +351,31 @@ def _compared(pairs: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> Dat
     return written(rows.mapInArrow(compare, "a long, b long, least int, size int, size_a int, common int, linked boolean, keys array<long>"), "jaccard-compared")
 
 
-def _close(compared: DataFrame, p: int, q: int) -> DataFrame:
-    """(a, b): members of one hub that may link without sharing a shingle outside it, not both linked with it.
+def _onward(compared: DataFrame, p: int, q: int) -> DataFrame:
+    """(key, id, size, side): where members of a hub meet that may link, but don't both link with it.
 
-    Both must have p * (size + size2) <= (p + q) * common. One is smaller than the
-    hub then; members are met by bands of size, up to the largest each allows.
+    With d shingles that only one of a member and the hub has, a member's level is
+    (p + q) * d - (q - p) * size. Two members link when they share as many of these
+    shingles as their levels add up to, divided by 2 * (p + q). If that is none, both
+    link with the hub. Else the rarest one that they share is so early among the d of
+    each, rarest first, that as many can follow. Members are met class by class of
+    levels, as far from their own as linked ones can be; a member's side tells
+    whether its class is the lower one (-1), the upper one (1) or both (0).
     """
-    width = "(size_a div 64 + 1)"
-    members = compared.where("least is not null").withColumn("limit", F.expr(f"({p + q} * common) div {p} - size")).where("limit >= least")
-    ask = members.where("not linked").select(F.col("a").alias("hub"), "b", "size", "limit", F.explode(F.expr(f"sequence(least div {width}, limit div {width})")).alias("step"))
-    there = members.select(F.col("a").alias("hub"), F.col("b").alias("b2"), F.col("size").alias("size2"), F.col("limit").alias("limit2"), F.expr(f"size div {width}").alias("step"))
-    met = ask.join(there, ["hub", "step"]).where("b <> b2 and size2 <= limit and size <= limit2").where(_fits("size", "size2", p, q))
-    return met.select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")).distinct()
+    members = compared.where("least is not null").withColumn("d", F.expr("size + size_a - 2 * common"))
+    each = members.select("a", "b", "size", "size_a", "d", F.explode("keys").alias("x"))
+    # what one member alone has comes first and meets nobody
+    several = each.groupBy("x").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(each.join(several, "x"), "jaccard-differences")
+    own = Window.partitionBy("a", "b")
+    ranked = shared.withColumn("after", F.count("*").over(own) - F.row_number().over(own.orderBy("n", "x")))
+    down = lambda x: f"(({x}) - pmod({x}, width)) div width"
+    levels = ranked.withColumn("width", F.expr(f"greatest({q - p}L * size_a div 2, 1L)")).withColumn("level", F.expr(f"{p + q}L * d - {q - p} * size"))
+    low = f"greatest({down(f'level - 2 * {q - p} * ({q} * size div {p})')}, {down('1 - level')})"
+    high = down(f"2 * {p + q} * (after + 1) - level")
+    ranges = levels.select("x", "b", "size", F.expr(down("level")).alias("mine"), F.expr(low).alias("low"), F.expr(high).alias("high")).where("low <= high")
+    met = ranges.withColumn("other", F.explode(F.expr("sequence(low, high)")))
+    return met.select(F.xxhash64("x", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), F.col("b").alias("id"), "size", F.signum(F.col("mine") - F.col("other")).cast("byte").alias("side"))
 
 
 def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> DataFrame:
@@ -376,26 +391,31 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
     now = sifted.where("stays").drop("stays").withColumn("component", F.col("id"))
     seen: DataFrame | None = None
     nothing = spark.createDataFrame([], "a long, b long")
-    close: DataFrame | None = None
     known: DataFrame | None = None
-    for turn in range(HUB_ROUNDS + 1):
-        paired = PAIRED if turn == 0 else PAIRED_LATER
-        several = F.min("component").over(bucket) < F.max("component").over(bucket)
-        now = written(now.withColumns({"rows": F.count("*").over(bucket), "several": several}).where("several").drop("several"), "jaccard-slim")
-        crowded = now.where(F.col("rows") > paired)
-        small = now if turn == HUB_ROUNDS else now.where(F.col("rows") <= paired)
+    turn = before = 0
+    while True:
+        counts = {"rows": F.count("*").over(bucket), "several": F.min("component").over(bucket) < F.max("component").over(bucket)}
+        if turn == 0:
+            full = F.col("rows") > PAIRED
+        else:
+            counts["below"] = F.count_if(F.col("side") < 0).over(bucket)
+            # as many pairs for each row as in a bucket of so many; of two classes, pairs are of one and the other
+            full = F.expr(f"if(side = 0, rows * (rows - 1), 2 * below * (rows - below)) > rows * {PAIRED_LATER - 1}")
+        now = now.withColumns(counts).where("several" if turn == 0 else "several and (side = 0 or below > 0 and below < rows)")
+        now = written(now.withColumn("full", full).drop("several", "below"), "jaccard-slim")
+        crowded = now.where("full")
+        many = crowded.count()
+        hubs = many > 0 and (turn < HUB_ROUNDS or 2 * many <= before)
+        before = many
+        small = now.where("not full") if hubs else now
         apart = None
         if turn == 0:
             elsewhere = crowded.groupBy("id", "band").agg(F.sum("allotment").alias("there"))
             apart = written(elsewhere.join(sifted.where("not stays").groupBy("id", "band").agg(F.sum("allotment").alias("left")), ["id", "band"], "full"), "jaccard-apart")
         pairs = written(_pairs(small, apart, p, q), "jaccard-met")
-        if close is not None:
-            linked = known.withColumnsRenamed({"id": "b", "component": "right"})
-            pairs = pairs.unionByName(close.join(known.withColumnsRenamed({"id": "a", "component": "left"}), "a", "left").join(linked, "b", "left").where("coalesce(left, a) <> coalesce(right, b)").select("a", "b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = written(pairs.withColumn("least", F.lit(None).cast("int")), "jaccard-plain")
-        hubs = turn < HUB_ROUNDS and not crowded.isEmpty()
         if hubs:
             pairs = pairs.unionByName(_hubs(crowded))
         released(spark)
@@ -411,10 +431,10 @@ def _links(firsts: DataFrame, entries: DataFrame, n: int, p: int, q: int) -> Dat
             break
         done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         seen = done if seen is None else seen.unionByName(done)
-        close = _close(compared, p, q)
-        outside = compared.where("least is not null").select(F.explode("keys").alias("key"), F.col("b").alias("id"), "size").distinct()
-        plain = {"kind": F.lit(0).cast("byte"), "allotment": F.lit(1).cast("byte"), "band": F.lit(0).cast("short"), "most": F.lit(0), "spare": F.lit(0)}
-        now = outside.join(known, "id", "left").withColumns(plain | {"component": F.coalesce("component", "id")})
+        plain = {"kind": F.lit(0).cast("byte"), "band": F.lit(0).cast("short")}
+        onward = written(_onward(compared, p, q), "jaccard-onward")
+        now = onward.join(known, "id", "left").withColumns(plain | {"component": F.coalesce("component", "id")})
+        turn += 1
     return known if known is not None else components(nothing)
 
 
