@@ -1,6 +1,9 @@
 """Ranked lexical search by block maxima over variable blocks, exact per shard.
 
-Documents are cut into shards where they lie, so no posting is shuffled. A
+Documents are cut into shards where they lie, so no posting is shuffled. A task indexes
+a shard, searches it for all items and lets it go before it takes the next: only texts
+go to it, and only the best documents come from it. (As rows of a table, shards would be
+megabytes each, many of which Parquet's writer and reader hold at once.) A
 shard's index has, for each term, its postings in the order of documents, cut
 into blocks of various sizes: dynamic programming chooses the boundaries that
 minimise what the blocks' maxima overestimate, each block having a price. A search
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, pieces, signed, written
+from .common import WordHashes, cut, pieces, signed
 
 #: Bytes of text, and documents, of one shard; a longer text is a shard of its own.
 SHARD_BYTES, SHARD_DOCS = 8 << 20, 60_000
@@ -30,6 +33,8 @@ SHARD_BYTES, SHARD_DOCS = 8 << 20, 60_000
 LONGEST_BLOCK, BLOCK_PRICE = 64, 1_000_000
 #: Terms of items that are searched for at once; more items are searched for in several rounds.
 ROUND_TERMS = 400_000
+#: Items whose best documents leave a task at once.
+ITEMS_OUT = 1_000
 
 #: A block with fewer than one posting in so many documents is sparse.
 SPARSE = 4
@@ -37,8 +42,6 @@ SPARSE = 4
 #: Bytes that belong to terms: ASCII letters and digits, and all of other characters.
 IN_TERM = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 
-INDEX = "shard long, ids binary, lengths binary, terms binary, offsets binary, docs binary, counts binary, block_ends binary, block_maxima binary"
-
 
 class Statistics(NamedTuple):
     """Documents with a term, and terms of all."""
@@ -47,18 +50,33 @@ class Statistics(NamedTuple):
     terms: int
 
 
-def statistics(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Statistics:
+def filled(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, text): rows that have both."""
+    return df.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+
+
+def statistics(rows: DataFrame, wanted: np.ndarray) -> tuple[Statistics, np.ndarray]:
+    """Of rows(text): the statistics, and how many have each of the wanted terms (sorted hashes)."""
+
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = total = 0
+        total = np.zeros(len(wanted) + 2, np.int64)
         for part in parts:
-            for some in pieces(part.column(0)):
-                counts = WordHashes(some, inside=IN_TERM).counts
-                n, total = n + int((counts > 0).sum()), total + int(counts.sum())
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total], pa.int64())], names=["n", "total"])
+            for some in pieces(part.column("text")):
+                words = WordHashes(some, lower=True, inside=IN_TERM)
+                total[-2:] += np.array([(words.counts > 0).sum(), words.counts.sum()])
+                if len(wanted):
+                    hashes = words.of()
+                    at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+                    there = np.flatnonzero(wanted[at] == hashes)
+                    text = np.repeat(np.arange(len(some)), words.counts)[there]
+                    total[:-2] += np.bincount(np.unique(text * len(wanted) + at[there]) % len(wanted), minlength=len(wanted))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["nth", "n"])
 
-    texts = documents.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(text_column)
-    row = texts.mapInArrow(count, "n long, total long").agg(F.sum("n"), F.sum("total")).first()
-    return Statistics(row[0] or 0, row[1] or 0)
+    total = np.zeros(len(wanted) + 2, np.int64)
+    for r in rows.select("text").mapInArrow(count, "nth long, n long").groupBy("nth").agg(F.sum("n").alias("n")).collect():
+        total[r.nth] = r.n
+    return Statistics(*total[-2:].tolist()), total[:-2]
 
 
 def damping(lengths: np.ndarray, known: Statistics) -> np.ndarray:
@@ -122,7 +140,11 @@ def block_ends(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def index_of(ids: np.ndarray, texts: list[bytes | None], known: Statistics) -> dict[str, np.ndarray] | None:
-    """A shard's index as flat arrays; None if no text has a term."""
+    """A shard's index as flat arrays; None if no text has a term.
+
+    Terms are 64-bit hashes of the maximal runs of ASCII letters, ASCII digits and other characters than ASCII,
+    A-Z lower-cased; terms of up to eight bytes and one length never collide.
+    """
     words = WordHashes(texts, lower=True, inside=IN_TERM)
     has = words.counts > 0
     if not has.any():
@@ -146,43 +168,26 @@ def index_of(ids: np.ndarray, texts: list[bytes | None], known: Statistics) -> d
 KINDS = {"ids": "<i8", "lengths": "<i8", "terms": "<u8", "offsets": "<i8", "docs": "<u2", "counts": "<u4", "block_ends": "<i8", "block_maxima": "<u4"}
 
 
-def build_index(documents: DataFrame, known: Statistics, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row a shard, written: the index of all its documents and all their terms.
-
-    Terms are 64-bit hashes of the maximal runs of ASCII letters, ASCII digits and other characters than ASCII,
-    A-Z lower-cased; terms of up to eight bytes and one length never collide. Rows without id or
-    terms are left out; rows that repeat an id are documents of their own.
-    """
-    schema = pa.schema([("shard", pa.int64()), *((n, pa.binary()) for n in KINDS)])
-    rows = documents.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-
-    def build(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[np.ndarray] = []
-        texts: list[bytes | None] = []
-        held = shard = 0
-
-        def made() -> Iterator[pa.RecordBatch]:
-            if texts and (arrays := index_of(np.concatenate(ids), texts, known)):
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), *(pa.array([arrays[n].tobytes()], pa.binary()) for n in KINDS)], schema=schema)
-
-        for part in parts:
-            own = np.asarray(part.column("id"))
-            for some in pieces(part.column("text")):
-                size = sum(len(t or b"") for t in some)
-                if texts and (held + size > SHARD_BYTES or len(texts) + len(some) > SHARD_DOCS):
-                    yield from made()
-                    ids, texts, held, shard = [], [], 0, shard + 1
-                for k in range(0, len(some), SHARD_DOCS):
-                    if k:
-                        yield from made()
-                        ids, texts, held, shard = [], [], 0, shard + 1
-                    texts += some[k : k + SHARD_DOCS]
-                    ids.append(own[: len(some)][k : k + SHARD_DOCS])
-                own = own[len(some) :]
-                held += size
-        yield from made()
-
-    return written(rows.mapInArrow(build, INDEX), "lexical-index")
+def cut_shards(parts: Iterator[pa.RecordBatch], most_bytes: int, most_docs: int) -> Iterator[tuple[np.ndarray, list[bytes | None]]]:
+    """The ids and texts of parts(id, text), a shard at a time."""
+    ids: list[np.ndarray] = []
+    texts: list[bytes | None] = []
+    held = 0
+    for part in parts:
+        own = np.asarray(part.column("id"))
+        for some in pieces(part.column("text")):
+            size = sum(len(t or b"") for t in some)
+            full = held + size > most_bytes or len(texts) + len(some) > most_docs
+            for k in range(0, len(some), most_docs):
+                if texts and (k or full):
+                    yield np.concatenate(ids), texts
+                    ids, texts, held = [], [], 0
+                texts += some[k : k + most_docs]
+                ids.append(own[: len(some)][k : k + most_docs])
+            own = own[len(some) :]
+            held += size
+    if texts:
+        yield np.concatenate(ids), texts
 
 
 def item_terms(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -196,26 +201,7 @@ def item_terms(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own[: len(some)], words.counts), pa.int64()), pa.array(signed(words.of()), pa.int64())], names=["item", "term"])
                 own = own[len(some) :]
 
-    rows = items.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(terms, "item long, term long").distinct()
-
-
-def document_frequencies(index: DataFrame, wanted: np.ndarray) -> dict[int, int]:
-    """How many documents have each of the wanted terms (sorted hashes); terms that none has are left out."""
-
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(wanted), np.int64)
-        for part in parts:
-            for terms, offsets in zip(part.column("terms"), part.column("offsets"), strict=True):
-                terms, offsets = np.frombuffer(terms.as_py(), "<u8"), np.frombuffer(offsets.as_py(), "<i8")
-                at = np.minimum(np.searchsorted(terms, wanted), len(terms) - 1)
-                there = terms[at] == wanted
-                total[there] += np.diff(offsets)[at[there]]
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["nth", "n"])
-
-    rows = index.select("terms", "offsets").mapInArrow(count, "nth long, n long").groupBy("nth").agg(F.sum("n").alias("n")).collect()
-    return {int(wanted[r.nth]): r.n for r in rows}
+    return filled(items, id_column, text_column).mapInArrow(terms, "item long, term long").distinct()
 
 
 class Best:
@@ -237,9 +223,9 @@ class Best:
 class Shard:
     """A shard's index, opened."""
 
-    def __init__(self, row: dict[str, bytes], known: Statistics):
+    def __init__(self, arrays: dict[str, np.ndarray | bytes], known: Statistics):
         for n, kind in KINDS.items():
-            setattr(self, n, np.frombuffer(row[n], kind))
+            setattr(self, n, np.frombuffer(arrays[n], kind))
         self.damped = damping(self.lengths, known)
         starts = np.append(0, self.block_ends[:-1])
         self.first_doc, self.last_doc = self.docs[starts].astype(np.int64), self.docs[self.block_ends - 1].astype(np.int64)
@@ -295,34 +281,36 @@ def weight(frequency: int, known: Statistics) -> int:
     return math.floor(1000 * math.log((2 * known.documents + 2) / (2 * frequency + 1)))
 
 
-def search_index(index: DataFrame, known: Statistics, pairs: DataFrame, k: int) -> DataFrame:
-    """(item_id, doc_id, score): the best k documents of each task for every item of pairs(item, term), which is collected; see search."""
-    rows = pairs.collect()
-    item = np.array([r.item for r in rows], np.int64)
-    term = np.array([r.term for r in rows], np.int64).view(np.uint64)
-    frequencies = document_frequencies(index, np.unique(term)) if len(rows) else {}
-    held = np.array([int(t) in frequencies for t in term.tolist()], bool)
-    item, term = item[held], term[held]
-    weights = np.array([weight(frequencies[t], known) for t in term.tolist()], np.int64)
-    order = np.lexsort((term, item))
-    item, term, weights = item[order], term[order], weights[order]
+def search_shards(rows: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(item_id, doc_id, score): the best k documents of each task of rows(id, text) for every item of pairs(item, term), which is collected; see search."""
+    asked = pairs.collect()
+    item = np.array([r.item for r in asked], np.int64)
+    wanted, nth = np.unique(np.array([r.term for r in asked], np.int64).view(np.uint64), return_inverse=True)
+    known, frequencies = statistics(rows, wanted)
+    weights = np.array([weight(n, known) for n in frequencies.tolist()], np.int64)
+    order = np.lexsort((nth, item))
+    order = order[frequencies[nth[order]] > 0]
+    item, nth = item[order], nth[order]
     names, starts = np.unique(item, return_index=True)
-    asked = index.sparkSession.sparkContext.broadcast((names, np.append(starts, len(item)), term, weights))
+    asked = rows.sparkSession.sparkContext.broadcast((names, np.append(starts, len(item)), wanted[nth], weights[nth]))
 
     def best_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, starts, terms, weights = asked.value
+        if not len(items):
+            return
         best = [Best(k) for _ in items]
-        for part in parts:
-            for row in part.to_pylist():
-                shard = Shard(row, known)
+        for ids, texts in cut_shards(parts, SHARD_BYTES, SHARD_DOCS):
+            if arrays := index_of(ids, texts, known):
+                shard = Shard(arrays, known)
                 for i in range(len(items)):
                     mine = slice(starts[i], starts[i + 1])
                     shard.search(terms[mine], weights[mine], best[i])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(items, [len(b.ids) for b in best]), pa.int64()), *(pa.array(np.concatenate([np.empty(0, np.int64), *(getattr(b, c) for b in best)]), pa.int64()) for c in ("ids", "scores"))], names=["item_id", "doc_id", "score"]
-        )
+        for i in range(0, len(items), ITEMS_OUT):
+            some = best[i : i + ITEMS_OUT]
+            found = np.repeat(items[i : i + ITEMS_OUT], [len(b.ids) for b in some])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *(pa.array(np.concatenate([getattr(b, c) for b in some]), pa.int64()) for c in ("ids", "scores"))], names=["item_id", "doc_id", "score"])
 
-    return index.mapInArrow(best_of, "item_id long, doc_id long, score long")
+    return rows.mapInArrow(best_of, "item_id long, doc_id long, score long")
 
 
 def search(documents: DataFrame, items: DataFrame, k: int = 50, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
@@ -333,13 +321,12 @@ def search(documents: DataFrame, items: DataFrame, k: int = 50, id_column: str =
     id take no part, in the statistics either. Rows that repeat a document's id are documents of their own; rows that
     repeat an item's id are one item with the terms of all. Items that find nothing have no row.
     """
-    known = statistics(documents, id_column, text_column)
-    index = build_index(documents, known, id_column, text_column)
+    rows = filled(documents, id_column, text_column)
     pairs = cut(item_terms(items, item_column, item_text_column))
     rounds = max(1, -(-pairs.count() // ROUND_TERMS))
     found = None
     for r in range(rounds):
-        some = search_index(index, known, pairs.where(F.pmod(F.xxhash64("item"), F.lit(rounds)) == r), k)
+        some = search_shards(rows, pairs.where(F.pmod(F.xxhash64("item"), F.lit(rounds)) == r), k)
         found = some if found is None else found.unionByName(some)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
